@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("splat_queries",)
+MODULES = ("splat_queries", "voxel_queries")
 for _module in MODULES:
     import_module(f"{__package__}.{_module}")
 
