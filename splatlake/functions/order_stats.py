@@ -139,3 +139,33 @@ def _at_rank(values: DataFrame, keys, rank: Column, size_of) -> DataFrame:
                 .filter(F.col("_i") == rank).select(*keys, F.col("v").alias("value")))
     targets = values.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, (rank - 1).alias("r"))
     return values_at_ranks(values, keys, targets).drop("r")
+
+
+def lagged(df: DataFrame, keys, order, columns: dict, size_of: DataFrame | None = None) -> DataFrame:
+    """Add columns holding the previous row's values; `columns` maps new name to source column."""
+    keys, order = list(keys), [col(o) for o in order]
+    if fits_one_task(size_of if size_of is not None else df):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
+    numbered = durable(ranked(df, keys, order, "_at", size_of))
+    before = numbered.select(*keys, (F.col("_at") + 1).alias("_at"), *[F.col(old).alias(new) for new, old in columns.items()])
+    # every (group, position) is one row, so this join has no hot key
+    return numbered.join(before, [*keys, "_at"], "left").drop("_at")
+
+
+def evenly_spaced(position, n, wanted: int, rounding) -> Column:
+    """True where 0-based `position` is one of `wanted` steps rounded over 0..n-1; all when n <= wanted."""
+    position, n = col(position), col(n)
+    if wanted <= 0:
+        return F.lit(False)
+    if wanted == 1:
+        hit = position == 0
+    else:
+        step = (n - 1) / F.lit(float(wanted - 1))
+        guess = F.floor(F.try_divide(position.cast("double"), step))
+        tries = [guess + d for d in (-1, 0, 1, 2)]
+        hit = F.lit(False)
+        for i in tries:
+            at = F.when(i == wanted - 1, (n - 1).cast("double")).otherwise(i * step)
+            hit = hit | ((i >= 0) & (i < wanted) & (rounding(at) == position))
+    return F.coalesce((n <= wanted) | hit, F.lit(False))

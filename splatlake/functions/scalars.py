@@ -66,3 +66,16 @@ def r6(c) -> Column:
 def problem_list(*terms: Column) -> Column:
     """Array of the non-NULL strings in the order given."""
     return F.array_compact(F.array(*terms))
+
+
+def round_half_even(c, digits: int) -> Column:
+    """Round the exact binary value half to even, as Python's `round` does.
+
+    `bround` rounds the shortest decimal form instead, which differs on values such as 0.0125.
+    """
+    return F.regexp_replace(F.format_number(col(c).cast("double"), digits), ",", "").try_cast("double")
+
+
+def fixed_text(c, digits: int) -> Column:
+    """Fixed-point text with the same rounding."""
+    return F.regexp_replace(F.format_number(col(c).cast("double"), digits), ",", "")

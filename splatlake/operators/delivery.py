@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.scalars import problem_list
+from ..functions.scalars import problem_list, round_half_even, fixed_text
 from ..functions.scaling import attach
 
 # Files every flat delivery must hold.
@@ -112,7 +112,7 @@ def score_delivery(rows: DataFrame, mobile_mb: float = MOBILE_MB, min_points: in
     # Problem texts.
     own = problem_list(
         F.when(F.col("web_bytes").isNull(), "missing web asset"), F.when(F.col("ply_bytes").isNull(), "missing PLY file"),
-        F.when(heavy, F.format_string("SOG is larger than mobile budget (%.1fMB > %.1fMB)", F.bround(web, 1), F.lit(mobile_mb))),
+        F.when(heavy, F.concat(F.lit("SOG is larger than mobile budget ("), fixed_text(web, 1), F.lit(f"MB > {mobile_mb:.1f}MB)"))),
         F.when(thin, F.concat(F.lit("point count is too low ("), points.cast("string"), F.lit(f" < {min_points})"))),
         F.when(fail, "PLY diagnostics failed"))
     problems = F.concat(F.coalesce("validation_problems", F.array().cast("array<string>")), own)
@@ -121,7 +121,7 @@ def score_delivery(rows: DataFrame, mobile_mb: float = MOBILE_MB, min_points: in
     score = (100 - minus(~F.coalesce("validation_ok", F.lit(False)), 40) - minus(heavy, 20) - minus(thin, 20)
              - minus(F.coalesce(F.col("radius_p99") > 20, F.lit(False)), 10) - F.least(F.lit(10), F.size("problems") * 3))
     return rows.withColumns({"score": F.greatest(F.lit(0), score), "ok": F.size("problems") == 0,
-                             "sog_mb": F.bround(web, 2), "ply_mb": F.bround(mb("ply_bytes"), 2)})
+                             "sog_mb": round_half_even(web, 2), "ply_mb": round_half_even(mb("ply_bytes"), 2)})
 
 
 def benchmark_gates(scored: DataFrame, min_score: int = MIN_SCORE) -> DataFrame:
@@ -209,7 +209,7 @@ def classify_projection(videos: DataFrame, requested: str = "auto") -> DataFrame
     if requested not in ("auto", "perspective", "equirectangular"):
         raise ValueError("projection must be auto, perspective, or equirectangular")
     aspect = F.col("width") / F.greatest("height", F.lit(1))
-    shown = F.format_string("%.2f", F.bround(aspect, 2))
+    shown = fixed_text(aspect, 2)
     wide = aspect.between(1.85, 2.15)
     if requested == "auto":
         projection = F.when(wide, "equirectangular").otherwise("perspective")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.order_stats import group_stats
-from ..functions.scalars import all_finite, distance, exp_scale, finite, nan_to_null
+from ..functions.scalars import all_finite, distance, exp_scale, finite, nan_to_null, round_half_even
 from ..functions.scaling import attach
 from .encodings import LOG_SCALE_BELOW, SCALES, has_scales
 from .splats import CENTER, XYZ
@@ -86,7 +86,7 @@ def candidate_metrics(diagnosed: DataFrame, listing: DataFrame, keys=("scene_id"
     keep = ["ok", F.col("count").alias("point_count"), "radius_p95", "radius_p99", "radius_max", "scale_kind",
             "scale_p95", "scale_p99", "scale_max", "scale_actual_p95", "scale_actual_p99", "scale_actual_max",
             "opacity_raw_p50", "opacity_raw_p95"]
-    size = listing.select(*keys, F.bround(F.col("bytes") / 1048576.0, 2).alias("size_mb"))
+    size = listing.select(*keys, round_half_even(F.col("bytes") / 1048576.0, 2).alias("size_mb"))
     return diagnosed.select(*keys, *keep).join(size, list(keys), "left")
 
 
@@ -97,8 +97,8 @@ def candidate_delta(candidates: DataFrame, base: DataFrame, keys=("scene_id",))
     diff = lambda c: F.col(c) - F.col(f"base_{c}")
     return rows.withColumns({
         "points_delta": diff("point_count"),
-        "points_delta_percent": F.bround(100.0 * diff("point_count") / F.greatest(F.lit(1), "base_point_count"), 2),
-        "size_mb_delta": F.bround(diff("size_mb"), 2),
+        "points_delta_percent": round_half_even(100.0 * diff("point_count") / F.greatest(F.lit(1), "base_point_count"), 2),
+        "size_mb_delta": round_half_even(diff("size_mb"), 2),
         "radius_p99_delta": diff("radius_p99"), "scale_actual_p99_delta": diff("scale_actual_p99")})
 
 

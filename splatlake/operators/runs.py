@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.order_stats import ranked
-from ..functions.scalars import problem_list
+from ..functions.scalars import problem_list, round_half_even
 from ..functions.scaling import attach
 
 DEFAULT_SPAN = 0.80
@@ -26,7 +26,7 @@ def number(c) -> Column:
 
 def coverage_ratio(selected="selected_count", target="target_frames") -> Column:
     s, t = number(selected), number(target)
-    return F.when(t > 0, F.bround(s / t, 3))
+    return F.when(t > 0, round_half_even(s / t, 3))
 
 
 def selected_pass(passes="passes", name="selected_pass") -> Column:

@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.order_stats import group_stats, kth_smallest, lower_median, ranked
+from ..functions.order_stats import evenly_spaced, group_stats, kth_smallest, lower_median, ranked
 from ..functions.scalars import (SH_C0, all_finite, clip, col, distance, finite, max_ignoring_nan, norm, to_byte)
 from ..functions.scaling import attach
 from .encodings import decode, has_scales
@@ -285,16 +285,8 @@ def stride_sample(rows: DataFrame, n: int, order, keys=("scene_id",)) -> DataFra
     keys = list(keys)
     numbered = ranked(rows, keys, order)
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    spot = F.col("ordinal") - 1
-    last = F.col("_n") - 1
-    if n <= 1:
-        hit = spot == 0
-    else:
-        # position p is taken when some step i has trunc(i * last / (n - 1)) = p
-        step = F.ceil(spot * (n - 1) / last.cast("double"))
-        near = [F.floor((step + d) * (last / (n - 1))) == spot for d in (-1, 0, 1)]
-        hit = near[0] | near[1] | near[2]
-    return (attach(numbered, sizes, keys).filter((F.col("_n") <= n) | hit).drop("_n"))
+    rows = attach(numbered, sizes, keys)
+    return rows.filter(evenly_spaced(F.col("ordinal") - 1, "_n", n, F.floor)).drop("_n")
 
 
 # ---- projections for previews ----------------------------------------------

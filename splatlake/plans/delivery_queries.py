@@ -98,7 +98,7 @@ spr AS (SELECT *, coalesce(web_bytes / 1048576.0e0, 0) AS web, list_filter(list_
   CASE WHEN coalesce(web_bytes / 1048576.0e0, 0) > 12 THEN printf('SOG is larger than mobile budget (%.1fMB > 12.0MB)', web_bytes / 1048576.0e0) END,
   CASE WHEN coalesce(point_count, 0) < 120000 THEN 'point count is too low (' || coalesce(point_count, 0) || ' < 120000)' END,
   CASE WHEN ply_bytes IS NOT NULL AND NOT diagnostics_ok THEN 'PLY diagnostics failed' END]), lambda v: v IS NOT NULL) AS problems FROM sin),
-sco AS (SELECT delivery, problems, len(problems) = 0 AS ok, round_even(web, 2) AS sog_mb, round_even(coalesce(ply_bytes / 1048576.0e0, 0), 2) AS ply_mb,
+sco AS (SELECT delivery, problems, len(problems) = 0 AS ok, CAST(printf('%.2f', CAST(web AS DOUBLE)) AS DOUBLE) AS sog_mb, CAST(printf('%.2f', CAST(coalesce(ply_bytes / 1048576.0e0, 0) AS DOUBLE)) AS DOUBLE) AS ply_mb,
   greatest(0, 100 - CASE WHEN validation_ok THEN 0 ELSE 40 END - CASE WHEN web > 12 THEN 20 ELSE 0 END - CASE WHEN coalesce(point_count, 0) < 120000 THEN 20 ELSE 0 END
   - CASE WHEN coalesce(radius_p99 > 20, false) THEN 10 ELSE 0 END - least(10, len(problems) * 3)) AS score FROM spr)"""
 

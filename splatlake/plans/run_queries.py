@@ -9,7 +9,7 @@ from . import fixtures as X
 from .fixtures import oracle
 from .registry import query
 
-ROUND3 = "round_even(selected_count / target_frames::DOUBLE, 3)"
+ROUND3 = "CAST(printf('%.3f', CAST(selected_count / target_frames::DOUBLE AS DOUBLE)) AS DOUBLE)"
 # Summary rows built from the fixture: flags and problem texts follow from the run's own numbers.
 SUM = f"""rc AS (SELECT run_id, sweep_id, concat('run_', run_id) AS output_name, ok, score, point_count, best_psnr, train_sec, effective_mode AS sr_mode,
   CASE WHEN effective_mode = 'off' THEN '1' ELSE '2' END AS sr_effective_scale,
@@ -190,7 +190,7 @@ def report_tables(spark, d):
     coalesce(m AND run_id % 8 <> 0 AND requested_mode <> effective_mode, false) OR (m AND run_id % 19 = 0) AS sr_fallback,
     CASE WHEN s AND run_id % 6 = 0 THEN ['clipped_frames'] ELSE [] END AS sr_risk_flags,
     sel AS extraction_selected_count, CASE WHEN x OR xd THEN target_frames END AS extraction_target_frames,
-    round_even(sel / target_frames::DOUBLE, 3) AS extraction_coverage_ratio, round_even(sel / target_frames::DOUBLE, 3) >= 1 AS extraction_meets_target,
+    CAST(printf('%.3f', CAST(sel / target_frames::DOUBLE AS DOUBLE)) AS DOUBLE) AS extraction_coverage_ratio, CAST(printf('%.3f', CAST(sel / target_frames::DOUBLE AS DOUBLE)) AS DOUBLE) >= 1 AS extraction_meets_target,
     CASE WHEN x OR xd THEN selected_count % 4 = 0 END AS extraction_relaxed,
     CASE WHEN x OR xd THEN CASE WHEN run_id % 2 = 0 THEN span WHEN run_id % 3 = 0 THEN span / 2 END END AS extraction_temporal_coverage,
     CASE WHEN (x OR xd) AND run_id % 4 <> 0 THEN 0.85e0 ELSE 0.8e0 END AS extraction_temporal_target,
@@ -248,7 +248,7 @@ INPUTS = """inp AS (SELECT run_id, CASE run_id % 4 WHEN 0 THEN 1920 WHEN 1 THEN
   CASE WHEN run_id % 8 = 0 THEN NULL ELSE span + 0.5e0 END AS temporal_coverage, CASE WHEN run_id % 9 = 0 THEN 0.6e0 END AS temporal_target,
   list_filter([CASE WHEN run_id % 31 = 0 THEN 'blurry_frames' END, CASE WHEN run_id % 29 = 0 THEN 'clipped_frames' END, CASE WHEN run_id % 5 = 0 THEN 'low_frame_count' END], lambda v: v IS NOT NULL) AS problems,
   span / 4 + 0.01e0 AS diff_p50, span / 4 + 0.02e0 AS diff_p90, CAST(score AS DOUBLE) AS contrast_p10, span / 2 + 0.07e0 AS clipped_p90 FROM runs)"""
-FLAGGED = """flg AS (SELECT *, round_even(selected_count / min_frames::DOUBLE, 3) AS coverage_ratio, list_sort(list_distinct(list_filter([
+FLAGGED = """flg AS (SELECT *, CAST(printf('%.3f', CAST(selected_count / min_frames::DOUBLE AS DOUBLE)) AS DOUBLE) AS coverage_ratio, list_sort(list_distinct(list_filter([
   CASE WHEN list_contains(problems, 'clipped_frames') OR clipped_p90 > 0.55e0 THEN 'clipped_frames' END, CASE WHEN diff_p50 < 0.015e0 THEN 'near_duplicate_frames' END,
   CASE WHEN diff_p90 > 0.22e0 THEN 'large_view_jumps_or_exposure_changes' END, CASE WHEN contrast_p10 < 5 THEN 'low_contrast_frames' END], lambda v: v IS NOT NULL))) AS sr_risk_flags FROM inp)"""
 STRAT = """str AS (SELECT *, CASE WHEN long_edge >= 1800 THEN 'large' WHEN list_contains(problems, 'blurry_frames') OR coalesce(sharpness_p10 < 45, false) THEN 'blur'

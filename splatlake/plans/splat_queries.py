@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from ..functions.scalars import r6
+from ..functions.scalars import r6, round_half_even
 from ..operators import diagnostics as D, encodings as E, splats as S
 from . import fixtures as X
 from .fixtures import oracle
@@ -454,7 +454,7 @@ def candidate_tables(spark, d):
 CAND = """ver(candidate, t) AS (VALUES ('base', -1e0), ('t05', 0.05e0), ('t20', 0.2e0), ('t45', 0.45e0)),
 cl AS (SELECT dec.*, candidate FROM dec, ver WHERE opacity > t),
 cm AS (SELECT scene_id, candidate, quantile_cont(x, 0.5) AS cx, quantile_cont(y, 0.5) AS cy, quantile_cont(z, 0.5) AS cz, count(*) AS point_count,
-  round_even(count(*)*4096/1048576.0e0, 2) AS size_mb FROM cl GROUP BY ALL),
+  CAST(printf('%.2f', CAST(count(*)*4096/1048576.0e0 AS DOUBLE)) AS DOUBLE) AS size_mb FROM cl GROUP BY ALL),
 cr AS (SELECT scene_id, candidate, quantile_cont(sqrt((x-cx)*(x-cx)+(y-cy)*(y-cy)+(z-cz)*(z-cz)), 0.99) AS radius_p99,
   max(sqrt((x-cx)*(x-cx)+(y-cy)*(y-cy)+(z-cz)*(z-cz))) AS radius_max FROM cl JOIN cm USING (scene_id, candidate) GROUP BY ALL),
 cf AS (SELECT scene_id, candidate, unnest([scale_raw_0, scale_raw_1, scale_raw_2]) AS s FROM cl),
@@ -478,8 +478,8 @@ def _(spark, d):
 
 
 @query("candidate_delta", oracle("""SELECT scene_id, candidate, point_count - base_point_count AS points_delta,
-    round_even(100.0e0*(point_count-base_point_count)/greatest(1, base_point_count), 2) AS points_delta_percent,
-    round_even(size_mb-base_size, 2) + 0.0 AS size_mb_delta, round(radius_p99-base_radius_p99, 6) + 0.0 AS radius_p99_delta,
+    CAST(printf('%.2f', CAST(100.0e0*(point_count-base_point_count)/greatest(1, base_point_count) AS DOUBLE)) AS DOUBLE) AS points_delta_percent,
+    CAST(printf('%.2f', CAST(size_mb-base_size AS DOUBLE)) AS DOUBLE) + 0.0 AS size_mb_delta, round(radius_p99-base_radius_p99, 6) + 0.0 AS radius_p99_delta,
     round(scale_actual_p99-base_scale, 6) + 0.0 AS scale_actual_p99_delta FROM del""", *steps("splats_emb", "enc", "dec"), CAND, views="splats_emb"))
 def _(spark, d):
     rows = D.candidate_delta(*candidate_tables(spark, d))
@@ -487,12 +487,12 @@ def _(spark, d):
                        r6("radius_p99_delta").alias("radius_p99_delta"), r6("scale_actual_p99_delta").alias("scale_actual_p99_delta"))
 
 
-@query("recommend_candidate", oracle("""SELECT scene_id, candidate, round_even(candidate_score, 2) AS score FROM
+@query("recommend_candidate", oracle("""SELECT scene_id, candidate, CAST(printf('%.2f', CAST(candidate_score AS DOUBLE)) AS DOUBLE) AS score FROM
     (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY candidate_score DESC, candidate) AS i FROM sco) t WHERE i = 1""",
     *steps("splats_emb", "enc", "dec"), CAND, views="splats_emb"))
 def _(spark, d):
     rows = D.recommend_candidate(D.candidate_delta(*candidate_tables(spark, d)))
-    return rows.select("scene_id", "candidate", F.bround("candidate_score", 2).alias("score"))
+    return rows.select("scene_id", "candidate", round_half_even("candidate_score", 2).alias("score"))
 
 
 @query("candidates_all_ok", oracle("SELECT scene_id, bool_and(ok) AS ok FROM met GROUP BY scene_id", *steps("splats_emb", "enc", "dec"), CAND, views="splats_emb"))
