@@ -87,7 +87,7 @@ def preview_color(splats: DataFrame) -> DataFrame:
     return splats.withColumns({n: v.cast("smallint") for n, v in zip(names, values)})
 
 
-def points_to_splats(points: DataFrame, init_opacity: float = 0.1) -> DataFrame:
+def points_to_splats(points: DataFrame, init_opacity: float = 0.5) -> DataFrame:
     """Initial splats of a point cloud: colour to DC coefficient, identity rotation, one opacity logit."""
     dc = {n: (F.col(c) / 255.0 - 0.5) / SH_C0 for n, c in zip(DC, ("red", "green", "blue"))}
     quat = {c: F.lit(v) for c, v in zip(QUAT, (1.0, 0.0, 0.0, 0.0))}

@@ -135,7 +135,7 @@ def _(spark, d):
 def _(spark, d):
     shown = S.rgba_to_u8(S.sh_to_rgb(emb(spark, d).withColumn("opacity", F.lit(1.0))))
     cloud = shown.select(*KEY, *[F.col(f"{c}_u8").alias(c) for c in ("red", "green", "blue")])
-    return S.points_to_splats(cloud).select(*KEY, *[r6(c).alias(c) for c in S.DC], "rot_0", "rot_1", r6("opacity_raw").alias("opacity_raw"))
+    return S.points_to_splats(cloud, 0.1).select(*KEY, *[r6(c).alias(c) for c in S.DC], "rot_0", "rot_1", r6("opacity_raw").alias("opacity_raw"))
 
 
 EXTENT = """mean AS (SELECT scene_id, avg(rot_0) AS mx, avg(rot_1) AS my, avg(rot_2) AS mz FROM splats_emb GROUP BY scene_id),
