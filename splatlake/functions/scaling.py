@@ -41,22 +41,29 @@ def fits_one_task(df: DataFrame) -> bool:
     return df.count() <= _setting(df, "oneTaskRows", ONE_TASK_ROWS)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write the rows to the shared checkpoint folder and read them back.
+def shared_path(spark) -> str:
+    """A fresh path below the folder that the cluster names for checkpoints; executors must reach it.
 
-    Unlike an RDD checkpoint this computes the rows once, keeps them columnar and
-    gives the reader exact file sizes.  On a cluster the folder must be configured.
+    Only a local session without that setting gets a temporary folder of its own.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/splatlake/{uuid.uuid4().hex}"
+    return f"{folder.rstrip('/')}/splatlake/{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the rows to the shared folder and read them back.
+
+    Unlike an RDD checkpoint this computes the rows once, keeps them columnar and
+    gives the reader exact file sizes.
+    """
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small_side(table: DataFrame) -> tuple[DataFrame, bool]:
