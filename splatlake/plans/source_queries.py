@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.order_stats import ranked
 from ..functions.scalars import r6
 from ..functions.scaling import shared_path
-from ..operators import encodings as E, splats as S
+from ..operators import encodings as E
 from ..sources import records as R, reports
 from . import fixtures as X
 from .fixtures import oracle
@@ -34,7 +34,7 @@ def _(spark, d):
     path = shared_path(spark)
     R.write_ply(R.standard_columns(X.splats_emb(spark, d)), path)
     back = R.read_ply(spark, path)
-    return back.select("scene_id", F.lit(len(back.columns) - 2).alias("columns"), *[r6(F.col(c).cast("double")).alias(c) for c in ("x", "opacity", "scale_2", "rot_3", "f_dc_1", "nx", "f_rest_44")])
+    return back.select("scene_id", F.lit(len(back.columns) - 3).alias("columns"), *[r6(F.col(c).cast("double")).alias(c) for c in ("x", "opacity", "scale_2", "rot_3", "f_dc_1", "nx", "f_rest_44")])
 
 
 @query("write_ply_web", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, round(x, 4) + 0.0 AS x, round(opacity, 4) AS opacity, round(sz, 4) AS scale_2, 1e0 AS nx FROM dec", *steps("splats_emb", "enc", "dec"), views="splats_emb"))
@@ -57,9 +57,8 @@ def _(spark, d):
     path = shared_path(spark)
     R.write_splat(X.splats_emb(spark, d), path)
     rows = R.read_splat(spark, path)
-    keyed = S.depth_keys(rows.withColumns({a: F.col(a).cast("double") for a in "xyz"}))
-    return ranked(keyed, ["scene_id"], [F.col("depth").desc(), F.col("ordinal")], "p").select(
-        "scene_id", (F.col("p") - 1).alias("position"), r6("x").alias("x"), "red", "green", "blue", "alpha", "rot_u8_0")
+    return ranked(rows, ["scene_id"], ["part", "ordinal"], "p").select(
+        "scene_id", (F.col("p") - 1).alias("position"), r6(F.col("x").cast("double")).alias("x"), "red", "green", "blue", "alpha", "rot_u8_0")
 
 
 @query("write_reports", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, count(*) AS n, CASE WHEN scene_id % 3 = 0 THEN NULL ELSE min(point_id) END AS first FROM splats_emb GROUP BY scene_id", views="splats_emb"))

@@ -6,8 +6,9 @@ The driver lists files and looks at one header, for the schema.
 
     spark.dataSource.register(PlySource); spark.read.format("ply").load(folder)
 
-Both formats add `scene_id` (file stem, or the folder of a written scene) and
-`ordinal` (position of the record in its file).
+Both formats add `scene_id` (file stem, or the folder of a written scene), `part`
+(file name; parts of a scene follow each other in name order) and `ordinal`
+(position of the record in its file).
 """
 
 from __future__ import annotations
@@ -132,6 +133,8 @@ class _RecordReader(DataSourceReader):
                 for name, field in zip(names, self.schema.fields):
                     if name == "scene_id":
                         columns.append(pa.array([scene] * n, pa.string()))
+                    elif name == "part":
+                        columns.append(pa.array([posixpath.basename(partition.path)] * n, pa.string()))
                     elif name == "ordinal":
                         columns.append(pa.array(np.arange(at, at + n, dtype=np.int64)))
                     elif name in layout.names:
@@ -159,7 +162,7 @@ class _RecordWriter(DataSourceArrowWriter):
 
     def __init__(self, root: str, schema: T.StructType, kind: str, overwrite: bool):
         self.root, self.kind, self.job = root, kind, uuid.uuid4().hex[:12]
-        self.columns = [f for f in schema.fields if f.name not in ("scene_id", "ordinal")]
+        self.columns = [f for f in schema.fields if f.name not in ("scene_id", "part", "ordinal")]
         self.has_scene = "scene_id" in schema.names
         if kind == "ply":
             self.lines, layout = [], []
@@ -230,7 +233,7 @@ class _RecordSource(DataSource):
 
     def schema(self) -> T.StructType:
         layout = self._layout()
-        return T.StructType([T.StructField("scene_id", T.StringType()), T.StructField("ordinal", T.LongType()),
+        return T.StructType([T.StructField("scene_id", T.StringType()), T.StructField("part", T.StringType()), T.StructField("ordinal", T.LongType()),
                              *[T.StructField(n, _SPARK[layout[n].str[1:]]) for n in layout.names]])
 
     def _root(self) -> str:
@@ -287,10 +290,12 @@ def read_splat(spark: SparkSession, path: str) -> DataFrame:
 
 
 def as_splats(raw: DataFrame) -> DataFrame:
-    """Rename file columns to the library's raw splat columns; 32-bit floats become doubles."""
-    names = {"opacity": "opacity_raw", **{f"scale_{i}": f"scale_raw_{i}" for i in range(3)}, "ordinal": "point_id"}
+    """Rename file columns to the library's raw splat columns and add `point_id`; 32-bit floats become doubles."""
+    names = {"opacity": "opacity_raw", **{f"scale_{i}": f"scale_raw_{i}" for i in range(3)}}
     wide = [F.col(f.name).cast("double") if isinstance(f.dataType, T.FloatType) else F.col(f.name) for f in raw.schema.fields]
-    return raw.select(*[c.alias(names.get(n, n)) for c, n in zip(wide, raw.columns)])
+    # file order is the order of these ids
+    point_id = F.concat_ws(":", "part", F.format_string("%012d", "ordinal"))
+    return raw.select(point_id.alias("point_id"), *[c.alias(names.get(n, n)) for c, n in zip(wide, raw.columns)])
 
 
 def write_ply(df: DataFrame, path: str) -> None:
