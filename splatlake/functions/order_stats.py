@@ -1,8 +1,8 @@
 """Exact order statistics per group: percentiles, k-th values and row ranks.
 
-Small inputs use Spark's own exact `percentile` and `row_number`.  Both keep a
-whole group in one task, so beyond the size check the same numbers come from jobs
-whose per-task state is bounded whatever the group size:
+A group of ordinary size is sorted in one task.  Groups that the size check finds
+too large for that (only those) get the same numbers from jobs whose per-task state
+is bounded whatever the group size:
 
 * values at given ranks: every round counts the group's values into a fixed number
   of ordered buckets, keeps the bucket that holds the rank, and narrows to that
@@ -16,12 +16,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .scalars import col, finite
-from .scaling import attach, durable, fits_one_task
+from .scaling import attach, durable, hot_groups
 
 BUCKETS = 4096
 _HUGE = 1.7976931348623157e308
 
 
+def _bound(size_of: DataFrame | None, df: DataFrame, keys) -> DataFrame:
+    """The frame to measure: `size_of` when it knows all the keys."""
+    return size_of if size_of is not None and set(keys) <= set(size_of.columns) else df
+
+
 def _orderable(c) -> Column:
     c = col(c).cast("double")
     return F.when(~F.isnan(c), c)
@@ -58,29 +63,54 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
 def group_stats(df: DataFrame, keys, percentiles: dict, aggs=(), size_of: DataFrame | None = None) -> DataFrame:
     """One row per group with exact interpolated percentiles and ordinary aggregates.
 
-    `percentiles` maps an output name to (column, fraction).  NULL and NaN are left out.
-    `size_of` is the frame whose size bounds this one (joins inflate estimates).
+    `percentiles` maps an output name to (column, fraction); a tuple of columns is pooled.
+    NULL and NaN are left out.  `size_of` is the frame that bounds this one row by row
+    and is cheaper to count.
     """
     keys, aggs = list(keys), list(aggs)
-    by_column: dict = {}  # percentiles of one column share one value map
+    pools: dict = {}  # percentiles of one column share one sorted list
     for name, (c, p) in percentiles.items():
-        by_column.setdefault(c if isinstance(c, str) else id(c), (col(c), []))[1].append((name, p))
-
-    if fits_one_task(size_of if size_of is not None else df):
-        packed = [F.percentile(_orderable(c), [p for _, p in wanted]).alias(f"_q{i}")
-                  for i, (c, wanted) in enumerate(by_column.values())]
-        out = df.groupBy(*keys).agg(*packed, *aggs)
-        unpacked = [F.col(f"_q{i}")[j].alias(name)
-                    for i, (_, wanted) in enumerate(by_column.values()) for j, (name, _) in enumerate(wanted)]
-        rest = [F.col(c) for c in out.columns if not c.startswith("_q") and c not in keys]
-        return out.select(*keys, *unpacked, *rest)
-
-    entries = [F.struct(F.lit(i).alias("m"), _orderable(c).alias("v")) for i, (c, _) in enumerate(by_column.values())]
+        members = c if isinstance(c, tuple) else (c,)
+        mark = tuple(x if isinstance(x, str) else id(x) for x in members)
+        columns = [_orderable(x) for x in members]
+        pools.setdefault(mark, (columns, []))[1].append((name, float(p)))
+    pools = list(pools.values())
+    hot = hot_groups(_bound(size_of, df, keys), keys)
+    if hot is None:
+        return _sorted_stats(df, keys, pools, percentiles, aggs)
+    cold = _sorted_stats(attach(df, hot, keys, "left_anti"), keys, pools, percentiles, aggs)
+    return cold.unionByName(_spread_stats(attach(df, hot, keys, "left_semi"), keys, pools, percentiles, aggs))
+
+
+def _between(low: Column, high: Column, h: Column, r: Column) -> Column:
+    """Linear interpolation at real rank `h` between the values at ranks r and r + 1."""
+    return F.when(h == r, low).otherwise((r + 1 - h) * low + (h - r) * high)
+
+
+def _sorted_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
+    lists = []
+    for i, (columns, _) in enumerate(pools):
+        parts = [F.collect_list(c) for c in columns]
+        lists.append(F.sort_array(parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))).alias(f"_q{i}"))
+    out = df.groupBy(*keys).agg(*lists, *aggs)
+    picked = {}
+    for i, (_, wanted) in enumerate(pools):
+        n = F.size(f"_q{i}")
+        for name, p in wanted:
+            h = (n - 1) * F.lit(p)
+            r = F.floor(h)
+            at = lambda k: F.get(F.col(f"_q{i}"), k.cast("int"))
+            picked[name] = F.when(n > 0, _between(at(r), at(r + 1), h, r))
+    rest = [F.col(c) for c in out.columns if not c.startswith("_q") and c not in keys]
+    return out.select(*keys, *[picked[n].alias(n) for n in percentiles], *rest)
+
+
+def _spread_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
+    entries = [F.struct(F.lit(i).alias("m"), c.alias("v")) for i, (columns, _) in enumerate(pools) for c in columns]
     values = (df.select(*keys, F.explode(F.array(*entries)).alias("e"))
               .select(*keys, "e.m", "e.v").filter("v IS NOT NULL"))
     sizes = durable(values.groupBy(*keys, "m").agg(F.count("*").alias("n")))
-    wanted = [F.struct(F.lit(i).alias("m"), F.lit(name).alias("name"), F.lit(float(p)).alias("p"))
-              for i, (_, names) in enumerate(by_column.values()) for name, p in names]
+    wanted = [F.struct(F.lit(i).alias("m"), F.lit(name).alias("name"), F.lit(p).alias("p")) for i, (_, names) in enumerate(pools) for name, p in names]
     goals = (sizes.withColumn("w", F.explode(F.filter(F.array(*wanted), lambda w: w["m"] == F.col("m"))))
              .select(*keys, "m", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("h"))
              .withColumn("r_lo", F.floor("h")).withColumn("r_hi", F.ceil("h")))
@@ -89,21 +119,25 @@ def group_stats(df: DataFrame, keys, percentiles: dict, aggs=(), size_of: DataFr
     low = found.select(*keys, "m", F.col("r").alias("r_lo"), F.col("value").alias("v_lo"))
     high = found.select(*keys, "m", F.col("r").alias("r_hi"), F.col("value").alias("v_hi"))
     both = goals.join(low, [*keys, "m", "r_lo"]).join(high, [*keys, "m", "r_hi"])
-    value = F.when(F.col("r_lo") == F.col("r_hi"), F.col("v_lo")).otherwise(
-        (F.col("r_hi") - F.col("h")) * F.col("v_lo") + (F.col("h") - F.col("r_lo")) * F.col("v_hi"))
+    value = _between(F.col("v_lo"), F.col("v_hi"), F.col("h"), F.col("r_lo"))
     wide = (both.withColumn("value", value).groupBy(*keys)
             .agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in percentiles]))
     plain = df.groupBy(*keys).agg(*(aggs or [F.count("*").alias("_n")]))
-    joined = plain.join(wide, keys, "left")
     rest = [F.col(c) for c in plain.columns if c not in keys and c != "_n"]
-    return joined.select(*keys, *percentiles, *rest)
+    return plain.join(wide, keys, "left").select(*keys, *percentiles, *rest)
 
 
 def ranked(df: DataFrame, keys, order, name: str = "ordinal", size_of: DataFrame | None = None) -> DataFrame:
     """Add the 1-based position of each row inside its group; `order` must be total."""
     keys, order = list(keys), [col(o) for o in order]
-    if fits_one_task(size_of if size_of is not None else df):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    hot = hot_groups(_bound(size_of, df, keys), keys)
+    whole = lambda rows: rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+    if hot is None:
+        return whole(df)
+    return whole(attach(df, hot, keys, "left_anti")).unionByName(_spread_rank(attach(df, hot, keys, "left_semi"), keys, order, name))
+
+
+def _spread_rank(df: DataFrame, keys, order, name: str) -> DataFrame:
     by = [F.col(k) for k in keys] + order
     split = (df.repartitionByRange(*by).sortWithinPartitions(*by)
              .withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()))
@@ -132,19 +166,23 @@ def lower_median(df: DataFrame, keys, value, size_of: DataFrame | None = None) -
 
 def _at_rank(values: DataFrame, keys, rank: Column, size_of) -> DataFrame:
     """Value at a 1-based rank that depends on the group's size `n`."""
-    if fits_one_task(size_of if size_of is not None else values):
-        here = Window.partitionBy(*keys)
-        return (values.withColumn("n", F.count("*").over(here))
-                .withColumn("_i", F.row_number().over(here.orderBy("v")))
-                .filter(F.col("_i") == rank).select(*keys, F.col("v").alias("value")))
-    targets = values.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, (rank - 1).alias("r"))
-    return values_at_ranks(values, keys, targets).drop("r")
+    hot = hot_groups(_bound(size_of, values, keys), keys)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("_l")).withColumn("n", F.size("_l").cast("bigint"))
+        return lists.select(*keys, F.get(F.col("_l"), (rank - 1).cast("int")).alias("value"))
+
+    if hot is None:
+        return whole(values)
+    large = attach(values, hot, keys, "left_semi")
+    targets = large.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, (rank - 1).alias("r"))
+    return whole(attach(values, hot, keys, "left_anti")).unionByName(values_at_ranks(large, keys, targets).drop("r"))
 
 
 def lagged(df: DataFrame, keys, order, columns: dict, size_of: DataFrame | None = None) -> DataFrame:
     """Add columns holding the previous row's values; `columns` maps new name to source column."""
     keys, order = list(keys), [col(o) for o in order]
-    if fits_one_task(size_of if size_of is not None else df):
+    if hot_groups(_bound(size_of, df, keys), keys) is None:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({new: F.lag(old).over(w) for new, old in columns.items()})
     numbered = durable(ranked(df, keys, order, "_at", size_of))

@@ -2,8 +2,8 @@
 
 Every operator that could pile a whole scene into one task (a sort inside a
 window, an exact percentile map) or ship a table to every executor (a broadcast)
-asks here first.  The answer comes from the optimizer's own size estimate, so no
-job runs; a plan without an estimate is counted instead.
+asks here first.  Small inputs are told by the optimizer's own size estimate, so no
+job runs; for others the groups are counted, and only the hot ones go the long way.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ import uuid
 
 from pyspark.sql import DataFrame, functions as F
 
-ONE_TASK_BYTES = 64 << 20
+ONE_TASK_BYTES = 64 << 20  # whole input below this: no group can be large
 BROADCAST_BYTES = 16 << 20
-ONE_TASK_ROWS = 2_000_000
+ONE_TASK_ROWS = 2_000_000  # rows of one group above this: the group is spread out
 SALTS = 32
 _UNKNOWN = 1 << 60
 
@@ -33,12 +33,18 @@ def plan_bytes(df: DataFrame) -> int | None:
     return None if size >= _UNKNOWN else size
 
 
-def fits_one_task(df: DataFrame) -> bool:
-    """True when even the whole input is small enough for a single task."""
+def hot_groups(df: DataFrame, keys) -> DataFrame | None:
+    """Keys of the groups too large for one task, None when every group fits.
+
+    An input whose whole estimate is small has none, and no job runs.  Otherwise one
+    pass counts rows per group (partial counts, so a hot group costs nothing extra).
+    """
     size = plan_bytes(df)
-    if size is not None:
-        return size <= _setting(df, "oneTaskBytes", ONE_TASK_BYTES)
-    return df.count() <= _setting(df, "oneTaskRows", ONE_TASK_ROWS)
+    if size is not None and size <= _setting(df, "oneTaskBytes", ONE_TASK_BYTES):
+        return None
+    limit = _setting(df, "oneTaskRows", ONE_TASK_ROWS)
+    hot = durable(df.groupBy(*keys).count().filter(F.col("count") > limit).drop("count"))
+    return None if hot.isEmpty() else hot
 
 
 def shared_path(spark) -> str:

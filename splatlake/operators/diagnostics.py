@@ -20,31 +20,22 @@ def diagnose(splats: DataFrame, keys=("scene_id",)) -> DataFrame:
     keys = list(keys)
     scaled = has_scales(splats)
     opaque = "opacity_raw" in splats.columns
-    extra = [F.col(c).cast("double") for c in (SCALES if scaled else ())]
-    wide = splats.select(*keys, *[F.col(c).cast("double").alias(c) for c in XYZ],
-                         (F.col("opacity_raw").cast("double") if opaque else F.lit(None).cast("double")).alias("o"),
-                         F.posexplode(F.array(*extra) if scaled else F.array(*[F.lit(None).cast("double")] * 3)).alias("axis", "s"))
-    first = F.col("axis") == 0
-    once = {a: F.when(first, F.col(a)) for a in XYZ}
-    opacity = F.when(first, F.col("o"))
-    specs = {n: (once[a], 0.5) for n, a in zip(CENTER, XYZ)}
-    specs |= {"scale_median": ("s", 0.5), "scale_p50": ("s", 0.5), "scale_p95": ("s", 0.95), "scale_p99": ("s", 0.99), "scale_max": ("s", 1.0)}
+    none = F.lit(None).cast("double")
+    raw = tuple(SCALES) if scaled else (none,)
+    opacity = F.col("opacity_raw").cast("double") if opaque else none
+    specs = {n: (a, 0.5) for n, a in zip(CENTER, XYZ)}
+    specs |= {"scale_median": (raw, 0.5), "scale_p50": (raw, 0.5), "scale_p95": (raw, 0.95), "scale_p99": (raw, 0.99), "scale_max": (raw, 1.0)}
     specs |= {"opacity_raw_p50": (opacity, 0.5), "opacity_raw_p95": (opacity, 0.95), "opacity_raw_max": (opacity, 1.0)}
-    seen = nan_to_null("o")
-    passed = group_stats(wide, keys, specs, [
-        F.count_if(first).alias("count"), F.count_if(first & ~all_finite(*XYZ)).alias("non_finite"),
+    seen = nan_to_null(opacity)
+    passed = group_stats(splats, keys, specs, [
+        F.count("*").alias("count"), F.count_if(~all_finite(*XYZ)).alias("non_finite"),
         F.min(seen).alias("_o_min"), F.max(seen).alias("_o_max"),
-        *[F.min(nan_to_null(a)).alias(f"{a}_min") for a in XYZ], *[F.max(nan_to_null(a)).alias(f"{a}_max") for a in XYZ]],
-        size_of=splats)
-    # exp keeps order, so a percentile that falls on a value is the exp of the raw one;
-    # interpolated ones need the decoded values themselves, hence the second pass.
-    rows = attach(splats, passed.select(*keys, *CENTER, "scale_median"), keys)
-    log = F.col("scale_median") < LOG_SCALE_BELOW
-    base = rows.select(*keys, distance(XYZ, CENTER).alias("dist"), log.alias("log"),
-                       F.posexplode(F.array(*extra) if scaled else F.array(F.lit(None).cast("double"))).alias("axis", "s"))
-    radius = F.when((F.col("axis") == 0) & finite("dist"), F.col("dist"))
-    linear = F.when(F.col("log"), exp_scale("s")).otherwise(F.col("s"))
-    about = group_stats(base, keys, {
+        *[F.min(nan_to_null(a)).alias(f"{a}_min") for a in XYZ], *[F.max(nan_to_null(a)).alias(f"{a}_max") for a in XYZ]])
+    rows = attach(splats, passed.select(*keys, *CENTER, (F.col("scale_median") < LOG_SCALE_BELOW).alias("_log")), keys)
+    dist = distance(XYZ, CENTER)
+    radius = F.when(finite(dist), dist)
+    linear = tuple(F.when(F.col("_log"), exp_scale(s)).otherwise(s) for s in (F.col(c).cast("double") if isinstance(c, str) else c for c in raw))
+    about = group_stats(rows, keys, {
         "radius_p50": (radius, 0.5), "radius_p95": (radius, 0.95), "radius_p99": (radius, 0.99), "radius_max": (radius, 1.0),
         "scale_actual_p50": (linear, 0.5), "scale_actual_p95": (linear, 0.95), "scale_actual_p99": (linear, 0.99),
         "scale_actual_max": (linear, 1.0)}, size_of=splats)

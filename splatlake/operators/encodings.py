@@ -21,11 +21,10 @@ def splat_encoding(splats: DataFrame, keys=("scene_id",)) -> DataFrame:
     """One row per scene: is opacity a logit, is scale a logarithm, and the median that decided it."""
     keys = list(keys)
     opacity = (F.col("opacity_raw") if "opacity_raw" in splats.columns else F.lit(None)).cast("double")
-    axes = F.array(*[F.col(c).cast("double") for c in SCALES]) if has_scales(splats) else F.array(F.lit(None).cast("double"))
-    rows = splats.select(*keys, opacity.alias("o"), F.explode(axes).alias("s"))
-    seen = nan_to_null("o")
-    stats = group_stats(rows, keys, {"scale_median": ("s", 0.5)},
-                        [F.min(seen).alias("o_min"), F.max(seen).alias("o_max")], size_of=splats)
+    scales = SCALES if has_scales(splats) else (F.lit(None).cast("double"),)
+    seen = nan_to_null(opacity)
+    stats = group_stats(splats, keys, {"scale_median": (tuple(scales), 0.5)},
+                        [F.min(seen).alias("o_min"), F.max(seen).alias("o_max")])
     return stats.select(
         *keys,
         F.coalesce((F.col("o_min") < 0.0) | (F.col("o_max") > 1.0), F.lit(False)).alias("opacity_is_logit"),
