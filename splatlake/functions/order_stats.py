@@ -149,34 +149,43 @@ def _spread_rank(df: DataFrame, keys, order, name: str) -> DataFrame:
             .withColumn(name, F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift"))
 
 
-def kth_smallest(df: DataFrame, keys, value, frac: float, at_least: int = 1, size_of: DataFrame | None = None) -> DataFrame:
-    """The int(n * frac)-th smallest value per group, without interpolation (column `kth`)."""
-    keys = list(keys)
-    values = df.select(*keys, _orderable(value).alias("v")).filter("v IS NOT NULL")
-    rank = F.greatest(F.lit(at_least), F.floor(F.col("n") * F.lit(float(frac)))).cast("bigint")
-    return _at_rank(values, keys, rank, size_of).withColumnRenamed("value", "kth")
+def kth_rank(frac: float, at_least: int = 1) -> Column:
+    """1-based rank int(n * frac) of a group of `n` values."""
+    return F.greatest(F.lit(at_least), F.floor(F.col("n") * F.lit(float(frac)))).cast("bigint")
 
 
-def lower_median(df: DataFrame, keys, value, size_of: DataFrame | None = None) -> DataFrame:
-    """The ((n + 1) / 2)-th smallest value per group (column `value`)."""
-    keys = list(keys)
-    values = df.select(*keys, _orderable(value).alias("v")).filter("v IS NOT NULL")
-    return _at_rank(values, keys, F.floor((F.col("n") + 1) / 2).cast("bigint"), size_of)
+def lower_median_rank() -> Column:
+    return F.floor((F.col("n") + 1) / 2).cast("bigint")
 
 
-def _at_rank(values: DataFrame, keys, rank: Column, size_of) -> DataFrame:
-    """Value at a 1-based rank that depends on the group's size `n`."""
+def rank_stats(df: DataFrame, keys, value, ranks: dict, size_of: DataFrame | None = None) -> DataFrame:
+    """Values at 1-based ranks, without interpolation; `ranks` maps a name to a rank in terms of `n`."""
+    keys = list(keys)
+    values = df.select(*keys, _orderable(value).alias("v")).filter("v IS NOT NULL")
     hot = hot_groups(_bound(size_of, values, keys), keys)
 
     def whole(rows: DataFrame) -> DataFrame:
         lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("_l")).withColumn("n", F.size("_l").cast("bigint"))
-        return lists.select(*keys, F.get(F.col("_l"), (rank - 1).cast("int")).alias("value"))
+        return lists.select(*keys, *[F.get(F.col("_l"), (r - 1).cast("int")).alias(name) for name, r in ranks.items()])
 
     if hot is None:
         return whole(values)
     large = attach(values, hot, keys, "left_semi")
-    targets = large.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, (rank - 1).alias("r"))
-    return whole(attach(values, hot, keys, "left_anti")).unionByName(values_at_ranks(large, keys, targets).drop("r"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), (r - 1).alias("r")) for name, r in ranks.items()]))
+    goals = durable(large.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, wanted.alias("w")).select(*keys, "w.name", "w.r"))
+    found = goals.join(values_at_ranks(large, keys, goals.select(*keys, "r")), [*keys, "r"])
+    far = found.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in ranks])
+    return whole(attach(values, hot, keys, "left_anti")).unionByName(far)
+
+
+def kth_smallest(df: DataFrame, keys, value, frac: float, at_least: int = 1, size_of: DataFrame | None = None) -> DataFrame:
+    """The int(n * frac)-th smallest value per group (column `kth`)."""
+    return rank_stats(df, keys, value, {"kth": kth_rank(frac, at_least)}, size_of)
+
+
+def lower_median(df: DataFrame, keys, value, size_of: DataFrame | None = None) -> DataFrame:
+    """The ((n + 1) / 2)-th smallest value per group (column `value`)."""
+    return rank_stats(df, keys, value, {"value": lower_median_rank()}, size_of)
 
 
 def lagged(df: DataFrame, keys, order, columns: dict, size_of: DataFrame | None = None) -> DataFrame:

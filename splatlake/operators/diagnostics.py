@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.order_stats import group_stats
 from ..functions.scalars import all_finite, distance, exp_scale, finite, nan_to_null, round_half_even
-from ..functions.scaling import attach
+from ..functions.scaling import attach, durable
 from .encodings import LOG_SCALE_BELOW, SCALES, has_scales
 from .splats import CENTER, XYZ
 
@@ -27,10 +27,10 @@ def diagnose(splats: DataFrame, keys=("scene_id",)) -> DataFrame:
     specs |= {"scale_median": (raw, 0.5), "scale_p50": (raw, 0.5), "scale_p95": (raw, 0.95), "scale_p99": (raw, 0.99), "scale_max": (raw, 1.0)}
     specs |= {"opacity_raw_p50": (opacity, 0.5), "opacity_raw_p95": (opacity, 0.95), "opacity_raw_max": (opacity, 1.0)}
     seen = nan_to_null(opacity)
-    passed = group_stats(splats, keys, specs, [
+    passed = durable(group_stats(splats, keys, specs, [
         F.count("*").alias("count"), F.count_if(~all_finite(*XYZ)).alias("non_finite"),
         F.min(seen).alias("_o_min"), F.max(seen).alias("_o_max"),
-        *[F.min(nan_to_null(a)).alias(f"{a}_min") for a in XYZ], *[F.max(nan_to_null(a)).alias(f"{a}_max") for a in XYZ]])
+        *[F.min(nan_to_null(a)).alias(f"{a}_min") for a in XYZ], *[F.max(nan_to_null(a)).alias(f"{a}_max") for a in XYZ]]))
     rows = attach(splats, passed.select(*keys, *CENTER, (F.col("scale_median") < LOG_SCALE_BELOW).alias("_log")), keys)
     dist = distance(XYZ, CENTER)
     radius = F.when(finite(dist), dist)

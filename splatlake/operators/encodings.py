@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.order_stats import group_stats
 from ..functions.scalars import exp_scale, nan_to_null, sigmoid
-from ..functions.scaling import attach
+from ..functions.scaling import attach, durable
 
 SCALES = ("scale_raw_0", "scale_raw_1", "scale_raw_2")
 # Fixed value: a median scale below this can only be a logarithm.
@@ -41,7 +41,8 @@ def scale_kind(splats: DataFrame, keys=("scene_id",)) -> DataFrame:
 def decode(splats: DataFrame, keys=("scene_id",), encoding: DataFrame | None = None) -> DataFrame:
     """Add `opacity` and linear `sx, sy, sz` (plus `scale_is_log`) to a raw splat table."""
     keys = list(keys)
-    enc = encoding if encoding is not None else splat_encoding(splats, keys)
+    # written once, so that later passes over the decoded rows do not repeat the aggregate
+    enc = encoding if encoding is not None else durable(splat_encoding(splats, keys))
     rows = attach(splats, enc.select(*keys, "opacity_is_logit", "scale_is_log"), keys)
     if "opacity_raw" in splats.columns:
         raw = F.col("opacity_raw").cast("double")

@@ -34,10 +34,10 @@ def _spread_bits(c: Column) -> Column:
 
 def curve_key(points: DataFrame, keys) -> DataFrame:
     """Add `_z`, the Z-curve position; asinh about the median keeps far outliers from flattening the core."""
-    centers = medians(points, keys)
+    centers = durable(medians(points, keys))
     rows = attach(points, centers, keys)
     rows = rows.withColumns({f"_d{a}": F.col(a) - F.col(c) for a, c in zip(XYZ, CENTER)})
-    unit = rows.groupBy(*keys).agg(*[F.avg(F.log(F.abs(f"_d{a}") + 1e-12)).alias(f"_l{a}") for a in XYZ])
+    unit = durable(rows.groupBy(*keys).agg(*[F.avg(F.log(F.abs(f"_d{a}") + 1e-12)).alias(f"_l{a}") for a in XYZ]))
     rows = attach(rows, unit, keys).withColumns({f"_u{a}": F.asinh(F.col(f"_d{a}") / F.exp(f"_l{a}")) for a in XYZ})
     span = rows.groupBy(*keys).agg(*[f(f"_u{a}").alias(f"_{n}{a}") for a in XYZ for n, f in (("m", F.min), ("n", F.max))])
     rows = attach(rows, span, keys)

@@ -6,9 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.order_stats import evenly_spaced, group_stats, kth_smallest, lower_median, ranked
+from ..functions.order_stats import evenly_spaced, group_stats, kth_rank, lower_median, lower_median_rank, rank_stats, ranked
 from ..functions.scalars import (SH_C0, all_finite, clip, col, distance, finite, max_ignoring_nan, norm, to_byte)
-from ..functions.scaling import attach
+from ..functions.scaling import attach, durable
 from .encodings import decode, has_scales
 
 XYZ = ("x", "y", "z")
@@ -31,7 +31,7 @@ def medians(splats: DataFrame, keys=("scene_id",), where: Column | None = None,
 
 def dist_to_center(splats: DataFrame, keys=("scene_id",), centers: DataFrame | None = None) -> DataFrame:
     """Add `dist`, the distance to the per-scene centre (the median unless given)."""
-    centers = medians(splats, keys) if centers is None else centers
+    centers = durable(medians(splats, keys)) if centers is None else centers
     return attach(splats, centers.select(*keys, *CENTER), keys).withColumn("dist", distance(XYZ, CENTER))
 
 
@@ -194,7 +194,7 @@ def confidence_filter(splats: DataFrame, opacity_min: float = 0.0, max_scale: fl
     if max_scale > 0 and has_scales(splats):
         keep = keep & finite("max_scale") & (F.col("max_scale") <= max_scale)
     if radius_percentile > 0:
-        centers = medians(rows, keys, F.col("_finite"), size_of=splats)
+        centers = durable(medians(rows, keys, F.col("_finite"), size_of=splats))
         rows = dist_to_center(rows, keys, centers).drop(*CENTER)
         limits = group_stats(rows, keys, {"_p": (F.when(F.col("_finite"), F.col("dist")), radius_percentile / 100.0)}, size_of=splats)
         rows = attach(rows, limits.select(*keys, (F.col("_p") + radius_margin).alias("radius_limit")), keys)
@@ -214,7 +214,7 @@ def core_crop(splats: DataFrame, core_opacity_percentile: float = 80.0, lower: f
     keys = list(keys)
     rows = decode(splats, keys).withColumn("_finite", all_finite(*XYZ, "opacity"))
     floor = group_stats(rows, keys, {"_floor": (F.when(F.col("_finite"), F.col("opacity")), core_opacity_percentile / 100.0)}, size_of=splats)
-    rows = attach(rows, floor, keys)
+    rows = attach(rows, durable(floor), keys)
     core = F.col("_finite") & (F.col("opacity") >= F.col("_floor"))
     if max_scale > 0 and has_scales(splats):
         core = core & (max_ignoring_nan("sx", "sy", "sz") <= max_scale)
@@ -239,20 +239,17 @@ def scene_radius_robust(splats: DataFrame, keys=("scene_id",)) -> DataFrame:
     keys = list(keys)
     axes = F.explode(F.array(*[F.struct(F.lit(n).alias("axis"), F.col(c).cast("double").alias("v")) for n, c in zip(CENTER, XYZ)]))
     per_axis = lower_median(splats.select(*keys, axes.alias("a")).select(*keys, "a.axis", "a.v"), [*keys, "axis"], "v", size_of=splats)
-    centers = per_axis.groupBy(*keys).agg(*[F.max(F.when(F.col("axis") == n, F.col("value"))).alias(n) for n in CENTER])
+    centers = durable(per_axis.groupBy(*keys).agg(*[F.max(F.when(F.col("axis") == n, F.col("value"))).alias(n) for n in CENTER]))
     dist = dist_to_center(splats, keys, centers).select(*keys, "dist")
-    mid = lower_median(dist, keys, "dist", size_of=splats).withColumnRenamed("value", "median_dist")
-    k95 = kth_smallest(dist, keys, "dist", 0.95, size_of=splats).withColumnRenamed("kth", "p95_dist")
-    k99 = kth_smallest(dist, keys, "dist", 0.99, size_of=splats).withColumnRenamed("kth", "p99_dist")
+    spread = rank_stats(dist, keys, "dist", {"median_dist": lower_median_rank(), "p95_dist": kth_rank(0.95), "p99_dist": kth_rank(0.99)}, size_of=splats)
     radius = F.greatest(F.col("median_dist") * 3.0, F.col("p95_dist") * 1.2, F.lit(0.01))
-    return (centers.join(mid, keys, "left").join(k95, keys, "left").join(k99, keys, "left")
-            .withColumn("scene_radius", radius))
+    return centers.join(spread, keys, "left").withColumn("scene_radius", radius)
 
 
 def geometry_prune(splats: DataFrame, max_scale_relative: float = 0.15, keys=("scene_id",)) -> DataFrame:
     """Add `keep`: largest axis and distance strictly below limits taken from the robust scene radius."""
     keys = list(keys)
-    stats = scene_radius_robust(splats, keys)
+    stats = durable(scene_radius_robust(splats, keys))
     rows = with_max_scale(attach(decode(splats, keys), stats, keys)).withColumn("dist", distance(XYZ, CENTER))
     reach = F.least(F.col("p99_dist"), F.col("scene_radius") * 2.0)
     keep = (F.col("max_scale") < F.col("scene_radius") * max_scale_relative) & (F.col("dist") < reach)

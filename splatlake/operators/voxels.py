@@ -189,7 +189,8 @@ def voxel_components(voxels: DataFrame, connectivity: int = 26, keys=("scene_id"
     labels = labels.select(*keys, *IJK, "n", F.struct(*ROOT).alias("root"))
     for mapping in rounds:
         labels = attach(labels, mapping, [*keys, "root"]).withColumn("root", F.coalesce("new_root", "root")).drop("new_root")
-    return labels.select(*keys, *IJK, "n", *[F.col(f"root.{r}").alias(r) for r in ROOT])
+    labels = labels.select(*keys, *IJK, "n", *[F.col(f"root.{r}").alias(r) for r in ROOT])
+    return durable(labels) if rounds else labels
 
 
 # ---- component tables ------------------------------------------------------
@@ -281,18 +282,18 @@ def auto_cleanup_params(decoded: DataFrame, opacity_min: float, seed=(0.0, 0.0,
     size_of = size_of if size_of is not None else decoded
     ok = all_finite(*XYZ, "opacity")
     rows = decoded.withColumn("_ok", ok)
-    p35 = group_stats(rows, keys, {"p35": (F.when(F.col("_ok"), F.col("opacity")), 0.35)}, [F.count_if("_ok").alias("finite_count")], size_of=size_of)
-    p35 = p35.withColumn("opacity_floor", F.greatest(F.lit(float(opacity_min)), "p35"))
+    p35 = durable(group_stats(rows, keys, {"p35": (F.when(F.col("_ok"), F.col("opacity")), 0.35)}, [F.count_if("_ok").alias("finite_count")], size_of=size_of)
+                  .withColumn("opacity_floor", F.greatest(F.lit(float(opacity_min)), "p35")))
     rows = attach(rows, p35.select(*keys, "opacity_floor"), keys)
     counts = rows.groupBy(*keys).agg(F.count_if(F.col("_ok") & (F.col("opacity") >= F.col("opacity_floor"))).alias("n1"),
                                      F.count_if(F.col("_ok") & (F.col("opacity") >= opacity_min)).alias("n2"))
     cut = (F.when(F.col("n1") >= min_high, F.col("opacity_floor")).when(F.col("n2") >= min_high, F.lit(float(opacity_min)))
            .otherwise(F.lit(float("-inf"))))
-    levels = p35.join(counts, keys).select(*keys, "opacity_floor", "finite_count", cut.alias("cut"))
+    levels = durable(p35.join(counts, keys).select(*keys, "opacity_floor", "finite_count", cut.alias("cut")))
     rows = attach(rows.drop("opacity_floor"), levels.select(*keys, "cut"), keys)
     high = F.col("_ok") & (F.col("opacity") >= F.col("cut"))
     rows = rows.withColumn("_high", high)
-    centers = medians(rows, keys, F.col("_high"), size_of=size_of)
+    centers = durable(medians(rows, keys, F.col("_high"), size_of=size_of))
     rows = attach(rows, centers, keys)
     dist = F.when(F.col("_high"), distance(XYZ, CENTER))
     wide = F.when(F.col("_high"), max_ignoring_nan("sx", "sy", "sz"))
@@ -338,7 +339,7 @@ def cluster_clean(splats: DataFrame, params: CleanParams = CleanParams(), keys=(
         base = base & ((limit <= 0) | (max_ignoring_nan("sx", "sy", "sz") <= limit))
 
     voxeled = voxel_key(decoded.filter(base), p.voxel_size)
-    labelled = durable(voxel_components(voxel_occupancy(voxeled, keys), p.connectivity, keys))
+    labelled = voxel_components(voxel_occupancy(voxeled, keys), p.connectivity, keys)
     stats = component_stats(labelled, p.voxel_size, seeds, p.seed, keys)
     chosen = durable(select_component(stats, p.select, p.min_component_points, keys))
     core = attach(labelled, chosen.select(*keys, *ROOT), [*keys, *ROOT], "left_semi")

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from ..functions.order_stats import kth_smallest, lower_median
 from ..functions.scalars import r6, round_half_even
 from ..operators import diagnostics as D, encodings as E, splats as S
 from . import fixtures as X
@@ -281,8 +282,8 @@ rr AS (SELECT *, greatest(median_dist*3, p95_dist*1.2e0, 0.01e0) AS scene_radius
     round(list_sort(list(y))[(count(*)+1)//2], 6) + 0.0 AS lower_median FROM splats_li GROUP BY scene_id""", views="splats_li"))
 def _(spark, d):
     rows = li(spark, d)
-    k95 = S.kth_smallest(rows, ["scene_id"], "y", 0.95)
-    mid = S.lower_median(rows, ["scene_id"], "y")
+    k95 = kth_smallest(rows, ["scene_id"], "y", 0.95)
+    mid = lower_median(rows, ["scene_id"], "y")
     return k95.join(mid, "scene_id").select("scene_id", r6("kth").alias("k95"), r6("value").alias("lower_median"))
 
 
