@@ -63,7 +63,8 @@ def _pass_array(ladder) -> Column:
 
 # ---- near-duplicate gate ---------------------------------------------------
 
-def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "raw_index", data: str = "pixels", chunk: int = 256) -> DataFrame:
+def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "raw_index", data: str = "pixels", chunk: int = 256,
+                  materialized: bool = False) -> DataFrame:
     """Greedy gate per pass: keep a frame that differs enough from the last kept one.
 
     The choice is a chain along the sequence, so it is replayed in chunks of at most
@@ -74,12 +75,15 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
 
     `frames` needs the sharpness metric; rows below a pass's threshold are no part of
     its chain.  Returns (keys, order, pass_no, kept, frame_diff) for the others.
+    Every round reads the frames, so they are written out first unless `materialized`.
     """
     keys = list(keys)
     ladder = list(ladder)
     slim = frames.select(*keys, order, "sharpness", "width", "height", F.col(data).alias("pixels"), F.floor(F.col(order) / chunk).alias("_chunk"))
     lowest = min(s for _, _, s, _ in ladder)
     slim = slim.filter(F.col("sharpness") >= lowest)
+    if not materialized:
+        slim = durable(slim)
     key_fields = [f for f in slim.schema.fields if f.name in keys]
     out = T.StructType([*key_fields, T.StructField("_chunk", T.LongType()), T.StructField(order, T.LongType()), T.StructField("pass_no", T.IntegerType()),
                         T.StructField("kept", T.BooleanType()), T.StructField("frame_diff", T.DoubleType()), T.StructField("_start", T.LongType()),
@@ -151,10 +155,12 @@ def filter_frames(frames: DataFrame, ladder, max_frames: int, band: dict | None
     """
     keys, ladder = list(keys), list(ladder)
     good = exposure_ok(**(band or EXPOSURE))
+    if data:  # decoded and measured once, then read by the metric table and by every round of the chain
+        frames = durable(frames.select(*keys, order, "brightness", "contrast", "clipped_ratio", "sharpness", "width", "height", data))
     metrics = frames.select(*keys, order, "brightness", "contrast", "clipped_ratio", "sharpness", good.alias("_good"))
     rows = metrics.withColumn("_p", F.explode(_pass_array(ladder))).select("*", "_p.*").drop("_p")
     if data:
-        chain = near_dup_gate(frames.filter(good), ladder, keys, order, data, chunk)
+        chain = near_dup_gate(frames.filter(good), ladder, keys, order, data, chunk, materialized=True)
         rows = rows.join(chain, [*keys, order, "pass_no"], "left")
         duplicate = ~F.coalesce(F.col("kept"), F.lit(True))
     else:

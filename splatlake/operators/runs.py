@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.order_stats import ranked
 from ..functions.scalars import problem_list, round_half_even
-from ..functions.scaling import attach
+from ..functions.scaling import attach, durable
 
 DEFAULT_SPAN = 0.80
 MIN_REGISTERED_RATIO = 0.45
@@ -256,7 +256,8 @@ def action_items(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id", name:
         "delivery_assets": problem_contains("missing web asset") | problem_contains("missing PLY file") | problem_contains("PLY diagnostics failed"),
     }
     areas = problem_list(*[F.when(test, F.lit(area)) for area, test in tests.items()])
-    hits = (rows.select(*keys, tie, name, *RANK_KEYS, "sr_risk_flags", F.explode(areas).alias("area")))
+    # read four times below, so evaluated once
+    hits = durable(rows.select(*keys, tie, name, *RANK_KEYS, "sr_risk_flags", F.explode(areas).alias("area")))
     totals = hits.groupBy(*keys, "area").agg(F.count("*").alias("count"))
     # the flag vocabulary is small and fixed, so the distinct set per sweep is too
     flags = (hits.filter("area = 'sr_consistency'").select(*keys, "area", F.explode("sr_risk_flags").alias("flag"))
