@@ -92,7 +92,8 @@ def _sorted_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
     for i, (columns, _) in enumerate(pools):
         parts = [F.collect_list(c) for c in columns]
         lists.append(F.sort_array(parts[0] if len(parts) == 1 else F.flatten(F.array(*parts))).alias(f"_q{i}"))
-    out = df.groupBy(*keys).agg(*lists, *aggs)
+    # lists do not shrink by partial aggregation, so plain rows are shuffled and gathered after
+    out = df.repartition(*keys).groupBy(*keys).agg(*lists, *aggs)
     picked = {}
     for i, (_, wanted) in enumerate(pools):
         n = F.size(f"_q{i}")
@@ -165,7 +166,7 @@ def rank_stats(df: DataFrame, keys, value, ranks: dict, size_of: DataFrame | Non
     hot = hot_groups(_bound(size_of, values, keys), keys)
 
     def whole(rows: DataFrame) -> DataFrame:
-        lists = rows.groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("_l")).withColumn("n", F.size("_l").cast("bigint"))
+        lists = rows.repartition(*keys).groupBy(*keys).agg(F.sort_array(F.collect_list("v")).alias("_l")).withColumn("n", F.size("_l").cast("bigint"))
         return lists.select(*keys, *[F.get(F.col("_l"), (r - 1).cast("int")).alias(name) for name, r in ranks.items()])
 
     if hot is None:
