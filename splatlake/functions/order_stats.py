@@ -96,12 +96,12 @@ def _sorted_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
     out = df.repartition(*keys).groupBy(*keys).agg(*lists, *aggs)
     picked = {}
     for i, (_, wanted) in enumerate(pools):
-        n = F.size(f"_q{i}")
         for name, p in wanted:
-            h = (n - 1) * F.lit(p)
-            r = F.floor(h)
-            at = lambda k: F.get(F.col(f"_q{i}"), k.cast("int"))
-            picked[name] = F.when(n > 0, _between(at(r), at(r + 1), h, r))
+            h = f"((size(_q{i}) - 1) * {p!r}D)"
+            at = lambda k: f"get(_q{i}, CAST({k} AS INT))"
+            mixed = f"(floor({h}) + 1 - {h}) * {at(f'floor({h})')} + ({h} - floor({h})) * {at(f'floor({h}) + 1')}"
+            # text, because building such an expression call by call costs more than running it on small inputs
+            picked[name] = F.expr(f"CASE WHEN size(_q{i}) > 0 THEN IF({h} = floor({h}), {at(h)}, {mixed}) END")
     rest = [F.col(c) for c in out.columns if not c.startswith("_q") and c not in keys]
     return out.select(*keys, *[picked[n].alias(n) for n in percentiles], *rest)
 
