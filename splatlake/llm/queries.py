@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import language, mixing, ngram_join, packing
+from . import dual_tree, katz, language, licenses, mixing, multiprobe, ngram_join, packing, urls, warc
 from .common import table
 
 QUERIES: dict = {}
@@ -34,11 +34,39 @@ def op1_packing(spark, d):
     return packing.pack(pieces)
 
 
+@query
+def op2_warc(spark, d):
+    pages = table(spark, d, "pages", "page_id", "url", "html")
+    back, kind = warc.archive(pages), pages.schema["page_id"].dataType
+    return back.select(F.col("key").cast(kind).alias("page_id"), "payload_bytes", F.coalesce(F.sha1("payload"), "digest").alias("payload_digest"), "record_type",
+                       F.col("refers_to_key").cast(kind).alias("refers_to"))
+
+
 @query
 def op3_ngram_jaccard(spark, d):
     return ngram_join.jaccard_components(table(spark, d, "documents", "doc_id", "text"))
 
 
+@query
+def op4_katz(spark, d):
+    return katz.score(table(spark, d, "documents", "doc_id", "text"), bucket(F.col("doc_id"), 7) != 2)
+
+
+@query
+def op5_multiprobe(spark, d):
+    return multiprobe.search(table(spark, d, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op6_url_filter(spark, d):
+    return urls.judge(table(spark, d, "pages", "page_id", "url"))
+
+
+@query
+def op7_licenses(spark, d):
+    return licenses.scan(table(spark, d, "documents", "doc_id", "text"))[0]
+
+
 @query
 def op8_language_id(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text", "lang")
@@ -52,3 +80,14 @@ def op8_language_id(spark, d):
 def op9_mixing(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text", "source", "lang")
     return mixing.mix(docs).select("doc_id", "source", "lang", "topic", "tokens", "weight", "probability", "sampled")
+
+
+@query
+def op10_dual_tree(spark, d):
+    return dual_tree.search(table(spark, d, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op10_dual_tree"] = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, list_dot_product(q.v::DOUBLE[], e.v::DOUBLE[])::BIGINT AS score FROM e q, e WHERE q.vec_id % 20 = 0 AND e.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20"""
