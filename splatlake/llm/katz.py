@@ -69,14 +69,15 @@ class Block:
         self.words = np.frombuffer(words, np.uint64)  # sorted
         self.stream = np.frombuffer(zlib.decompress(stream), np.int32)
         self.sizes, self.train = np.array(sizes, np.int64), np.array(train, bool)
-        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.doc = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)
         first = np.zeros(len(self.stream), bool)
         first[np.concatenate([[0], np.cumsum(self.sizes)[:-1]])] = True
-        self.context = np.where(first, -1, np.concatenate([[0], self.stream[:-1]]))
+        self.context = np.where(first, np.int32(-1), np.concatenate([self.stream[:1], self.stream[:-1]]))
         seen = self.words[self.context]
         seen[first] = START
-        pair = _bigrams(seen, self.words[self.stream])
-        self.pairs, self.at, self.pair = np.unique(pair, return_index=True, return_inverse=True)
+        seen = _bigrams(seen, self.words[self.stream])
+        self.pairs, at, pair = np.unique(seen, return_index=True, return_inverse=True)
+        self.at, self.pair = at.astype(np.int32), pair.astype(np.int32)
         self.live = self.train[self.doc]
 
 

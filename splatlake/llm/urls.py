@@ -3,7 +3,7 @@
 Level by level, a path segment stays literal where enough URLs below the same node
 share it; all others become a wildcard.  Sibling branches whose shares of blocked labels do not
 differ significantly are merged.  A branch is rejected by its purity, smoothed towards the same template over
-all hosts, which is itself smoothed towards the share over all.
+all hosts, which is itself smoothed towards a prior.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ SHARE, SUPPORT = 0.02, 3  # of a node's URLs that a literal segment needs, at le
 DEPTH = 6  # levels told apart; what lies deeper is one wildcard
 STRENGTH = 20.0  # labelled URLs that the smoothing counts as
 ALIKE = 1.96  # z value up to which two branches are alike
+PRIOR = 0.2  # share of blocked labels taken for granted where there are none
 REJECT = 0.5
 
 
@@ -70,11 +71,11 @@ def merge_alike(stats: DataFrame, alike: float = ALIKE) -> DataFrame:
     return stats.withColumn("_cut", cut).withColumn("branch", F.sum("_cut").over(order)).drop("_cut")
 
 
-def judge(pages: DataFrame, rules=RULES, reject: float = REJECT, strength: float = STRENGTH) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, reject: float = REJECT, strength: float = STRENGTH, prior: float = PRIOR) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) per row of pages(page_id, url).
 
     Labels are the rules' own verdicts.  Where no rule fits, a URL is blocked when its branch's smoothed
-    share of blocked labels is above `reject`; without any label that share is 0.  Rows repeat as they are given.
+    share of blocked labels is above `reject`; without any label that share is `prior`.  Rows repeat as they are given.
     """
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -82,10 +83,8 @@ def judge(pages: DataFrame, rules=RULES, reject: float = REJECT, strength: float
     rows = durable(templates(rows.withColumn("rule", text).withColumn("verdict", verdict)))
     stats = rows.groupBy("host", "parent", "template").agg(F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("verdict").alias("labelled"))
     stats = durable(merge_alike(stats))
-    total = stats.agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("n")).first()
-    overall = (total["b"] or 0) / max(total["n"] or 0, 1)
     smooth = lambda b, n, towards: (b + strength * towards) / (n + strength)
-    pooled = stats.groupBy("template").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(overall)).alias("_pooled"))
+    pooled = stats.groupBy("template").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(prior)).alias("_pooled"))
     branch = stats.groupBy("host", "parent", "branch").agg(
         F.sum("blocked").alias("_b"), F.sum("labelled").alias("_n"))
     purity = stats.join(pooled, "template").join(branch, ["host", "parent", "branch"]).select("host", "template", smooth(F.col("_b"), F.col("_n"), F.col("_pooled")).alias("purity"))
