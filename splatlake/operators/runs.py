@@ -63,7 +63,8 @@ def join_run_reports(outputs: DataFrame, reports: dict[str, DataFrame], key: str
     for name, report in reports.items():
         cols = [c for c in wanted[name] if c in report.columns]
         here |= {f"{name}.{c}": f"_{name}_{c}" for c in cols}
-        rows = rows.join(report.select(key, F.lit(True).alias(f"_{name}_"), *[F.col(c).alias(f"_{name}_{c}") for c in cols]), key, "left")
+        there = F.greatest(F.lit(False), F.lit(not cols), *[F.col(c).isNotNull() for c in cols])  # an unreadable report has nothing but nulls
+        rows = rows.join(report.select(key, there.alias(f"_{name}_"), *[F.col(c).alias(f"_{name}_{c}") for c in cols]), key, "left")
 
     def get(report: str, c: str, kind: str) -> Column:
         own = here.get(f"{report}.{c}")
@@ -163,16 +164,21 @@ def rank_runs(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id") -> DataF
     return ranked(with_ranks(runs), keys, rank_order(tie), "run_rank")
 
 
+def _winners(ranked_runs: DataFrame, keys, tie: str, facts: Column) -> DataFrame:
+    """`facts` of the best run of each group as `w`; of equal runs the one of the smallest id, whatever the id's type."""
+    zero = lambda c, d=0: F.coalesce(F.col(c), F.lit(d))
+    key = F.struct(zero("ok", False), F.col("coverage_rank"), F.col("temporal_rank"), F.col("colmap_rank"), zero("score"), zero("best_psnr", -1.0), zero("point_count"), -zero("train_sec", 0.0))
+    equal = ranked_runs.groupBy(*keys, key.alias("_key")).agg(F.min_by(facts, F.col(tie)).alias("_facts"))
+    return equal.groupBy(*keys).agg(F.max_by("_facts", "_key").alias("w"))
+
+
 def recommend_run(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id") -> DataFrame:
     """Winner of each sweep (among ok runs when any is) and the reason to name it.
 
     A `max_by` keeps one candidate per partial aggregate, so a huge sweep never sorts.
     """
-    zero = lambda c, d=0: F.coalesce(F.col(c), F.lit(d))
-    key = F.struct(zero("ok", False), F.col("coverage_rank"), F.col("temporal_rank"), F.col("colmap_rank"), zero("score"),
-                   zero("best_psnr", -1.0), zero("point_count"), -zero("train_sec", 0.0), -F.col(tie))
     facts = F.struct(F.col(tie), "score", "best_psnr", "point_count", low_coverage().alias("c"), low_temporal().alias("t"), low_colmap().alias("m"))
-    won = with_ranks(runs).groupBy(*keys).agg(F.max_by(facts, key).alias("w"))
+    won = _winners(with_ranks(runs), keys, tie, facts)
     # Reasons by the winner's first weakness.
     reason = (F.when(F.col("w.c"), "best available score, but extraction coverage target was missed; capture/rerun coverage should be reviewed first")
               .when(F.col("w.t"), "best available score, but selected frames cover only part of the source timeline; review capture coverage first")
@@ -267,9 +273,7 @@ def action_items(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id", name:
              .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", name))), lambda s: s[name]).alias("names")))
     items = totals.join(heads, [*keys, "area"]).join(flags, [*keys, "area"], "left")
 
-    winner_key = F.struct(F.coalesce("ok", F.lit(False)), "coverage_rank", "temporal_rank", "colmap_rank", F.coalesce("score", F.lit(0)),
-                          F.coalesce("best_psnr", F.lit(-1.0)), F.coalesce("point_count", F.lit(0)), -F.coalesce("train_sec", F.lit(0.0)), -F.col(tie))
-    winners = rows.groupBy(*keys).agg(F.max_by(F.struct("ok", name), winner_key).alias("w"))
+    winners = _winners(rows, keys, tie, F.struct("ok", name))
     calm = (winners.filter("w.ok").join(totals.select(*keys).distinct(), keys, "left_anti")
             .select(*keys, F.lit("visual_review").alias("area"), F.lit(1).cast("bigint").alias("count"), F.array(F.col(f"w.{name}")).alias("names"),
                     F.lit(None).cast("string").alias("flags")))

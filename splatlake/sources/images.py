@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.order_stats import ranked
@@ -23,16 +25,27 @@ def list_images(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES) -> Data
 
 
 def read_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child: str = "images") -> DataFrame:
-    """Decoded frames: scene_id (folder), raw_index (by name), width, height, channels, pixels (blue-green-red bytes).
+    """Decoded frames: scene_id (folder below root), raw_index (by name), width, height, channels, pixels (blue-green-red bytes).
 
-    A folder's `child` folder, where present, holds its frames. Unreadable files are left out.
+    A folder that has a `child` folder with images is a scene made of those; its other folders
+    (masks, for one) are none. Files are numbered before they are opened, so an unreadable one leaves a gap.
     """
-    image = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root)
-    rows = image.select("image.*").filter(suffix_is("origin", suffixes))
-    folder = F.regexp_replace(F.regexp_extract("origin", r"^(.*)/[^/]+$", 1), f"/{child}$", "")
-    rows = rows.select(F.regexp_extract(folder, r"([^/]+)$", 1).alias("scene_id"), F.regexp_extract("origin", r"([^/]+)$", 1).alias("name"), "origin",
-                       "width", "height", F.col("nChannels").alias("channels"), F.col("data").alias("pixels"))
-    return ranked(rows, ["scene_id"], ["name", "origin"]).withColumn("raw_index", (F.col("ordinal") - 1).cast("int")).drop("ordinal")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    below = r"^.*?\Q" + re.sub("^file:/+", "/", root).rstrip("/") + r"\E/?"
+    listed = list_images(spark, root, suffixes).select(plain(F.col("path")).alias("origin"), "name")
+    listed = listed.withColumn("_folder", F.regexp_replace(F.regexp_extract("origin", "^(.*)/[^/]+$", 1), below, ""))
+    listed = listed.withColumn("_child", F.regexp_extract("_folder", "([^/]*)$", 1) == child)
+    listed = listed.withColumn("_above", F.regexp_replace("_folder", "/?[^/]*$", ""))
+    scenes = listed.filter("_child").select(F.col("_above").alias("_scene")).distinct()
+    other = listed.filter("NOT _child")
+    other = other.join(scenes, (other["_above"] == scenes["_scene"]) | (other["_folder"] == scenes["_scene"]), "left_anti").withColumn("scene_id", F.col("_folder"))
+    kept = listed.filter("_child").withColumn("scene_id", F.col("_above")).unionByName(other)
+    own = F.regexp_extract(plain(F.lit(root)), "([^/]+)/*$", 1)
+    kept = kept.select(F.when(F.col("scene_id") == "", own).otherwise(F.col("scene_id")).alias("scene_id"), "name", "origin")
+    numbered = ranked(kept, ["scene_id"], ["name", "origin"]).withColumn("raw_index", (F.col("ordinal") - 1).cast("int")).drop("ordinal")
+    image = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root).select("image.*")
+    decoded = image.select(plain(F.col("origin")).alias("origin"), "width", "height", F.col("nChannels").alias("channels"), F.col("data").alias("pixels"))
+    return numbered.join(decoded, "origin").select("scene_id", "name", "origin", "width", "height", "channels", "pixels", "raw_index")
 
 
 def unreadable_count(listed: DataFrame, decoded: DataFrame, keys=("scene_id",), path: str = "path") -> DataFrame:

@@ -64,6 +64,8 @@ def parse_header(stream, name: str) -> tuple[np.dtype, int, int]:
             continue
         if words[0] == "end_header":
             break
+        if words[0] == "format" and words[1:2] != ["binary_little_endian"]:
+            raise HeaderError(f"{name}: only binary little-endian files can be read, not {' '.join(words[1:])}")
         if words[0] == "element" and len(words) >= 3:
             inside = words[1] == "vertex"
             count = int(words[2]) if inside else count
@@ -104,8 +106,8 @@ class ByteRange(InputPartition):
 
 
 class _RecordReader(DataSourceReader):
-    def __init__(self, root: str, schema: T.StructType, kind: str, split: int):
-        self.root, self.schema, self.kind, self.split = root, schema, kind, split
+    def __init__(self, root: str, schema: T.StructType, kind: str, split: int, cut: bool = False):
+        self.root, self.schema, self.kind, self.split, self.cut = root, schema, kind, split, cut
 
     def partitions(self):
         _, files = _files(self.root, f".{self.kind}")
@@ -121,7 +123,10 @@ class _RecordReader(DataSourceReader):
                 layout, skip = np.dtype(list(SPLAT_FIELDS)), 0
                 count = stream.size() // layout.itemsize
             width = layout.itemsize
-            count = min(count, (stream.size() - skip) // width)  # a cut-off last record is no record
+            there = (stream.size() - skip) // width
+            if there < count and not self.cut:
+                raise HeaderError(f"{partition.path} names {count} records and holds {there}; option truncated=true reads what is there")
+            count = min(count, there)
             first = max(0, -(-(partition.start - skip) // width))
             last = min(count, max(0, -(-(partition.end - skip) // width)))
             scene = _scene_of(partition.path)
@@ -138,7 +143,7 @@ class _RecordReader(DataSourceReader):
                     elif name == "ordinal":
                         columns.append(pa.array(np.arange(at, at + n, dtype=np.int64)))
                     elif name in layout.names:
-                        code = layout[name].str[1:]
+                        code = {v.typeName(): k for k, v in _SPARK.items()}[field.dataType.typeName()]  # the table's type, which may be wider than the file's
                         columns.append(pa.array(rows[name].astype(_NUMPY[code]), _ARROW[code]))
                     else:
                         columns.append(pa.nulls(n, _ARROW[{v.typeName(): k for k, v in _SPARK.items()}[field.dataType.typeName()]]))
@@ -242,7 +247,7 @@ class _RecordSource(DataSource):
         return self.options["path"]
 
     def reader(self, schema: T.StructType):
-        return _RecordReader(self._root(), schema, self.kind, int(self.options.get("splitBytes", SPLIT_BYTES)))
+        return _RecordReader(self._root(), schema, self.kind, int(self.options.get("splitBytes", SPLIT_BYTES)), self.options.get("truncated", "false").lower() == "true")
 
     def writer(self, schema: T.StructType, overwrite: bool):
         return _RecordWriter(self._root(), schema, self.kind, overwrite)
@@ -259,8 +264,14 @@ class PlySource(_RecordSource):
         system, files = _files(self._root(), ".ply")
         if not files:
             raise FileNotFoundError(f"no .ply file below {self._root()}")
-        with system.open_input_file(files[0].path) as stream:
-            return parse_header(stream, files[0].path)[0]
+        fields: dict[str, np.dtype] = {}
+        for file in files:  # headers only
+            with system.open_input_file(file.path) as stream:
+                layout = parse_header(stream, file.path)[0]
+            for name in layout.names:
+                wide = np.promote_types(fields.get(name, layout[name]), layout[name])
+                fields[name] = wide if wide.str[1:] in _SPARK else np.dtype("<f8")
+        return np.dtype(list(fields.items()))
 
 
 class SplatSource(_RecordSource):

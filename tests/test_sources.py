@@ -125,3 +125,37 @@ def test_reports_and_listing(spark, folder):
         json.dump({"scenes": [{"output": "out/toy"}, {"name": "n", "output": "o", "notes": "x"}], "gates": {"min_score": 70}}, f)
     gates = {r["name"]: r for r in reports.read_scene_list(spark, f"{folder}/list.json").collect()}
     assert gates["toy"]["mobile_sog_mb"] == 12.0 and gates["toy"]["min_score"] == 70 and gates["n"]["min_points"] == 120_000
+
+
+def ply_bytes(fields, rows, count=None, form="binary_little_endian 1.0"):
+    types = {"f4": "float", "f8": "double", "u1": "uchar"}
+    head = ["ply", f"format {form}", f"element vertex {len(rows) if count is None else count}", *[f"property {types[t]} {n}" for n, t in fields], "end_header"]
+    return ("\n".join(head) + "\n").encode() + np.array([tuple(r) for r in rows], [(n, "<" + t) for n, t in fields]).tobytes()
+
+
+def test_folder_of_different_headers_loses_nothing(spark, tmp_path):
+    (tmp_path / "a.ply").write_bytes(ply_bytes([("x", "f4"), ("y", "u1")], [(1.5, 2)]))
+    (tmp_path / "b.ply").write_bytes(ply_bytes([("x", "f8"), ("opacity", "f4")], [(0.1, 0.25)]))
+    got = {r.scene_id: (r.x, r.y, r.opacity) for r in records.read_ply(spark, str(tmp_path)).collect()}
+    assert got == {"a": (1.5, 2, None), "b": (0.1, None, 0.25)}
+
+
+def test_cut_and_foreign_files_are_errors(spark, tmp_path):
+    (tmp_path / "cut.ply").write_bytes(ply_bytes([("x", "f4")], [(1,), (2,)], count=5))
+    with pytest.raises(Exception, match="truncated=true"):
+        records.read_ply(spark, str(tmp_path / "cut.ply")).collect()
+    assert spark.read.format("ply").option("truncated", "true").load(str(tmp_path / "cut.ply")).count() == 2
+    (tmp_path / "big.ply").write_bytes(ply_bytes([("x", "f4")], [(1,)], form="binary_big_endian 1.0"))
+    with pytest.raises(Exception, match="little-endian"):
+        records.read_ply(spark, str(tmp_path / "big.ply")).collect()
+
+
+def test_frames_are_numbered_before_they_are_opened(spark, tmp_path):
+    pixel = bytes.fromhex("89504e470d0a1a0a0000000d4948445200000001000000010802000000907753de0000000c49444154789c63f8cfc000000301010018dd8db00000000049454e44ae426082")
+    for scene in ("p/a", "q/a"):
+        for kind in ("images", "masks"):
+            (tmp_path / scene / kind).mkdir(parents=True)
+            for n in range(3):
+                (tmp_path / scene / kind / f"f{n}.png").write_bytes(b"broken" if kind == "images" and n == 1 else pixel)
+    got = sorted((r.scene_id, r.raw_index, r.name) for r in images.read_frames(spark, str(tmp_path)).collect())
+    assert got == [(s, n, f"f{n}.png") for s in ("p/a", "q/a") for n in (0, 2)]
