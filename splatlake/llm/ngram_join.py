@@ -53,8 +53,12 @@ def zone_overlap(n: int, percent: int) -> int:
     return max(1, int(np.minimum(zone_size(n, percent) - n + both, z - m + both).min()))
 
 
-def shingle_sets(texts, hashes: WordHashes, words: int = WORDS) -> list[np.ndarray]:
-    """Sorted 64-bit tokens of the distinct shingles of each text; empty without words."""
+def shingle_sets(texts, hashes: WordHashes, words: int = WORDS, together: int = 256) -> list[np.ndarray]:
+    """Sorted 64-bit tokens of the distinct shingles of each text, empty without words; `together` texts are split at a time."""
+    return [s for lo in range(0, len(texts), together) for s in _shingle_sets(texts[lo : lo + together], hashes, words)]
+
+
+def _shingle_sets(texts, hashes: WordHashes, words: int) -> list[np.ndarray]:
     lists = [words_of(t) for t in texts]
     sizes = np.fromiter(map(len, lists), np.int64, len(lists))
     if not sizes.sum():
