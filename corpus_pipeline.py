@@ -25,7 +25,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows that share a doc_id stay or go together; rows without a doc_id stay.
     """
-    docs = docs.dropDuplicates()
+    again = durable(docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")))
+    if not again.isEmpty():  # only rows of repeated ids move
+        same = F.col("doc_id").eqNullSafe(F.col("_again"))
+        docs = durable(docs.join(again, same, "left_anti").unionByName(docs.join(again, same, "left_semi").dropDuplicates()))
     groups = ngram_join.jaccard_components(docs).filter("doc_id IS NOT NULL")
     gone = groups.groupBy("doc_id").agg(F.max(F.col("component_id") == F.col("doc_id")).alias("first")).filter("NOT first")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
