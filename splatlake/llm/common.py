@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.scaling import durable, shared_path
 
-__all__ = ["components", "durable", "shared_path", "table", "words_of", "WordHashes", "mix64"]
+__all__ = ["components", "durable", "shared_path", "small_batches", "table", "words_of", "WordHashes", "mix64"]
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """Fewer rows per Arrow batch while eager steps with wide rows run; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

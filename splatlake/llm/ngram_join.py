@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from .common import WordHashes, components, durable, mix64, words_of
+from .common import WordHashes, components, durable, mix64, small_batches, words_of
 
 WORDS, PERCENT = 5, 80
 BITS = 1024  # of a parity bitmap
@@ -208,7 +208,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Rows of equal texts are linked, also rows of equal doc_id; each row gets its own
     result row.  A null doc_id counts as larger than all others.  Other columns are ignored.
     """
-    docs = docs.select("doc_id", "text")
+    with small_batches(docs.sparkSession):  # every step with Python in it is written out below
+        return _components(docs.select("doc_id", "text"), words, percent)
+
+
+def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     sig = durable(signatures(docs, words, percent))
     bits = durable(_parities(sig))
     index = _index(sig, percent).join(bits, ["key", "n"])

@@ -22,7 +22,7 @@ from .common import durable
 
 WINDOW = 2048
 END = 1  # closes every document
-ROOM = 1 << 19  # words and word parts that a worker remembers
+ROOM = 1 << 18  # words and word parts that a worker remembers
 
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
