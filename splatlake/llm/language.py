@@ -13,12 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window as W
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 LANDMARKS = 96  # texts that span the Nystrom coordinates
 SAMPLE = 1600  # labelled texts for the regression, landmarks included
-SAMPLE_CHARS = 4000  # of a sampled text, for fitting only
+SAMPLE_CHARS = 8000  # longer texts are fitted on only where a language has too few others
 LETTERS = 47  # most frequent letters of the landmarks; all others count as one more
 RIDGE = 1e-3
 UNKNOWN = "und"
@@ -137,15 +137,26 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[floa
     return names, scores
 
 
-def sample(labelled: DataFrame, size: int = SAMPLE) -> tuple[list[str], list[str]]:
+def sample(labelled: DataFrame, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
     """At most `size` rows of labelled(doc_id, text, lang), the same share of each language, by hash of the id.
 
-    Only so many rows of so many characters reach the driver.
+    Whole texts of at most `chars` characters come first; only a language with too few of
+    them is filled up with longer ones, of which the model is fitted on the first `chars`.  At most
+    256 languages, the most frequent, are learned.  Languages are counted in one pass over
+    all rows; a second one picks, so the passes do not grow with the number of languages.
     """
-    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text")).filter("text RLIKE '\\\\p{L}'")
-    langs = [r[0] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()]
-    each = max(1, size // max(1, len(langs)))
-    picked = [r for g in langs for r in rows.filter(F.col("lang") == g).orderBy("h", "text").limit(each).collect()]
+    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    rows = rows.select("lang", (F.length("text") > chars).alias("long"), F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars).alias("text"))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(~F.col("long")).alias("short")).orderBy(F.desc("n"), "lang").limit(256).collect()
+    each = max(1, size // max(1, len(counts)))
+    if not counts:
+        return [], []
+    # Of a frequent kind only rows of small hashes are ranked, eight times as many as wanted.
+    kinds = [(c["lang"], kind, min(1.0, 8 * each / max(1, n))) for c in counts for kind, n in ((False, c["short"]), (True, c["n"] - c["short"] if c["short"] < each else 0)) if n]
+    odds = labelled.sparkSession.createDataFrame(kinds, "lang string, long boolean, odds double")
+    few = rows.join(F.broadcast(odds), ["lang", "long"]).filter(F.col("h") / 2.0**64 + 0.5 <= F.col("odds"))  # 512 rows at most
+    first = W.partitionBy("lang").orderBy("long", "h", "text")
+    picked = few.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= each).orderBy("lang", "at").collect()
     return [r["text"] for r in picked], [r["lang"] for r in picked]
 
 

@@ -229,6 +229,15 @@ def test_language_edges(spark, documents):
     assert {r.lang_pred for r in language.identify(documents(ODD), empty).collect()} == {"und"}
 
 
+def test_language_sample(spark):
+    rows = [(i, "short words " + str(i), "en") for i in range(300)] + [(1000 + i, "lange Worte " * 50, "de") for i in range(20)] + [(2000, None, "en"), (2001, "12 34", "en"), (2002, "sans langue", None), (2003, "bon", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, langs = language.sample(docs, size=30, chars=100)
+    assert {g: langs.count(g) for g in set(langs)} == {"en": 10, "de": 10, "fr": 1} and max(map(len, texts)) == 100
+    assert all(t in {r[1] for r in rows} for t, g in zip(texts, langs) if g == "en")
+    assert language.sample(docs.filter("lang IS NULL")) == ([], [])
+
+
 # --- mixing ----------------------------------------------------------------------------------------
 
 
