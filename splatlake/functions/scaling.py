@@ -72,27 +72,38 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(table: DataFrame) -> tuple[DataFrame, bool]:
-    """The table and whether it may be broadcast; a doubtful one is written out and measured."""
+def small_side(table: DataFrame, grown: bool = False) -> tuple[DataFrame, bool]:
+    """The table and whether it may be broadcast; a doubtful one is written out, its rows counted.
+
+    `grown` says that the optimizer's estimate is not to be trusted, as after an explode, which
+    it takes to add no rows.  Files are compressed, so what is written counts as rows times row width.
+    """
     limit = _setting(table, "broadcastBytes", BROADCAST_BYTES)
-    size = plan_bytes(table)
+    size = None if grown else plan_bytes(table)
     if size is not None and size <= limit:
         return table, True
     table = durable(table)
-    size = plan_bytes(table)
-    return table, size is not None and size <= limit
+    try:
+        width = int(table._jdf.schema().defaultSize())
+    except AttributeError:  # remote session: no plan handle
+        return table, False
+    return table, table.count() * width <= limit
 
 
-def attach(df: DataFrame, table: DataFrame, keys, how: str = "left") -> DataFrame:
+def attach(df: DataFrame, table: DataFrame, keys, how: str = "left", grown: bool = False, salted: bool = True) -> DataFrame:
     """Equi-join a per-key table onto rows whose keys may be badly skewed.
 
-    A measured-small table is broadcast.  A larger one is replicated over a few
-    salts so that the rows of one hot key spread over that many tasks.
+    A table that is small for certain is broadcast.  A larger one is replicated over a few
+    salts so that the rows of one hot key spread over that many tasks; `salted` is turned off for
+    tables about as large as the rows, where copies would cost more than a hot key: these
+    join by sorting, and the adaptive planner splits a partition of the rows that turns out large.
     """
     keys = list(keys)
-    table, small = small_side(table)
+    table, small = small_side(table, grown)
     if small:
         return df.join(F.broadcast(table), keys, how)
+    if not salted:
+        return df.join(table.hint("merge"), keys, how)
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
     copies = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
     return df.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")

@@ -336,7 +336,7 @@ def completed_vs_skipped(planned: DataFrame, existing: DataFrame, final_root: st
     where = F.coalesce(F.when(F.length("output_dir") > 0, F.col("output_dir")), named)
     rows = planned.withColumn("output_dir", where)
     marks = existing.select("output_dir").distinct().withColumn("_there", F.lit(True))
-    rows = attach(rows, marks, ["output_dir"])
+    rows = attach(rows, marks, ["output_dir"], salted=False)
     reason = F.when(F.col("output_dir").isNull(), "missing output_dir").when(F.col("_there").isNull(), "output directory not found")
     return rows.withColumns({"reason": reason, "status": F.when(reason.isNull(), "completed").otherwise("skipped")}).drop("_there")
 

@@ -234,7 +234,8 @@ def dilate(voxels: DataFrame, rounds: int = 1, keys=("scene_id",)) -> DataFrame:
 
 
 def keep_points_in_voxels(voxeled: DataFrame, kept: DataFrame, keys=("scene_id",)) -> DataFrame:
-    return attach(voxeled, kept.select(*keys, *IJK), [*keys, *IJK], "left_semi")
+    """Points whose voxel is kept.  A dilated set is far larger than its estimate, so its rows are counted."""
+    return attach(voxeled, kept.select(*keys, *IJK), [*keys, *IJK], "left_semi", grown=True, salted=False)
 
 
 # ---- cleanup ---------------------------------------------------------------

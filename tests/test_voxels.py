@@ -5,6 +5,7 @@ from collections import deque
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from splatlake.operators import voxels as V
 from splatlake.operators.neighbors import knn_distances
@@ -118,3 +119,16 @@ def test_neighbors_match_brute_force(spark):
     for s, pts in scenes.items():
         for i, want in enumerate(brute(pts, 3)):
             assert got[(s, i)] == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_dilated_set_is_not_broadcast_by_estimate(spark):
+    spark.conf.set("spark.splatlake.broadcastBytes", "100000")
+    try:
+        cells = spark.range(2000).select(F.lit(0).alias("scene_id"), (F.col("id") * 9).alias("vx"), F.lit(0).cast("long").alias("vy"), F.lit(0).cast("long").alias("vz"))
+        cells = cells.toDF("scene_id", *V.IJK)
+        kept = V.keep_points_in_voxels(cells, V.dilate(cells, 1))
+        assert "Broadcast" not in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == 2000
+        few = V.keep_points_in_voxels(cells, cells.limit(10))
+        assert few.count() == 10 and "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.splatlake.broadcastBytes")
