@@ -363,7 +363,10 @@ def score_inputs(summary: DataFrame) -> DataFrame:
 
 def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames: int = 160, max_side: int | None = 512, keys=("scene_id",),
                  order: str = "raw_index") -> DataFrame:
-    """Input report per scene: total frame count, metrics of a stride sample, mask summary, score."""
+    """Input report per scene: total frame count, metrics of a stride sample, mask summary, score.
+
+    Where both tables have a name, masks whose stem no frame of the scene has are left out, before counting and sampling.
+    """
     keys = list(keys)
     counts = frames.groupBy(*keys).agg(F.count("*").alias("frame_count"))
     sample = frame_stride_sample(frames, max_frames, keys, order)
@@ -376,6 +379,8 @@ def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames:
     stats = group_stats(measured, keys, spec, [F.count("*").alias("sampled_count"), first.alias("_dims")], size_of=frames)
     report = counts.join(stats, keys, "left").withColumns({"width": F.col("_dims.width"), "height": F.col("_dims.height")}).drop("_dims")
     if masks is not None:
+        if "name" in masks.columns and "name" in frames.columns:
+            masks = pair_masks(masks, frames, keys)
         paired = masks if order not in masks.columns else frame_stride_sample(masks, max_frames, keys, order)
         total = masks.groupBy(*keys).agg(F.count("*").alias("mask_total"))
         summary = mask_summary(mask_stats(paired), keys).drop("mask_count").withColumnRenamed("fg_ratio_p50", "fg_p50")

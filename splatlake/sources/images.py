@@ -38,7 +38,7 @@ def read_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child:
     listed = listed.withColumn("_above", F.regexp_replace("_folder", "/?[^/]*$", ""))
     scenes = listed.filter("_child").select(F.col("_above").alias("_scene")).distinct()
     other = listed.filter("NOT _child")
-    other = other.join(scenes, (other["_above"] == scenes["_scene"]) | (other["_folder"] == scenes["_scene"]), "left_anti").withColumn("scene_id", F.col("_folder"))
+    other = other.join(scenes, other["_above"] == scenes["_scene"], "left_anti").join(scenes, F.col("_folder") == scenes["_scene"], "left_anti").withColumn("scene_id", F.col("_folder"))
     kept = listed.filter("_child").withColumn("scene_id", F.col("_above")).unionByName(other)
     own = F.regexp_extract(plain(F.lit(root)), "([^/]+)/*$", 1)
     kept = kept.select(F.when(F.col("scene_id") == "", own).otherwise(F.col("scene_id")).alias("scene_id"), "name", "origin")

@@ -80,6 +80,13 @@ def test_bad_scene_scores_low(spark):
     assert 0 <= row["score"] < 50 and row["frame_count"] == 9
 
 
+def test_masks_without_a_frame_do_not_count(spark):
+    shots = frames([np.full((12, 12), v) for v in (0, 255, 128)]).assign(name=["a.png", "b.png", "c.png"])
+    masks = frames([np.full((12, 12), 255)] * 3).assign(name=["a.jpg", "c.png", "stray.png"])
+    row = G.assess_scene(spark.createDataFrame(shots), spark.createDataFrame(masks)).first()
+    assert row["mask_count"] == 2 and row["frame_count"] == 3
+
+
 def test_color_frames_and_downscale(spark):
     rng = np.random.default_rng(4)
     image = rng.integers(0, 256, (30, 40, 3), dtype=np.uint8)
