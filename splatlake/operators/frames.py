@@ -9,13 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from ..functions.order_stats import evenly_spaced, group_stats, ranked
 from ..functions.scalars import finite, problem_list, round_half_even
 from ..functions.scaling import attach, durable
-from .pixels import _array, consecutive_diff, frame_health, mask_stats, mean_abs_diff
+from .pixels import _array, channels_of, consecutive_diff, downscale_gray, frame_distance, frame_health, mask_stats
 
 # Default exposure band and the factors of the relaxing passes (sharpness, difference).
 EXPOSURE = dict(min_brightness=8.0, max_brightness=247.0, min_contrast=4.0, max_clipped_ratio=0.92)
 RELAX = ((1.0, 1.0), (0.65, 0.75), (0.40, 0.50), (0.20, 0.25))
 DEFAULT_TARGET = 48
 DEFAULT_SPAN = 0.80
+GROUP_BYTES = 128 << 20  # pixels that one chunk of the near-duplicate gate holds at most
 
 
 # ---- gates -----------------------------------------------------------------
@@ -68,22 +69,27 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
     """Greedy gate per pass: keep a frame that differs enough from the last kept one.
 
     The choice is a chain along the sequence, so it is replayed in chunks of at most
-    `chunk` frames, all at once.  Each chunk starts from a guess of the frame kept
-    before it; chunks whose guess proves wrong run again from the right frame, until
-    every start is right.  Chains soon meet, so few rounds are needed, and the result
-    is that of one walk over the whole sequence.
+    `chunk` frames (fewer where the largest frame would make a chunk exceed GROUP_BYTES), all
+    at once.  Each chunk starts from a guess of the frame kept before it; chunks whose
+    guess proves wrong run again, until every start is right, so that the result is that of
+    one walk over the whole sequence.  A chunk that keeps nothing is taken to keep nothing
+    from the right start either, so still stretches settle together, whatever their length;
+    only chains that never meet cost a round per chunk.
 
     `frames` needs the sharpness metric; rows below a pass's threshold are no part of
-    its chain.  Returns (keys, order, pass_no, kept, frame_diff) for the others.
+    its chain.  Frames with `channels` are compared over all of them; frame_distance says how
+    frames of different shapes compare.  Returns (keys, order, pass_no, kept, frame_diff) for the others.
     Every round reads the frames, so they are written out first unless `materialized`.
     """
     keys = list(keys)
     ladder = list(ladder)
-    slim = frames.select(*keys, order, "sharpness", "width", "height", F.col(data).alias("pixels"), F.floor(F.col(order) / chunk).alias("_chunk"))
+    slim = frames.select(*keys, order, "sharpness", "width", "height", channels_of(frames).alias("channels"), F.col(data).alias("pixels"))
     lowest = min(s for _, _, s, _ in ladder)
     slim = slim.filter(F.col("sharpness") >= lowest)
     if not materialized:
         slim = durable(slim)
+    largest = slim.agg(F.max(F.col("width").cast("long") * F.col("height") * F.col("channels"))).first()[0] or 1
+    slim = slim.withColumn("_chunk", F.floor(F.col(order) / max(1, min(chunk, GROUP_BYTES // largest))))
     key_fields = [f for f in slim.schema.fields if f.name in keys]
     out = T.StructType([*key_fields, T.StructField("_chunk", T.LongType()), T.StructField(order, T.LongType()), T.StructField("pass_no", T.IntegerType()),
                         T.StructField("kept", T.BooleanType()), T.StructField("frame_diff", T.DoubleType()), T.StructField("_start", T.LongType()),
@@ -91,7 +97,7 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order)
-        images = [_array(p, w, h, 1) for p, w, h in zip(pdf["pixels"], pdf["width"], pdf["height"])]
+        images = [_array(*shot) for shot in zip(pdf["pixels"], pdf["width"], pdf["height"], pdf["channels"])]
         at, sharp, role = pdf[order].to_numpy(), pdf["sharpness"].to_numpy(), pdf["_for"].to_numpy()
         head = {k: pdf[k].iloc[0] for k in keys}
         number = int(pdf.loc[pdf["_for"] < 0, "_chunk"].iloc[0])
@@ -99,14 +105,13 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
         for pass_no, _, min_sharp, min_diff in ladder:
             given = np.flatnonzero(role == pass_no)
             last = int(given[0]) if len(given) else None
-            start = int(at[last]) if last is not None else -1
+            start, end = int(at[last]) if last is not None else -1, -1
             for i in np.flatnonzero((role < 0) & (sharp >= min_sharp)):
-                diff = None if last is None else mean_abs_diff(images[last], images[i])
+                diff = None if last is None else frame_distance(images[last], images[i])
                 keep = diff is None or diff >= min_diff
                 rows.append([int(at[i]), pass_no, keep, diff, start])
                 if keep:
-                    last = int(i)
-            end = int(at[last]) if last is not None else -1
+                    last, end = int(i), int(at[i])
             rows.append([-1, pass_no, False, None, start, end])  # the chunk's own summary
         table = pd.DataFrame([r + [-1] * (6 - len(r)) for r in rows], columns=[order, "pass_no", "kept", "frame_diff", "_start", "_end"])
         for k, v in head.items():
@@ -129,14 +134,15 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
         body = slim.join(runs, [*keys, "_chunk"], "left_semi").withColumn("_for", F.lit(-1))
         givens = starts.join(runs, [*keys, "_chunk"], "left_semi").filter("_need >= 0").withColumnRenamed("_chunk", "_to")
         lead = (slim.withColumnRenamed(order, "_need").join(givens, [*keys, "_need"])
-                .select(*keys, F.col("_need").alias(order), "sharpness", "width", "height", "pixels", F.col("_to").alias("_chunk"), F.col("pass_no").alias("_for")))
+                .select(*keys, F.col("_need").alias(order), "sharpness", "width", "height", "channels", "pixels", F.col("_to").alias("_chunk"), F.col("pass_no").alias("_for")))
         fresh = body.unionByName(lead).groupBy(*keys, "_chunk").applyInPandas(walk, out)
         if done is not None:
             fresh = fresh.unionByName(done.join(runs, [*keys, "_chunk"], "left_anti"))
         done = durable(fresh)
         ends = done.filter(F.col(order) == -1)
-        before = F.coalesce(F.lag("_end").over(in_order), F.lit(-1))
-        # a chunk that kept nothing hands on what it was given; -1 means nothing kept so far
+        # the last frame that any earlier chunk kept; -1 means nothing kept so far
+        earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.last(F.when(F.col("_end") >= 0, F.col("_end")), True).over(earlier), F.lit(-1))
         wanted = durable(ends.withColumn("_need", before).select(*keys, "_chunk", "pass_no", "_need", "_start"))
         todo = wanted.filter("_need <> _start")
         if todo.isEmpty():
@@ -156,7 +162,7 @@ def filter_frames(frames: DataFrame, ladder, max_frames: int, band: dict | None
     keys, ladder = list(keys), list(ladder)
     good = exposure_ok(**(band or EXPOSURE))
     if data:  # decoded and measured once, then read by the metric table and by every round of the chain
-        frames = durable(frames.select(*keys, order, "brightness", "contrast", "clipped_ratio", "sharpness", "width", "height", data))
+        frames = durable(frames.select(*keys, order, "brightness", "contrast", "clipped_ratio", "sharpness", "width", "height", channels_of(frames).alias("channels"), data))
     metrics = frames.select(*keys, order, "brightness", "contrast", "clipped_ratio", "sharpness", good.alias("_good"))
     rows = metrics.withColumn("_p", F.explode(_pass_array(ladder))).select("*", "_p.*").drop("_p")
     if data:
@@ -370,7 +376,8 @@ def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames:
     keys = list(keys)
     counts = frames.groupBy(*keys).agg(F.count("*").alias("frame_count"))
     sample = frame_stride_sample(frames, max_frames, keys, order)
-    measured = consecutive_diff(frame_health(sample, max_side=max_side), keys, order).drop("pixels")
+    small = downscale_gray(frame_health(sample, max_side=max_side).withColumns({"_w": F.col("width"), "_h": F.col("height")}), max_side=max_side or 1 << 30)
+    measured = consecutive_diff(small, keys, order).drop("pixels", "width", "height").withColumnsRenamed({"_w": "width", "_h": "height"})
     points = (("min", 0.0), ("p10", 0.1), ("p50", 0.5), ("p90", 0.9), ("max", 1.0))
     metrics = {"sharpness": "sharpness", "diff": "frame_diff", "brightness": "brightness", "contrast": "contrast", "clipped": "clipped_ratio"}
     clean = {n: F.when(finite(m), F.col(m)) for n, m in metrics.items()}

@@ -54,6 +54,11 @@ def _laplacian_variance(gray: np.ndarray) -> float:
 HEALTH = T.StructType([T.StructField(n, T.DoubleType()) for n in ("brightness", "contrast", "dark_ratio", "bright_ratio", "clipped_ratio", "sharpness")])
 
 
+def channels_of(frames: DataFrame) -> Column:
+    """The frames' channel count, 1 where they carry none."""
+    return F.col("channels") if "channels" in frames.columns else F.lit(1)
+
+
 def health_of(max_side: int | None = None):
     @F.pandas_udf(HEALTH)
     def health(data: pd.Series, width: pd.Series, height: pd.Series, channels: pd.Series) -> pd.DataFrame:
@@ -70,8 +75,7 @@ def health_of(max_side: int | None = None):
 
 def frame_health(frames: DataFrame, data: str = "pixels", max_side: int | None = None) -> DataFrame:
     """Add brightness, contrast, dark, bright and clipped ratios and Laplacian-variance sharpness."""
-    channels = F.col("channels") if "channels" in frames.columns else F.lit(1)
-    rows = frames.withColumn("_h", health_of(max_side)(F.col(data), F.col("width"), F.col("height"), channels))
+    rows = frames.withColumn("_h", health_of(max_side)(F.col(data), F.col("width"), F.col("height"), channels_of(frames)))
     return rows.select("*", "_h.*").drop("_h")
 
 
@@ -82,8 +86,7 @@ def downscale_gray(frames: DataFrame, data: str = "pixels", max_side: int = 512)
         small = [_shrink(_gray(_array(*args)), max_side) for args in zip(d, w, h, c)]
         return pd.DataFrame({"pixels": [s.tobytes() for s in small], "width": [s.shape[1] for s in small], "height": [s.shape[0] for s in small]})
 
-    channels = F.col("channels") if "channels" in frames.columns else F.lit(1)
-    rows = frames.withColumn("_g", shrink(F.col(data), F.col("width"), F.col("height"), channels)).drop(data, "width", "height", "channels")
+    rows = frames.withColumn("_g", shrink(F.col(data), F.col("width"), F.col("height"), channels_of(frames))).drop(data, "width", "height", "channels")
     return rows.select("*", "_g.*").drop("_g")
 
 
@@ -91,26 +94,37 @@ def mean_abs_diff(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.abs(a.astype(np.float64) - b.astype(np.float64)).mean() / 255.0)
 
 
+def frame_distance(before: np.ndarray, now: np.ndarray) -> float:
+    """Mean absolute difference over 255 of two images, over all channels.
+
+    Images of different channel counts are compared in gray; one of another size is resized to the earlier one's.
+    """
+    if before.shape[2:] != now.shape[2:]:
+        before, now = _gray(before), _gray(now)
+    h, w = before.shape[:2]
+    if now.shape[:2] != (h, w):
+        now = _resize(now, w, h) if now.ndim == 2 else np.stack([_resize(now[..., i], w, h) for i in range(now.shape[2])], axis=-1)
+    return mean_abs_diff(before, now)
+
+
 @F.pandas_udf(T.DoubleType())
-def _pair_diff(prev: pd.Series, pw: pd.Series, ph: pd.Series, cur: pd.Series, w: pd.Series, h: pd.Series) -> pd.Series:
+def _pair_diff(prev: pd.Series, pw: pd.Series, ph: pd.Series, pc: pd.Series, cur: pd.Series, w: pd.Series, h: pd.Series, c: pd.Series) -> pd.Series:
     out = []
-    for p, a, b, c, x, y in zip(prev, pw, ph, cur, w, h):
+    for p, a, b, n, *now in zip(prev, pw, ph, pc, cur, w, h, c):
         if p is None or a is None or a != a:
             out.append(None)
             continue
-        before, now = _array(p, int(a), int(b), 1), _array(c, int(x), int(y), 1)
-        if before.shape != now.shape:
-            now = _resize(now, before.shape[1], before.shape[0])
-        out.append(mean_abs_diff(before, now))
+        out.append(frame_distance(_gray(_array(p, int(a), int(b), int(n))), _gray(_array(now[0], *map(int, now[1:])))))
     return pd.Series(out, dtype="float64")
 
 
 def consecutive_diff(frames: DataFrame, keys=("scene_id",), order: str = "raw_index", data: str = "pixels") -> DataFrame:
     """Add `frame_diff`, the mean absolute gray difference to the previous frame over 255; NULL for the first."""
     from ..functions.order_stats import lagged
-    rows = lagged(frames, keys, [order], {"_p": data, "_pw": "width", "_ph": "height"})
-    diff = _pair_diff("_p", "_pw", "_ph", F.col(data), F.col("width"), F.col("height"))
-    return rows.withColumn("frame_diff", F.when(F.col("_p").isNotNull(), diff)).drop("_p", "_pw", "_ph")
+    frames = frames.withColumn("_c", channels_of(frames))
+    rows = lagged(frames, keys, [order], {"_p": data, "_pw": "width", "_ph": "height", "_pc": "_c"})
+    diff = _pair_diff("_p", "_pw", "_ph", "_pc", F.col(data), F.col("width"), F.col("height"), F.col("_c"))
+    return rows.withColumn("frame_diff", F.when(F.col("_p").isNotNull(), diff)).drop("_p", "_pw", "_ph", "_pc", "_c")
 
 
 MASK = T.StructType([T.StructField("fg_ratio", T.DoubleType()), T.StructField("bbox_fill", T.DoubleType()), T.StructField("touches_edge", T.BooleanType())])

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.frames import EXPOSURE, exposure_ok
-from ..operators.pixels import mean_abs_diff
+from ..operators.pixels import _array, channels_of, frame_distance
 
 
 class _LastKept(StatefulProcessor):
@@ -20,26 +19,26 @@ class _LastKept(StatefulProcessor):
         self.min_diff, self.scene_type = min_diff, scene_type
 
     def init(self, handle) -> None:
-        self.kept = handle.getValueState("kept", "pixels array<int>")
+        self.kept = handle.getValueState("kept", "pixels binary, width int, height int, channels int")
         self.seen = handle.getValueState("seen", "raw_index bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = np.asarray(self.kept.get()[0]) if self.kept.exists() else None
+        last = _array(*self.kept.get()) if self.kept.exists() else None
         high = self.seen.get()[0] if self.seen.exists() else -1
         out, changed = [], False
         arrived = pd.concat(list(rows)).sort_values("raw_index")
-        for index, pixels in zip(arrived["raw_index"], arrived["pixels"]):
+        for index, *shot in zip(arrived["raw_index"], arrived["pixels"], arrived["width"], arrived["height"], arrived["channels"]):
             if index <= high:
                 continue
             high = int(index)
-            image = np.asarray(pixels)
-            diff = None if last is None else mean_abs_diff(last, image)
+            image = _array(*shot)
+            diff = None if last is None else frame_distance(last, image)
             keep = diff is None or diff >= self.min_diff
             out.append((key[0], high, keep, diff))
             if keep:
                 last, changed = image, True
         if changed:
-            self.kept.update(([int(v) for v in last],))
+            self.kept.update((last.astype("uint8").tobytes(), last.shape[1], last.shape[0], last.shape[2] if last.ndim > 2 else 1))
         self.seen.update((high,))
         yield pd.DataFrame(out, columns=["scene_id", "raw_index", "kept", "frame_diff"])
 
@@ -48,11 +47,11 @@ class _LastKept(StatefulProcessor):
 
 
 def stream_frame_gate(frames: DataFrame, min_sharpness: float, min_frame_diff: float, band: dict | None = None) -> DataFrame:
-    """Fate of every frame that passes the exposure and blur gates; frames carry the health metrics and gray `pixels`.
+    """Fate of every frame that passes the exposure and blur gates; frames carry the health metrics, `pixels`, width, height and, for colour, channels.
 
     On input that arrives in order the kept set is that of the batch gate. Needs the RocksDB state store.
     """
-    good = frames.filter(exposure_ok(**(band or EXPOSURE))).filter(F.col("sharpness") >= min_sharpness).select("scene_id", "raw_index", "pixels")
+    good = frames.filter(exposure_ok(**(band or EXPOSURE))).filter(F.col("sharpness") >= min_sharpness).select("scene_id", "raw_index", "pixels", "width", "height", channels_of(frames).alias("channels"))
     scene_type = dict(frames.dtypes)["scene_id"]
     return good.groupBy("scene_id").transformWithStateInPandas(
         _LastKept(min_frame_diff, scene_type), f"scene_id {scene_type}, raw_index bigint, kept boolean, frame_diff double", "Append", "None")

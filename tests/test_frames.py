@@ -41,6 +41,40 @@ def test_near_dup_gate_equals_one_walk(spark, chunk):
         assert {r["raw_index"]: r["kept"] for r in rows if r["pass_no"] == no} == walk(images, sharp, s, d)
 
 
+def test_near_dup_gate_settles_still_stretches_together(spark, monkeypatch):
+    still = [np.full((2, 3), 40)] * 64 + [np.full((2, 3), 200)] * 64
+    rounds, plain = [], G.durable
+    monkeypatch.setattr(G, "durable", lambda df: rounds.append(1) or plain(df))
+    rows = G.near_dup_gate(spark.createDataFrame(frames(still).assign(sharpness=9.0)), [(0, "strict", 1.0, 0.1)], chunk=2).collect()
+    assert sorted(r["raw_index"] for r in rows if r["kept"]) == [0, 64] and len(rows) == 128
+    assert len(rounds) <= 2 + 2 * 3  # frames, guesses, and two tables a round
+
+
+def color(images):
+    return frames([i[..., 0] for i in images]).assign(channels=[i.shape[2] for i in images], pixels=[i.astype(np.uint8).tobytes() for i in images])
+
+
+def test_near_dup_gate_compares_all_channels_and_mixed_sizes(spark):
+    red, blue = np.zeros((4, 6, 3)), np.zeros((4, 6, 3))
+    red[..., 2], blue[..., 0] = 100, 100 * 0.299 / 0.114
+    large = np.repeat(np.repeat(blue, 2, 0), 2, 1)
+    df = spark.createDataFrame(color([red, red, blue, large, large + 90]).assign(sharpness=9.0))
+    kept = sorted(r["raw_index"] for r in G.near_dup_gate(df, [(0, "strict", 1.0, 0.05)]).collect() if r["kept"])
+    assert kept == [0, 2, 4]  # equal in gray, far apart in colour; a larger copy is none
+
+
+def test_color_folder_to_report(spark):
+    rng = np.random.default_rng(3)
+    shots = [rng.integers(0, 256, (8, 10, 3)) for _ in range(7)]
+    df = spark.createDataFrame(color(shots))
+    picked, manifest = G.select_frames_adaptive(P.frame_health(df), 1.0, 0.0, 50, 2)
+    assert picked.count() == 7 and manifest.first()["kept_count"] == 7
+    row = G.assess_scene(df).first()
+    grays = [P._gray(s.astype(np.uint8)) for s in shots]
+    assert (row["width"], row["height"], row["frame_count"]) == (10, 8, 7)
+    assert row["diff_max"] == pytest.approx(max(P.mean_abs_diff(a, b) for a, b in zip(grays, grays[1:])))
+
+
 def noise(n, rng, spread=90, shape=(24, 18)):
     return [np.clip(rng.normal(128, spread, shape), 0, 255).astype(int) for _ in range(n)]
 
