@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from ..functions.order_stats import ranked
 from ..functions.scalars import r6
 from ..functions.scaling import shared_path
 from ..operators import encodings as E
-from ..sources import records as R, reports
+from ..operators.sfm import PARAM_COUNTS
+from ..sources import colmap, images, records as R, reports
 from . import fixtures as X
 from .fixtures import oracle
 from .registry import query
@@ -79,3 +85,90 @@ def _(spark, d):
     views, points, factor = reports.read_scene_data(spark, path)
     return (points.groupBy("scene_id").agg(F.count("*").alias("points"), (F.round(F.sum("x"), 5) + 0.0).alias("x"))
             .join(views.select("scene_id").distinct(), "scene_id", "left_semi").join(factor, "scene_id"))
+
+
+def model_files(rows, path: str, file_name: str, record) -> None:
+    """One sparse-model file per scene of at most 1000 records, written by the task that holds them."""
+    def write(key, pdf):
+        system, inner = fs.FileSystem.from_uri(path)
+        system.create_dir(f"{inner}/{key[0]}/sparse/0", recursive=True)
+        with system.open_output_stream(f"{inner}/{key[0]}/sparse/0/{file_name}") as out:
+            out.write(struct.pack("<Q", len(pdf)) + b"".join(map(record, pdf.itertuples())))
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    rows.groupBy("scene_id").applyInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def thousands(prefix, key: str):
+    return F.concat(prefix.cast("string"), F.lit("_"), F.floor(F.col(key) / 1000).cast("string")).alias("scene_id")
+
+
+SCENE = "concat(scene_id, '_', point_id // 1000) AS scene_id"
+COUNTS = "CASE model_id " + " ".join(f"WHEN {m} THEN {n}" for m, n in PARAM_COUNTS.items() if m < 7) + " END"
+
+
+@query("read_colmap_cameras", oracle(f"SELECT concat('c_', camera_id // 1000) AS scene_id, camera_id, model_id, CAST(width AS BIGINT) AS width, CAST(height AS BIGINT) AS height, n AS params, round(n * f0 + n * (n - 1) / 2.0e0, 4) AS total FROM (SELECT *, {COUNTS} AS n FROM cameras_fx) t", views="cameras_fx"))
+def _(spark, d):
+    path = shared_path(spark)
+
+    def record(r):
+        n = PARAM_COUNTS[r.model_id]
+        return struct.pack(f"<Iiqq{n}d", r.camera_id, r.model_id, r.width, r.height, *(r.f0 + i for i in range(n)))
+
+    model_files(X.cameras_fx(spark, d).select(thousands(F.lit("c"), "camera_id"), "camera_id", "model_id", "width", "height", F.col("f0").cast("double").alias("f0")), path, "cameras.bin", record)
+    back = colmap.read_cameras(spark, path)
+    total = F.aggregate("params", F.lit(0.0), lambda a, v: a + v)
+    return back.select("scene_id", "camera_id", "model_id", "width", "height", F.size("params").alias("params"), F.round(total, 4).alias("total"))
+
+
+@query("read_colmap_images", oracle(f"SELECT {SCENE}, point_id AS image_id, round(rot_0, 6) + 0.0 AS qw, round(z, 6) + 0.0 AS tz, point_id % 7 AS camera_id, concat('shot ', point_id, '.png') AS name, point_id % 3 AS observed, (point_id % 3) * point_id AS seen FROM splats_emb", views="splats_emb"))
+def _(spark, d):
+    path = shared_path(spark)
+
+    def record(r):
+        head = struct.pack("<I7dI", r.point_id, r.rot_0, r.rot_1, r.rot_2, r.rot_3, r.x, r.y, r.z, r.point_id % 7) + f"shot {r.point_id}.png".encode() + b"\0"
+        n = r.point_id % 3
+        return head + struct.pack("<Q", n) + b"".join(struct.pack("<ddq", i, 0.5, r.point_id) for i in range(n))
+
+    rows = X.splats_emb(spark, d).withColumn("scene_id", thousands(F.col("scene_id"), "point_id"))
+    model_files(rows.select("scene_id", "point_id", *[f"rot_{i}" for i in range(4)], "x", "y", "z"), path, "images.bin", record)
+    back = colmap.read_images(spark, path)
+    seen = F.aggregate("points2d", F.lit(0).cast("bigint"), lambda a, v: a + v["point3d_id"])
+    return back.select("scene_id", "image_id", r6("qw").alias("qw"), r6("tz").alias("tz"), "camera_id", "name", F.size("points2d").alias("observed"), seen.alias("seen"))
+
+
+@query("read_colmap_points", oracle(f"SELECT {SCENE}, point_id, round(x, 6) + 0.0 AS x, CAST(point_id % 256 AS SMALLINT) AS red, round(opacity_raw, 6) + 0.0 AS error, point_id % 4 AS track, (point_id % 4) * (point_id % 4 - 1) // 2 AS spots FROM splats_emb", views="splats_emb"))
+def _(spark, d):
+    path = shared_path(spark)
+
+    def record(r):
+        n = r.point_id % 4
+        return struct.pack("<QdddBBBdQ", r.point_id, r.x, r.y, r.z, r.point_id % 256, 0, 255, r.opacity_raw, n) + b"".join(struct.pack("<ii", 7, i) for i in range(n))
+
+    rows = X.splats_emb(spark, d).withColumn("scene_id", thousands(F.col("scene_id"), "point_id"))
+    model_files(rows.select("scene_id", "point_id", "x", "y", "z", "opacity_raw"), path, "points3D.bin", record)
+    back = colmap.read_points(spark, path)
+    spots = F.aggregate("track", F.lit(0), lambda a, v: a + v["point2d_idx"])
+    return back.select("scene_id", "point_id", r6("x").alias("x"), "red", r6("error").alias("error"), F.size("track").alias("track"), spots.alias("spots"))
+
+
+@query("read_frames", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, raw_index, width, height, 1 AS channels, array_to_string(list_transform(pixels, lambda v: printf('%02x', v)), '') AS pixels FROM frames8", views="frames8"))
+def _(spark, d):
+    """Every frame becomes a gray picture file, written by Spark tasks and decoded again."""
+    path = shared_path(spark)
+
+    def block(tag: bytes, data: bytes) -> bytes:
+        return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
+
+    def write(batches):
+        system, inner = fs.FileSystem.from_uri(path)
+        for pdf in batches:
+            for r in pdf.itertuples():
+                lines = b"".join(b"\0" + bytes(r.pixels[y * r.width:(y + 1) * r.width].tolist()) for y in range(r.height))
+                system.create_dir(f"{inner}/{r.scene_id}/images", recursive=True)
+                with system.open_output_stream(f"{inner}/{r.scene_id}/images/{r.raw_index:09d}.png") as out:
+                    out.write(b"\x89PNG\r\n\x1a\n" + block(b"IHDR", struct.pack(">IIBBBBB", r.width, r.height, 8, 0, 0, 0, 0)) + block(b"IDAT", zlib.compress(lines)) + block(b"IEND", b""))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    X.frames8(spark, d).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    return images.read_frames(spark, path).select("scene_id", "raw_index", "width", "height", "channels", F.lower(F.hex("pixels")).alias("pixels"))
