@@ -113,13 +113,13 @@ def _(spark, d):
 
 
 @query("build_views", oracle(f"""SELECT rsv.scene_id, rsv.image_id, resolved_name AS image_name, round(f0, 6) AS fx, round(CASE WHEN {SHARED} THEN f0 ELSE f1 END, 6) AS fy, round(c.cx, 6) AS cx, round(c.cy, 6) AS cy,
-    c.width, c.height, round(-(r00*tx+r10*ty+r20*tz), 6) + 0.0 AS center_x FROM rsv JOIN rot ON rot.image_id = rsv.image_id % 400 JOIN cameras_fx c ON c.camera_id = rsv.image_id % 200 WHERE resolved_name IS NOT NULL""",
+    c.width, c.height, round(-(r00*tx+r10*ty+r20*tz), 6) + 0.0 AS center_x FROM rsv JOIN rot ON rot.image_id = rsv.image_id % (SELECT count(*) FROM rot) JOIN cameras_fx c ON c.camera_id = 1 + rsv.image_id % (SELECT count(*) FROM cameras_fx) WHERE resolved_name IS NOT NULL""",
     NAMED, POSE, ROT, views=["splats_emb", "cameras_fx"]))
 def _(spark, d):
     rows, files = named(spark, d)
-    poses = images(spark, d).drop("scene_id").withColumnRenamed("image_id", "pose_id")
-    rows = rows.withColumns({"pose_id": F.col("image_id") % 400, "camera_id": F.col("image_id") % 200}).join(poses, "pose_id")
-    cams = rows.select("scene_id", "camera_id").distinct().join(cameras(spark, d), "camera_id")
+    poses, lenses = images(spark, d).drop("scene_id").withColumnRenamed("image_id", "pose_id"), cameras(spark, d)
+    rows = rows.withColumns({"pose_id": F.col("image_id") % poses.count(), "camera_id": 1 + F.col("image_id") % lenses.count()}).join(poses, "pose_id")  # all poses, all cameras
+    cams = rows.select("scene_id", "camera_id").distinct().join(lenses, "camera_id")
     v = M.build_views(rows, cams, files)
     k = lambda i, j: r6(F.col("k")[i][j])
     return v.select("scene_id", "image_id", "image_name", k(0, 0).alias("fx"), k(1, 1).alias("fy"), k(0, 2).alias("cx"), k(1, 2).alias("cy"), "width", "height",
