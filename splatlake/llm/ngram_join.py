@@ -65,7 +65,7 @@ def _shingle_sets(texts, hashes: WordHashes, words: int) -> list[np.ndarray]:
         return [np.zeros(0, np.uint64)] * len(lists)
     h = hashes([w for x in lists for w in x])
     run = np.zeros(len(h), np.uint64)
-    for k in range(words):
+    for k in range(min(words, len(h))):  # the slice may hold fewer words than a shingle
         run[: len(h) - k] = run[: len(h) - k] * _STEP + h[k:]
     run = mix64(run)
     out, at = [], 0

@@ -136,6 +136,21 @@ def test_zone_overlap_is_a_lower_bound(n):
         assert len(za & zb) >= least
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6])
+def test_slice_of_few_words(n):
+    """A slice may hold fewer words in all than a shingle; each text's tokens do not depend on its slice."""
+    text = prose("few", n)
+    alone = ngram_join.shingle_sets([text], ngram_join.WordHashes())[0]
+    assert len(alone) == len(shingles(text))
+    assert alone.tolist() == ngram_join.shingle_sets([prose("more", 50), text, None], ngram_join.WordHashes())[1].tolist()
+    assert alone.tolist() == ngram_join.shingle_sets([prose("more", 50), text], ngram_join.WordHashes(), together=1)[1].tolist()
+
+
+def test_table_of_one_short_document(spark, documents):
+    got = ngram_join.jaccard_components(documents([(7, "two words")])).collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == [(7, 1, 7)]
+
+
 def test_no_documents(spark, documents):
     assert ngram_join.jaccard_components(documents([])).count() == 0
 
