@@ -8,12 +8,17 @@ wanted number of tokens is kept in expectation.
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from .common import durable
 
 DIMENSIONS = ("source", "lang", "topic")
-PASSES, TOLERANCE = 12, 1e-6
+TOLERANCE = 1e-6  # relative error of a margin's share that counts as met
+LOCAL_CELLS = 1 << 17  # cells that the driver fits by itself
 TEMPERATURE = 0.7  # default targets: observed token shares to this power, so that rare kinds gain
 KEEP = 0.8  # share of tokens to keep in expectation
 NONE = "\x00null"  # a null category is one of its own
@@ -39,18 +44,19 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(key.cast("string"), F.lit("")))), 1, 8), 16, 10).cast("double") / SPACE
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, passes: int = PASSES, tolerance: float = TOLERANCE, temperature: float = TEMPERATURE) -> DataFrame:
-    """cells(source, lang, topic, tokens) with `weight`, the factor on each cell's tokens.
+def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, passes: int | None = None, tolerance: float = TOLERANCE, temperature: float = TEMPERATURE, local: int = LOCAL_CELLS) -> DataFrame:
+    """cells(source, lang, topic, tokens) with `weight`, the factor on each cell's tokens, and `misfit`.
 
     targets holds, per dimension, a table (category, share); shares are scaled to sum to 1
     over the categories present.  A dimension without one aims at its observed token
     shares to the power of `temperature`.  Cells without tokens, and categories the targets
-    leave out or set to 0, get weight 0.  Margins that no weights can meet together end after
-    `passes` rounds at the last fit.
+    leave out or set to 0, get weight 0.  Rounds go on until every margin is within `tolerance` of its
+    target share (relative), whatever their number; only a caller's own `passes` ends them sooner.  Margins that
+    no weights can meet together end once twice the rounds no longer lower the error.  misfit, alike in every row, is the largest relative
+    error left; above `tolerance` it is warned of.  Up to `local` cells are fitted on the driver, more in Spark.
     """
     targets = targets or {}
     cells = cells.withColumn("weight", F.when(F.col("tokens") > 0, 1.0).otherwise(0.0))
-    mass = F.col("tokens") * F.col("weight")
     for d in DIMENSIONS:
         own = cells.groupBy(d).agg(F.sum("tokens").alias("_t")).filter("_t > 0")
         if d in targets:
@@ -60,18 +66,56 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, passes:
         own = own.withColumn(f"_goal_{d}", F.col("_s") / F.sum("_s").over(W.partitionBy(F.lit(0)))).select(d, f"_goal_{d}")
         cells = cells.join(own, d, "left").fillna(0.0, [f"_goal_{d}"])
     cells = durable(cells)
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    for _ in range(passes if total else 0):
-        step = cells.withColumn("_was", F.col("weight"))
+    n, total = cells.agg(F.count("*"), F.sum("tokens")).first()
+    errors: list[float] = []
+    if total:
+        cells = (_fit_here if n <= local else _fit_spread)(cells, float(total), passes, tolerance, errors)
+    misfit = errors[-1] if errors else 0.0
+    if misfit > tolerance:
+        warnings.warn(f"margins do not meet their targets: largest relative error {misfit:.3g} after {len(errors)} rounds")
+    return cells.select(*DIMENSIONS, "tokens", "weight", F.lit(float(misfit)).alias("misfit"))
+
+
+def _over(errors: list[float], passes: int | None, tolerance: float, least: int) -> bool:
+    """Whether the rounds end: margins met, the caller's limit reached, or the error the same as after half the rounds (looked at when `least` rounds have doubled)."""
+    n = len(errors)
+    if n and (errors[-1] <= tolerance or n == passes):
+        return True
+    return n >= 2 * least and n & (n - 1) == 0 and errors[-1] > 0.99 * errors[n // 2 - 1]
+
+
+def _fit_here(cells: DataFrame, total: float, passes: int | None, tolerance: float, errors: list[float]) -> DataFrame:
+    """Rounds in numpy; one number per cell and dimension."""
+    table = cells.toArrow()
+    tokens, weight = (np.array(table[c].to_pylist(), np.float64) for c in ("tokens", "weight"))
+    kinds = []
+    for d in DIMENSIONS:
+        at = table[d].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        goal = np.zeros(at.max() + 1)
+        goal[at] = table[f"_goal_{d}"].to_numpy()
+        kinds.append((at, goal))
+    share = lambda at, goal: np.bincount(at, tokens * weight, len(goal)) / total
+    while not _over(errors, passes, tolerance, 512):
+        for at, goal in kinds:
+            own = share(at, goal)
+            weight *= np.divide(goal, own, out=np.zeros_like(own), where=own > 0)[at]
+        errors.append(max(float(np.abs(share(at, goal)[goal > 0] / goal[goal > 0] - 1).max(initial=0)) for at, goal in kinds))
+    fitted = table.select([*DIMENSIONS, "tokens"]).append_column("weight", pa.array(weight))
+    return cells.sparkSession.createDataFrame(fitted)
+
+
+def _fit_spread(cells: DataFrame, total: float, passes: int | None, tolerance: float, errors: list[float]) -> DataFrame:
+    """Rounds in Spark, each written out."""
+    mass = F.col("tokens") * F.col("weight")
+    while not _over(errors, passes, tolerance, 64):
         for d in DIMENSIONS:
-            share = F.sum(mass).over(W.partitionBy(d)) / F.lit(float(total))
-            step = step.withColumn("_share", share).withColumn("weight", F.when(F.col("_share") > 0, F.col("weight") * F.col(f"_goal_{d}") / F.col("_share")).otherwise(0.0))
-        cells = durable(step.drop("_share"))
-        moved = cells.agg(F.max(F.abs(F.col("weight") - F.col("_was")))).first()[0]
-        cells = cells.drop("_was")
-        if moved <= tolerance:
-            break
-    return cells.select(*DIMENSIONS, "tokens", "weight")
+            cells = cells.withColumn("_share", F.sum(mass).over(W.partitionBy(d)) / F.lit(total))
+            cells = cells.withColumn("weight", F.when(F.col("_share") > 0, F.col("weight") * F.col(f"_goal_{d}") / F.col("_share")).otherwise(0.0))
+        cells = durable(cells.drop("_share"))
+        off = lambda d: cells.groupBy(d).agg(F.abs(F.try_divide(F.sum(mass) / F.lit(total), F.first(f"_goal_{d}")) - 1).alias("off"), F.first(f"_goal_{d}").alias("goal")).filter("goal > 0").select("off")
+        first, second, third = map(off, DIMENSIONS)
+        errors.append(first.union(second).union(third).agg(F.coalesce(F.max("off"), F.lit(0.0))).first()[0])
+    return cells
 
 
 def scale(cells: DataFrame, keep: float) -> DataFrame:

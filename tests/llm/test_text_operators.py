@@ -272,6 +272,28 @@ def test_rake_meets_targets(spark):
     assert (p.tokens * p.probability).sum() == pytest.approx(0.6 * p.tokens.sum(), rel=1e-9) and p.probability.between(0, 1).all()
 
 
+@pytest.mark.parametrize("local", [mixing.LOCAL_CELLS, 0])
+def test_rake_goes_on_until_margins_fit(spark, local):
+    """Sources of nearly one language each settle slowly."""
+    leak = 3 if local else 40  # fewer rounds where each is a Spark job
+    rows = [("s0", "l0", "t", 100_000), ("s0", "l1", "t", leak), ("s1", "l1", "t", 1000), ("s1", "l0", "t", leak), ("s2", "l0", "t", 900), ("s2", "l1", "t", 900)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long")
+    goals = {"source": [("s0", 0.3), ("s1", 0.5), ("s2", 0.2)], "lang": [("l0", 0.55), ("l1", 0.45)]}
+    got = mixing.rake(cells, {d: spark.createDataFrame(g, "category string, share double") for d, g in goals.items()}, local=local).toPandas()
+    got["mass"] = got.tokens * got.weight / got.tokens.sum()
+    for d, g in goals.items():
+        assert got.groupby(d).mass.sum().to_dict() == pytest.approx(dict(g), rel=2e-6)
+    assert got.misfit.max() <= mixing.TOLERANCE
+
+
+def test_rake_tells_margins_that_cannot_be_met(spark):
+    cells = spark.createDataFrame([("s0", "l0", "t", 10), ("s1", "l1", "t", 10)], "source string, lang string, topic string, tokens long")
+    goals = {"source": [("s0", 0.3), ("s1", 0.7)], "lang": [("l0", 0.6), ("l1", 0.4)]}
+    with pytest.warns(UserWarning, match="do not meet"):
+        got = mixing.rake(cells, {d: spark.createDataFrame(g, "category string, share double") for d, g in goals.items()}).collect()
+    assert all(r.misfit == pytest.approx(1.0) for r in got)  # 0.6 where 0.3 is wanted
+
+
 def test_mix_keeps_every_row(spark, documents):
     got = mixing.mix(documents(ODD).union(documents([(50, "other words here")], source=None, lang=None))).collect()
     assert len(got) == len(ODD) + 1 and all(r.probability is not None for r in got)
