@@ -1,7 +1,8 @@
 """License scans: exact set-similarity join of text blocks with license templates, in DataFrame functions only.
 
-A block (a line) meets a template when it holds at least `percent` of the template's
-distinct words.  Words are ordered by how many blocks of the corpus hold them, rarest
+Blocks are the lines of a text and, where it has several, windows over its words whatever the line breaks; any
+run of words as long as the longest template and a quarter more lies whole in a window.  A block meets a
+template when it holds at least `percent` of the template's distinct words.  Words are ordered by how many blocks of the corpus hold them, rarest
 first.  A block that meets a template of m words with `need` of them holds one of the
 template's first m - need + 1 words (prefix filter), holds `need` template words at all
 (length filter), and has enough words after its first match (positional filter).  What
@@ -74,17 +75,25 @@ def scan(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT) -> tuple[
 
     The first table has doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score: base columns tell of PHRASES standing word by word anywhere in the text; labels
-    adds those of the templates met by a line; score is 1 with a base label, else the best
-    containment found, else 0.  The second has doc_id, block (line number from 0), template
-    (its number), label, containment.  Null and empty texts have no words and no labels; rows of equal
+    adds those of the templates met by a block; score is 1 with a base label, else the best
+    containment found, else 0.  The second has doc_id, block (line number from 0, or -1 - n for the window
+    of number n), template (its number), label, containment.  Null and empty texts have no words and no labels; rows of equal
     doc_id are scanned each for itself.
     """
     vocabulary = sorted({w for _, t in templates for w in _words(t)})
     text = F.coalesce("text", F.lit(""))
     known = F.array(*[F.lit(w) for w in vocabulary])
     blocks = F.transform(F.split(text, "\n"), lambda line, i: F.struct(i.alias("block"), F.array_intersect(F.split(_lower(line), BREAKS), known).alias("words")))
+    # A window goes on for twice the reach and the next begins one reach later.
+    reach = -(-5 * max((len(_words(t)) for _, t in templates), default=1) // 4)
+    fewest = min((-(-percent * len(set(_words(t))) // 100) for _, t in templates), default=1)  # smaller windows meet nothing
+    own = lambda words: F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / reach).cast("int")), lambda i: F.struct(
+        (-1 - i).alias("block"), F.array_intersect(F.slice(words, i * reach + 1, F.lit(2 * reach)), known).alias("words")))
+    # A lambda's variable, so that the text is split once and not once a window.
+    windows = F.flatten(F.transform(F.array(F.split(_lower(text), BREAKS)), own))
+    windows = F.when(F.contains(text, F.lit("\n")), F.filter(windows, lambda b: F.size(b["words"]) >= fewest)).otherwise(F.array().cast("array<struct<block:int,words:array<string>>>"))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", *[c.alias(n) for n, c in _base(text).items()],
-                       F.filter(blocks, lambda b: F.size(b["words"]) > 0).alias("blocks"))
+                       F.concat(F.filter(blocks, lambda b: F.size(b["words"]) > 0), windows).alias("blocks"))
     counts, firsts, lasts = _places()
     base = F.array_compact(F.array(*[F.when(n > 0, F.lit(label)) for n, (_, label) in zip(counts, PHRASES)]))
     rows = durable(rows.select("row", "doc_id", "n_words", sum(counts[1:], counts[0]).alias("n_base"), F.least(*firsts).alias("first_word"), F.greatest(*lasts).alias("last_word"),

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -222,6 +223,21 @@ def test_licenses(spark, documents):
     assert got == want
 
 
+@pytest.mark.parametrize("width", [12, 30, 60, 75])
+def test_wrapped_notices(spark, documents, width):
+    """Line breaks, comment signs and blank lines within a notice do not hide it."""
+    rows, want = [], {}
+    for i, (label, notice) in enumerate(licenses.TEMPLATES):
+        for j, sep in enumerate(["\n", "\r\n", "\n # ", "\n\n"]):
+            for k, before in enumerate(["", prose(i, 7 * j + 20) + "\n"]):
+                d = 100 * i + 10 * j + k
+                rows.append((d, before + sep.join(textwrap.wrap(notice, width, break_long_words=False)) + "\n" + prose(d, 70)))
+                want[d] = label
+    result, matches = licenses.scan(documents(rows))
+    assert all(want[r.doc_id] in r.labels.split(",") and r.score == 1.0 for r in result.collect())
+    assert {(r.doc_id, r.template) for r in matches.filter("containment = 1").collect()} >= {(d, d // 100) for d in want}
+
+
 # --- language --------------------------------------------------------------------------------------
 
 
