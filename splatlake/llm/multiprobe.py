@@ -6,26 +6,26 @@ of cosine c projects at N(c p, 1 - c^2) on each direction, which gives every buc
 probability to hold it.  Buckets are visited in that order until the wanted success
 probability is reached.  Candidates of all tables are merged and ranked by exact cosine.
 
-c is what the k-th nearest of all rows would have among independent directions; its
-mean and spread come from a bounded sample of pairs, all else from all rows.
+c is each query's own: the k-th best cosine it has met so far, first against a bounded sample, then
+in its likeliest buckets.  The true k-th neighbour is no farther, so the buckets are those for every cosine
+from c to 1.  A query that has met fewer than k rows by then is compared with all rows.
 """
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, Window as W
 
 from . import vectors as V
 from .common import durable
 
 TABLES, DIRECTIONS, WIDTH = 3, 5, 1.5  # width in standard deviations of a projection
 SUCCESS = 0.995  # wanted for the tables together
-SAMPLE = 1024  # vectors whose pairwise cosines are looked at
-REACH = 2  # slots on each side of the query's
+SAMPLE = 1024  # vectors of each length that every query is compared with first
+FIRST = 16  # likeliest buckets of a table that give the better estimate
+REACH = 3  # slots on each side of the middle
 SEED = 20240101
 
 
@@ -43,22 +43,24 @@ def _directions(dim: int, table: int):
 _STEPS = np.arange(-REACH, REACH + 1)
 
 
-def probes(point: np.ndarray, cos: float, success: float) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets (moves x directions) of the buckets to visit, likeliest first, and their probabilities.
+def probes(p: np.ndarray, shift: np.ndarray, cos: float, success: float) -> np.ndarray:
+    """Slots (moves x directions) of the buckets to visit, likeliest first, for neighbours of cosine `cos` to 1.
 
-    point: the query's projections in slots, offset included; cos: of the neighbour looked for.
+    p: the query's projections on the directions; shift: of the slots.  A neighbour of cosine c projects at N(c p, 1 - c^2).
+    The moves hold it with probability `success` for each of a few c, so far as REACH goes.
     """
-    slot = np.floor(point)
-    edge = np.concatenate([_STEPS, [REACH + 1]])[:, None] + slot[None, :]
-    spread = max(1 - cos * cos, 1e-6) ** 0.5 / WIDTH
-    mass = np.diff(_normal((edge - point[None, :]) / spread), axis=0)
-    total = mass[:, 0]
-    for d in range(1, mass.shape[1]):
-        total = (total[:, None] * mass[None, :, d]).ravel()
-    order = np.argsort(-total, kind="stable")
-    n = int(np.searchsorted(np.cumsum(total[order]), success * total.sum())) + 1
-    grid = np.stack(np.unravel_index(order[:n], (len(_STEPS),) * mass.shape[1]), axis=1) - REACH
-    return grid, total[order[:n]]
+    low = np.floor(((1 + cos) / 2 * p + shift) / WIDTH) - REACH
+    edge = (np.arange(2 * REACH + 2)[:, None] + low[None]) * WIDTH - shift[None]
+    totals = []
+    for c in (cos, (1 + cos) / 2, (15 + cos) / 16):
+        mass = np.diff(_normal((edge - c * p[None]) / max(1 - c * c, 1e-6) ** 0.5), axis=0)
+        total = mass[:, 0]
+        for d in range(1, mass.shape[1]):
+            total = (total[:, None] * mass[None, :, d]).ravel()
+        totals.append(total)
+    order = np.argsort(-sum(totals), kind="stable")
+    n = max(int(np.searchsorted(np.cumsum(t[order]), success)) + 1 for t in totals)
+    return np.stack(np.unravel_index(order[:n], (2 * REACH + 1,) * len(p)), axis=1) + low[None].astype(np.int64)
 
 
 def _normal(x):
@@ -68,17 +70,17 @@ def _normal(x):
     return np.where(x >= 0, 1 - tail, tail)
 
 
-def expected_cosine(rows: DataFrame, n: int, k: int) -> float:
-    """Cosine of the k-th nearest of n rows, from the pairs within a sample of SAMPLE distinct vectors."""
-    sample = [np.frombuffer(r[0]) for r in rows.select("v").orderBy(F.xxhash64("v"), "v").limit(SAMPLE).collect()]
-    dim = max((len(x) for x in sample), default=0)
-    u = [x for x in sample if len(x) == dim]
-    if len(u) < 3:
-        return 0.0
-    u = _unit(np.array(u))
-    c = (u @ u.T)[np.triu_indices(len(u), 1)]
-    z = NormalDist().inv_cdf(max(0.5, 1 - min(k + 1, n) / (n + 1)))
-    return float(np.clip(c.mean() + z * c.std(), 0, 0.98))
+def _sample(index: DataFrame) -> dict[int, tuple[np.ndarray, list]]:
+    """Per vector length (bytes) SAMPLE distinct vectors, as units, and their ids."""
+    first = W.partitionBy(F.length("v")).orderBy(F.xxhash64("v"), "v")
+    # The hash bounds what is sorted where one length has most rows.
+    sizes = index.groupBy(F.length("v").alias("size")).agg(F.count("*").alias("n"))
+    few = index.withColumn("size", F.length("v")).join(F.broadcast(sizes), "size").filter(F.xxhash64("v") / 2.0**64 + 0.5 <= 4.0 * SAMPLE / F.col("n"))
+    rows = few.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= SAMPLE).select("v", "ids").collect()
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(len(r["v"]), []).append(r)
+    return {size: (_unit(np.frombuffer(b"".join(r["v"] for r in own)).reshape(len(own), -1)), [r["ids"] for r in own]) for size, own in by.items()}
 
 
 def search(vectors: DataFrame, queries, k: int = 5, success: float = SUCCESS) -> DataFrame:
@@ -91,15 +93,16 @@ def search(vectors: DataFrame, queries, k: int = 5, success: float = SUCCESS) ->
     rows = durable(V.usable(vectors, lambda x: x if x.any() else None))
     index = durable(V.distinct(rows, k))
     n = index.count()
-    cos = expected_cosine(index, n, k)
+    sample = _sample(index)
     each = 1 - (1 - success) ** (1 / TABLES)
     parts = max(1, -(-n // V.BLOCK_ROWS))
 
-    def hashed(v: np.ndarray, table: int):
-        a, b, mix = _directions(v.shape[1], table)
-        point = (_unit(v) @ a + b) / WIDTH
+    def codes_of(slots: np.ndarray, mix: np.ndarray, dim: int):
         with np.errstate(over="ignore"):
-            return point, (np.floor(point).astype(np.int64) * mix).sum(1) + v.shape[1], mix
+            return (slots.astype(np.int64) * mix).sum(1) + dim
+
+    def part_of(codes: np.ndarray, table: int):
+        return table * parts + (codes.view(np.uint64) % np.uint64(parts)).astype(np.int64)
 
     def place(batches):
         for b in batches:
@@ -110,34 +113,45 @@ def search(vectors: DataFrame, queries, k: int = 5, success: float = SUCCESS) ->
                 v = np.frombuffer(b"".join(raw[i] for i in at)).reshape(len(at), -1)
                 own = b.take(pa.array(at))
                 for t in range(TABLES):
-                    code = hashed(v, t)[1]
-                    part = t * parts + (code.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+                    a, shift, mix = _directions(v.shape[1], t)
+                    code = codes_of(np.floor((_unit(v) @ a + shift) / WIDTH), mix, v.shape[1])
+                    part = part_of(code, t)
                     yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(code), own.column(0), own.column(1)], ["part", "code", "v", "ids"])
 
-    def ask(batches):
+    def meet(batches):
+        """Each query against the sample."""
         for b in batches:
-            out = [[], [], [], []]
+            out = []
             for q, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                v = np.frombuffer(raw).reshape(1, -1)
-                for t in range(TABLES):
-                    point, code, mix = hashed(v, t)
-                    moves, _ = probes(point[0], cos, each)
-                    with np.errstate(over="ignore"):
-                        codes = code[0] + (moves * mix).sum(1)
-                    own = (codes.view(np.uint64) % np.uint64(parts)).astype(np.int64)
-                    for p in np.unique(own).tolist():
-                        for x, y in zip(out, (t * parts + p, q, raw, codes[own == p])):
-                            x.append(y)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.array(out[3], pa.list_(pa.int64()))],
-                                             ["part", "query_id", "v", "codes"])
+                x, ids = sample.get(len(raw), (None, []))
+                if ids:
+                    out += [(q, v, s) for s, v in V.best(x @ _unit(np.frombuffer(raw)), ids, q, k)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+
+    def ask(limit):
+        def run(batches):
+            for b in batches:
+                for q, raw, cos in zip(*(c.to_pylist() for c in b.columns)):
+                    out = [[], []]
+                    v = _unit(np.frombuffer(raw))
+                    if cos is None and limit is None:  # all rows, once: those of the first table
+                        out = [list(range(parts)), [None] * parts]
+                    for t in range(TABLES if not out[0] else 0):
+                        a, shift, mix = _directions(len(v), t)
+                        codes = codes_of(probes(v @ a, shift, min(max(cos or 0.0, 0.0), 1.0), each)[:limit], mix, len(v))
+                        own = part_of(codes, t)
+                        for p in np.unique(own).tolist():
+                            out[0].append(p)
+                            out[1].append(codes[own == p])
+                    m = len(out[0])
+                    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array([q] * m, pa.int64()), pa.array([raw] * m, pa.binary()), pa.array(out[1], pa.list_(pa.int64()))],
+                                                     ["part", "query_id", "v", "codes"])
+        return run
 
     # A bucket may hold any number of rows, so what goes to one task is cut by count, and queries go to every cut.
     placed = durable(index.mapInArrow(place, "part long, code long, v binary, ids array<long>"))
     cuts = durable(placed.groupBy("part").agg(F.ceil(F.count("*") / (2 * V.BLOCK_ROWS)).alias("cuts")))
     held = placed.join(cuts, "part").withColumn("cut", F.pmod(F.xxhash64("v"), F.col("cuts"))).drop("cuts")
-    asked = rows.filter(queries).mapInArrow(ask, "part long, query_id long, v binary, codes array<long>")
-    asked = asked.join(cuts.withColumnRenamed("cuts", "last"), "part").withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - 1))).drop("last")
-
     def rerank(own: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own) and len(asked):
@@ -151,12 +165,21 @@ def search(vectors: DataFrame, queries, k: int = 5, success: float = SUCCESS) ->
                 for q, raw, codes in zip(asked["query_id"], asked["v"], asked["codes"]):
                     if len(raw) != size:
                         continue
-                    hit = np.flatnonzero(np.isin(cells, codes))
+                    hit = np.arange(len(cells)) if codes is None else np.flatnonzero(np.isin(cells, codes))
                     at = np.concatenate([np.arange(start[i], end[i]) for i in hit]) if len(hit) else np.zeros(0, np.int64)
                     y = np.frombuffer(raw)
                     scores = (x[at] @ y) / (length[at] * np.linalg.norm(y))
                     out += [(q, v, s) for s, v in V.best(scores, [ids[i] for i in at], q, k)]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    found = held.groupBy("part", "cut").cogroup(asked.groupBy("part", "cut")).applyInPandas(rerank, "query_id long, vec_id long, score double")
+    def look(asked: DataFrame, limit: int | None) -> DataFrame:
+        asked = asked.select("query_id", "v", "cos").mapInArrow(ask(limit), "part long, query_id long, v binary, codes array<long>")
+        asked = asked.join(cuts.withColumnRenamed("cuts", "last"), "part").withColumn("cut", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last") - 1))).drop("last")
+        return durable(held.groupBy("part", "cut").cogroup(asked.groupBy("part", "cut")).applyInPandas(rerank, "query_id long, vec_id long, score double"))
+
+    asked = durable(rows.filter(queries).select(F.col("vec_id").alias("query_id"), "v"))
+    found = durable(asked.mapInArrow(meet, "query_id long, vec_id long, score double"))
+    for limit in (FIRST, None):
+        worst = V.ranked(found, k).filter(F.col("rank") == k).select("query_id", F.col("score").alias("cos"))
+        found = found.union(look(asked.join(worst, "query_id", "left"), limit))
     return V.ranked(found, k)

@@ -109,3 +109,35 @@ def test_multiprobe_recall_and_scores(spark):
         assert r.score == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b), rel=1e-12) and r.query_id != r.vec_id
     assert sorted(r["rank"] for r in got if r.query_id == 40) == [1, 2, 3, 4, 5] and {r.vec_id for r in got if r.query_id == 40} == {7, 41, 42, 43, 44}
     assert multiprobe.search(frame(spark, []), F.lit(True)).count() == 0
+
+
+def recall(spark, x, every):
+    """Share of the true 5 nearest found, for the queries of the hot cluster (the first third of rows) and for the others."""
+    got = {}
+    for r in multiprobe.search(frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), F.col("vec_id") % every == 0, 5).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    x = x.astype(np.float64) / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = {True: [], False: []}
+    for q in range(0, len(x), every):
+        cos = x @ x[q]
+        cos[q] = -2
+        assert len(got[q]) == 5
+        hits[q < len(x) // 3].append(len(got[q] & set(np.argsort(-cos)[:5].tolist())) / 5)
+    return np.mean(hits[True]), np.mean(hits[False])
+
+
+@pytest.mark.parametrize("spread", [0.3, 0.02])
+def test_multiprobe_recall_with_a_hot_cluster(spark, spread):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 64)).astype(np.float32)
+    x[:1000] = x[0] + spread * rng.normal(size=(1000, 64))
+    assert min(recall(spark, x, 20)) >= 0.9
+
+
+def test_multiprobe_finds_k_rows_of_a_rare_length(spark, monkeypatch):
+    """Where sample and buckets hold too few rows, all rows of that length are looked at."""
+    monkeypatch.setattr(multiprobe, "SAMPLE", 2)
+    monkeypatch.setattr(multiprobe, "FIRST", 1)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(6).normal(size=(300, 32)).astype(np.float32))] + [(400 + i, [float(i == j) for j in range(8)]) for i in range(7)]
+    got = multiprobe.search(frame(spark, rows), F.col("vec_id").isin(0, 400), 5).collect()
+    assert sorted((r.query_id, r["rank"]) for r in got) == [(q, n) for q in (0, 400) for n in range(1, 6)]
