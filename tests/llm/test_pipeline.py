@@ -29,4 +29,4 @@ def test_near_duplicates_with_odd_ids(spark, documents):
 def test_all_queries_are_there():
     import __spark_entry__ as entry
 
-    assert {m[0] for n in entry.queries() if (m := re.match(r"op\d+(?=_)", n))} == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert {m[0] for n in entry.queries() if (m := re.match(r"op\d+(?=_)", n))} == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
