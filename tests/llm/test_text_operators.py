@@ -203,29 +203,82 @@ def test_katz_equals_brute_force(spark, documents, rows):
 # --- licenses --------------------------------------------------------------------------------------
 
 
+def license_blocks(words):
+    """(block, template) of every run of words that meets a template, and the labels found, by looking at every run."""
+    pairs = [list(dict.fromkeys(zip(w, w[1:]))) for w in (re.findall("[a-z0-9]+", t.lower()) for _, t in licenses.TEMPLATES)]
+    found = set()
+    for t, (label, notice) in enumerate(licenses.TEMPLATES):
+        own, reach = set(pairs[t]), math.ceil(1.25 * len(re.findall("[A-Za-z0-9]+", notice)))
+        for i in range(len(words)):
+            run = words[i:i + reach]
+            here = set(zip(run, run[1:]))
+            rivals = [own - set(p) for k, p in enumerate(pairs) if licenses.TEMPLATES[k][0] != label and 100 * len(own & set(p)) >= 80 * len(own) and own - set(p)]
+            if 100 * len(own & here) >= 80 * len(own) and all(r & here for r in rivals):
+                found.add((i, t))
+    return found
+
+
+def license_row(d, text):
+    words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (text or "").translate(str.maketrans(licenses.UPPER, licenses.LOWER)))
+    at = [(i, label) for p, label in licenses.PHRASES for i in range(len(words)) if words[i:i + len(p.split())] == p.split()]
+    base = sorted({x for _, x in at})
+    labels = sorted(set(base) | {licenses.TEMPLATES[t][0] for _, t in license_blocks(words)})
+    return (d, len(words), len(at), min(at)[0] if at else None, max(at)[0] if at else None, ",".join(base), ",".join(labels))
+
+
+def check_licenses(frame, rows):
+    result, matches = licenses.scan(frame)
+    got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for r in result.collect())
+    assert got == Counter(license_row(d, t) for d, t in rows)
+    return matches
+
+
 def test_licenses(spark, documents):
+    rng = random.Random(4)
+    vocabulary = sorted({w for _, t in licenses.TEMPLATES for w in t.split()})
     rows = ODD + [(20, "Released under the MIT-license, mit\nLICENSE."), (21, "See the GNU General Public License version 3. apache license"), (22, "licensed under CC BY-NC 4.0!\nnothing"),
                   (23, "commit license permit licenses"), (24, "Redistribution and use in source and binary forms, with or without modifications, is permitted"), (25, "the MIT \u212Aicense mit licens\u00e9")]
-    got = {(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels) for r in licenses.scan(documents(rows))[0].collect()}
-    want = set()
-    for d, t in rows:
-        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(str.maketrans(licenses.UPPER, licenses.LOWER)))
-        at = [(i, label) for p, label in licenses.PHRASES for i in range(len(words)) if words[i:i + len(p.split())] == p.split()]
-        base = sorted({x for _, x in at})
-        more = set(base)
-        for line in (t or "").split("\n"):
-            own = set(re.split("[\x00-\x2f\x3a-\x60\x7b-\x7f]+", line.translate(str.maketrans(licenses.UPPER, licenses.LOWER))))
-            for label, notice in licenses.TEMPLATES:
-                need = {w.lower() for w in re.findall("[A-Za-z0-9]+", notice)}
-                if 100 * len(need & own) >= 80 * len(need):
-                    more.add(label)
-        want.add((d, len(words), len(at), min(at)[0] if at else None, max(at)[0] if at else None, ",".join(base), ",".join(sorted(more))))
-    assert got == want
-
-
-@pytest.mark.parametrize("width", [12, 30, 60, 75])
+    rows += [(100 + i, " ".join(rng.choice(vocabulary) for _ in range(300))) for i in range(5)]  # scattered words are no notice
+    for i in range(60):  # notices with words lost, added or changed, next to each other
+        parts = []
+        for _ in range(rng.randint(1, 3)):
+            words = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.randint(0, 4)):
+                k = rng.randrange(len(words))
+                words[k:k + rng.randint(0, 1)] = rng.choice([[], ["other"], [rng.choice(vocabulary)]])
+            parts.append(" ".join(words))
+        rows.append((200 + i, prose(i, rng.randint(0, 5)) + rng.choice([" ", "\n", ". "]).join(parts)))
+    check_licenses(documents(rows), rows)
+    assert licenses.scan(documents([]))[0].collect() == [] and licenses.scan(documents([]))[1].collect() == []
+
+
+def test_blocks_are_those_of_brute_force(spark, documents):
+    text = prose(1, 30) + " " + licenses.TEMPLATES[0][1] + " " + licenses.TEMPLATES[8][1] + " " + prose(2, 9)
+    words = re.findall("[a-z0-9]+", text.lower())
+    heads = {w for w in range(len(words))}
+    found = {(r.block, r.template) for r in licenses.scan(documents([(1, text)]))[1].collect()}
+    want = {x for x in license_blocks(words) if x[0] in heads}
+    assert found <= want and {t for _, t in found} == {t for _, t in want} == {0, 8}
+
+
+# Text, and the labels it must get beyond those of its phrases: each variant exactly its own.
+VARIANTS = [("This text is under the GNU General Public License, version 3.", ""), ("Licensed under CC BY-NC 4.0.", "cc-by-nc"), ("Licensed under CC BY-SA 4.0.", "cc-by-sa"), ("Licensed under CC BY-ND 4.0.", ""),
+            ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"), ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+            ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", ""), ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", ""),
+            ("Licensed under the GNU Lesser General Public License", "lgpl"), ("Licensed under the Apache License, Version 2.0", ""), ("Licensed under the Apache License. Das ist nicht mit dem anderen, released the under", ""),
+            ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "")]
+
+
+def test_every_variant_gets_its_own_label(spark, documents):
+    rows = [(i, prose(i, 20) + "\n" + t + "\n" + prose(i + 50, 20)) for i, (t, _) in enumerate(VARIANTS)]
+    got = {r.doc_id: (set(r.labels.split(",")) - set(r.base_labels.split(","))) - {""} for r in licenses.scan(documents(rows))[0].collect()}
+    assert got == {i: {x for x in label.split(",") if x} for i, (_, label) in enumerate(VARIANTS)}
+    check_licenses(documents(rows), rows)
+
+
+@pytest.mark.parametrize("width", [12, 60])
 def test_wrapped_notices(spark, documents, width):
-    """Line breaks, comment signs and blank lines within a notice do not hide it."""
+    """Line breaks, comment signs and blank lines within a notice do not hide it, and it gets no label but its own."""
     rows, want = [], {}
     for i, (label, notice) in enumerate(licenses.TEMPLATES):
         for j, sep in enumerate(["\n", "\r\n", "\n # ", "\n\n"]):
@@ -234,7 +287,7 @@ def test_wrapped_notices(spark, documents, width):
                 rows.append((d, before + sep.join(textwrap.wrap(notice, width, break_long_words=False)) + "\n" + prose(d, 70)))
                 want[d] = label
     result, matches = licenses.scan(documents(rows))
-    assert all(want[r.doc_id] in r.labels.split(",") and r.score == 1.0 for r in result.collect())
+    assert all(set(r.labels.split(",")) == {want[r.doc_id]} | set(r.base_labels.split(",")) - {""} and r.score == 1.0 for r in result.collect())
     assert {(r.doc_id, r.template) for r in matches.filter("containment = 1").collect()} >= {(d, d // 100) for d in want}
 
 
