@@ -83,27 +83,41 @@ def small_side(table: DataFrame, grown: bool = False) -> tuple[DataFrame, bool]:
     if size is not None and size <= limit:
         return table, True
     table = durable(table)
+    return table, rows_fit(table, table.count())
+
+
+def rows_fit(table: DataFrame, rows: int) -> bool:
+    """Whether so many rows of the table may be broadcast."""
     try:
         width = int(table._jdf.schema().defaultSize())
     except AttributeError:  # remote session: no plan handle
-        return table, False
-    return table, table.count() * width <= limit
+        return False
+    return rows * width <= _setting(table, "broadcastBytes", BROADCAST_BYTES)
 
 
-def attach(df: DataFrame, table: DataFrame, keys, how: str = "left", grown: bool = False, salted: bool = True) -> DataFrame:
-    """Equi-join a per-key table onto rows whose keys may be badly skewed.
+def attach(df: DataFrame, table: DataFrame, keys, how: str = "left", grown: bool = False, isolate: bool = True) -> DataFrame:
+    """Equi-join a per-key table onto rows whose keys may be badly skewed (left, inner, semi and anti joins).
 
-    A table that is small for certain is broadcast.  A larger one is replicated over a few
-    salts so that the rows of one hot key spread over that many tasks; `salted` is turned off for
-    tables about as large as the rows, where copies would cost more than a hot key: these
-    join by sorting, and the adaptive planner splits a partition of the rows that turns out large.
+    A table that is small for certain is broadcast.  Otherwise rows per key are counted: the few keys too hot for one task
+    meet their part of the table by a broadcast, all others by sorting, so every row moves once and nothing is copied.
+    Only where a hot key's part of the table is itself large, this part is copied over SALTS slices of the key's rows.
+    `isolate` is turned off where no key can be hot; the adaptive planner still splits a partition that turns out large.
     """
     keys = list(keys)
     table, small = small_side(table, grown)
     if small:
         return df.join(F.broadcast(table), keys, how)
-    if not salted:
-        return df.join(table.hint("merge"), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
-    copies = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return df.withColumn("_salt", salt).join(copies, [*keys, "_salt"], how).drop("_salt")
+    plain = lambda rows: rows.join(table.hint("merge"), keys, how)
+    hot = hot_groups(df, keys) if isolate else None
+    if hot is None:
+        return plain(df)
+    hot = F.broadcast(hot)  # at most one key for every oneTaskRows rows
+    part, small = small_side(table.join(hot, keys, "left_semi"), grown=True)
+    rows = df.join(hot, keys, "left_semi")
+    if small:
+        heated = rows.join(F.broadcast(part), keys, how)
+    else:
+        salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int")
+        copies = part.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+        heated = rows.withColumn("_salt", salt).join(copies.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    return plain(df.join(hot, keys, "left_anti")).unionByName(heated)

@@ -196,7 +196,7 @@ def missing_page_assets(pages: DataFrame, assets: DataFrame, key: str = "page_id
     """Required endings that no discovered asset path of a page has."""
     path = F.regexp_replace("asset", r"[?#].*$", "")
     seen = assets.groupBy(key).agg(*[F.max(path.endswith(s)).alias(f"_s{i}") for i, s in enumerate(suffixes)])
-    rows = attach(pages.select(key), seen, [key], salted=False)
+    rows = attach(pages.select(key), seen, [key], isolate=False)
     lacking = problem_list(*[F.when(~F.coalesce(f"_s{i}", F.lit(False)), s) for i, s in enumerate(suffixes)])
     return rows.select(key, F.explode(lacking).alias("missing"))
 

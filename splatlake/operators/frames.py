@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions.order_stats import evenly_spaced, group_stats, ranked
 from ..functions.scalars import finite, problem_list, round_half_even
@@ -372,12 +372,16 @@ def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames:
     """Input report per scene: total frame count, metrics of a stride sample, mask summary, score.
 
     Where both tables have a name, masks whose stem no frame of the scene has are left out, before counting and sampling.
+    Frames with a `frame_count`, and masks with a `mask_total`, are taken as the sample of so many (see `assess_folder`).
     """
     keys = list(keys)
-    counts = frames.groupBy(*keys).agg(F.count("*").alias("frame_count"))
-    sample = frame_stride_sample(frames, max_frames, keys, order)
+    if "frame_count" in frames.columns:
+        counts, sample = frames.groupBy(*keys).agg(F.max("frame_count").alias("frame_count")), frames.drop("frame_count")
+    else:
+        counts = frames.groupBy(*keys).agg(F.count("*").alias("frame_count"))
+        sample = frame_stride_sample(frames, max_frames, keys, order)
     small = downscale_gray(frame_health(sample, max_side=max_side).withColumns({"_w": F.col("width"), "_h": F.col("height")}), max_side=max_side or 1 << 30)
-    measured = consecutive_diff(small, keys, order).drop("pixels", "width", "height").withColumnsRenamed({"_w": "width", "_h": "height"})
+    measured = durable(consecutive_diff(small, keys, order).drop("pixels", "width", "height").withColumnsRenamed({"_w": "width", "_h": "height"}))
     points = (("min", 0.0), ("p10", 0.1), ("p50", 0.5), ("p90", 0.9), ("max", 1.0))
     metrics = {"sharpness": "sharpness", "diff": "frame_diff", "brightness": "brightness", "contrast": "contrast", "clipped": "clipped_ratio"}
     clean = {n: F.when(finite(m), F.col(m)) for n, m in metrics.items()}
@@ -385,7 +389,11 @@ def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames:
     first = F.min_by(F.struct("width", "height"), F.col(order))
     stats = group_stats(measured, keys, spec, [F.count("*").alias("sampled_count"), first.alias("_dims")], size_of=frames)
     report = counts.join(stats, keys, "left").withColumns({"width": F.col("_dims.width"), "height": F.col("_dims.height")}).drop("_dims")
-    if masks is not None:
+    if masks is not None and "mask_total" in masks.columns:
+        total = masks.groupBy(*keys).agg(F.max("mask_total").alias("mask_count"))
+        summary = mask_summary(durable(mask_stats(masks.drop("mask_total")).drop("pixels")), keys).drop("mask_count").withColumnRenamed("fg_ratio_p50", "fg_p50")
+        report = report.join(summary, keys, "left").join(total, keys, "left")
+    elif masks is not None:
         if "name" in masks.columns and "name" in frames.columns:
             masks = pair_masks(masks, frames, keys)
         paired = masks if order not in masks.columns else frame_stride_sample(masks, max_frames, keys, order)
@@ -397,6 +405,31 @@ def assess_scene(frames: DataFrame, masks: DataFrame | None = None, max_frames:
     return score_inputs(report)
 
 
+def assess_folder(spark: SparkSession, root: str, max_frames: int = 160, max_side: int | None = 512) -> DataFrame:
+    """The input report of every scene folder below `root`: frames in `images` (or the folder itself), masks in `masks`.
+
+    Files are listed, numbered, paired and sampled by name; only the sampled ones are opened.
+    """
+    from ..sources.images import decode_frames, list_frames
+
+    def sample(listed: DataFrame, total: str) -> DataFrame:
+        counts = listed.groupBy("scene_id").agg(F.count("*").alias(total))
+        return decode_frames(attach(frame_stride_sample(listed, max_frames), counts, ["scene_id"]), root)
+
+    frames = durable(list_frames(spark, root).drop("bytes"))
+    masks = durable(pair_masks(list_frames(spark, root, child="masks").drop("bytes", "raw_index"), frames))
+    masks = ranked(masks, ["scene_id"], ["name", "uri"]).withColumn("raw_index", F.col("ordinal").cast("int")).drop("ordinal")
+    return assess_scene(sample(frames, "frame_count"), None if masks.isEmpty() else sample(masks, "mask_total"), max_frames, max_side)
+
+
+def frame_dims(frames: DataFrame, keys=("scene_id",), order: str = "raw_index") -> DataFrame:
+    """Width and height of each scene's first frame, and how many frames it has (`frame_count` where the frames bring one)."""
+    keys = list(keys)
+    count = F.max("frame_count") if "frame_count" in frames.columns else F.count("*")
+    rows = frames.groupBy(*keys).agg(F.min_by(F.struct("width", "height"), F.col(order)).alias("_s"), count.alias("frames"))
+    return rows.select(*keys, "_s.width", "_s.height", "frames")
+
+
 def crop_window(boxes: DataFrame, pad: float = 0.18, keys=("scene_id",)) -> DataFrame:
     """Common crop of a scene from its content boxes (x0, y0, x1, y1) and frame size (width, height)."""
     keys = list(keys)

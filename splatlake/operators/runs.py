@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.order_stats import ranked
 from ..functions.scalars import problem_list, round_half_even
-from ..functions.scaling import attach, durable
+from ..functions.scaling import attach
 
 DEFAULT_SPAN = 0.80
 MIN_REGISTERED_RATIO = 0.45
@@ -164,21 +164,20 @@ def rank_runs(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id") -> DataF
     return ranked(with_ranks(runs), keys, rank_order(tie), "run_rank")
 
 
-def _winners(ranked_runs: DataFrame, keys, tie: str, facts: Column) -> DataFrame:
-    """`facts` of the best run of each group as `w`; of equal runs the one of the smallest id, whatever the id's type."""
-    zero = lambda c, d=0: F.coalesce(F.col(c), F.lit(d))
-    key = F.struct(zero("ok", False), F.col("coverage_rank"), F.col("temporal_rank"), F.col("colmap_rank"), zero("score"), zero("best_psnr", -1.0), zero("point_count"), -zero("train_sec", 0.0))
-    equal = ranked_runs.groupBy(*keys, key.alias("_key")).agg(F.min_by(facts, F.col(tie)).alias("_facts"))
-    return equal.groupBy(*keys).agg(F.max_by("_facts", "_key").alias("w"))
+def _better(tie: str) -> Column:
+    """Orders runs from the best on: the struct is least for the winner; of equal runs the one of the smallest id, whatever the id's type."""
+    down = lambda c, d=0: -F.coalesce(F.col(c), F.lit(d))
+    return F.struct((~F.coalesce(F.col("ok"), F.lit(False))).alias("ok"), *[(-F.col(c)).alias(c) for c in RANK_KEYS[:3]], down("score").alias("score"), down("best_psnr", -1.0).alias("psnr"),
+                    down("point_count").alias("points"), F.coalesce("train_sec", F.lit(0.0)).alias("sec"), F.col(tie).alias("tie"))
 
 
 def recommend_run(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id") -> DataFrame:
     """Winner of each sweep (among ok runs when any is) and the reason to name it.
 
-    A `max_by` keeps one candidate per partial aggregate, so a huge sweep never sorts.
+    A `min_by` keeps one candidate per sweep and task, so a huge sweep neither shuffles its runs nor sorts.
     """
     facts = F.struct(F.col(tie), "score", "best_psnr", "point_count", low_coverage().alias("c"), low_temporal().alias("t"), low_colmap().alias("m"))
-    won = _winners(with_ranks(runs), keys, tie, facts)
+    won = with_ranks(runs).groupBy(*keys).agg(F.min_by(facts, _better(tie)).alias("w"))
     # Reasons by the winner's first weakness.
     reason = (F.when(F.col("w.c"), "best available score, but extraction coverage target was missed; capture/rerun coverage should be reviewed first")
               .when(F.col("w.t"), "best available score, but selected frames cover only part of the source timeline; review capture coverage first")
@@ -261,23 +260,20 @@ def action_items(runs: DataFrame, keys=("sweep_id",), tie: str = "run_id", name:
         "geometry": problem_contains("point count is too low"), "delivery_size": problem_contains("larger than mobile budget"),
         "delivery_assets": problem_contains("missing web asset") | problem_contains("missing PLY file") | problem_contains("PLY diagnostics failed"),
     }
+    # counts, flags and the winner shrink in partial aggregates; the flag vocabulary is small and fixed
+    flags = F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_set("sr_risk_flags")))), ", ")
+    sweeps = rows.groupBy(*keys).agg(*[F.count_if(test).alias(f"_{area}") for area, test in tests.items()], flags.alias("_flags"), F.min_by(F.struct("ok", name), _better(tie)).alias("w"))
+    issues = F.filter(F.array(*[F.struct(F.lit(area).alias("area"), F.col(f"_{area}").alias("count")) for area in tests]), lambda i: i["count"] > 0)
+    calm = F.when(F.col("w.ok"), F.array(F.struct(F.lit("visual_review").alias("area"), F.lit(1).cast("bigint").alias("count"))))
+    sweeps = sweeps.select(*keys, "_flags", F.col(f"w.{name}").alias("_best"), F.explode(F.when(F.size(issues) > 0, issues).otherwise(calm)).alias("i")).select(*keys, "_flags", "_best", "i.*")
+    # of each sweep and area at most four runs leave a task: the rank limit works before the shuffle too
     areas = problem_list(*[F.when(test, F.lit(area)) for area, test in tests.items()])
-    # read four times below, so evaluated once
-    hits = durable(rows.select(*keys, tie, name, *RANK_KEYS, "sr_risk_flags", F.explode(areas).alias("area")))
-    totals = hits.groupBy(*keys, "area").agg(F.count("*").alias("count"))
-    # the flag vocabulary is small and fixed, so the distinct set per sweep is too
-    flags = (hits.filter("area = 'sr_consistency'").select(*keys, "area", F.explode("sr_risk_flags").alias("flag"))
-             .groupBy(*keys, "area").agg(F.array_join(F.sort_array(F.collect_set("flag")), ", ").alias("flags")))
+    hits = rows.select(*keys, tie, name, *RANK_KEYS, F.explode(areas).alias("area"))
     first = Window.partitionBy(*keys, "area").orderBy(*rank_order(tie))
     heads = (hits.withColumn("_i", F.row_number().over(first)).filter("_i <= 4").groupBy(*keys, "area")
-             .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", name))), lambda s: s[name]).alias("names")))
-    items = totals.join(heads, [*keys, "area"]).join(flags, [*keys, "area"], "left")
-
-    winners = _winners(rows, keys, tie, F.struct("ok", name))
-    calm = (winners.filter("w.ok").join(totals.select(*keys).distinct(), keys, "left_anti")
-            .select(*keys, F.lit("visual_review").alias("area"), F.lit(1).cast("bigint").alias("count"), F.array(F.col(f"w.{name}")).alias("names"),
-                    F.lit(None).cast("string").alias("flags")))
-    items = items.unionByName(calm)
+             .agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", name))), lambda s: s[name]).alias("_names")))
+    review = F.col("area") == "visual_review"
+    items = sweeps.join(heads, [*keys, "area"], "left").withColumns({"names": F.when(review, F.array("_best")).otherwise(F.col("_names")), "flags": F.when(F.col("area") == "sr_consistency", F.col("_flags"))})
     title = F.coalesce(*[F.when(F.col("area") == a, F.lit(t)) for a, t, _ in ACTIONS])
     detail = F.coalesce(*[F.when(F.col("area") == a, F.replace(F.lit(t), F.lit("{flags}"), F.coalesce("flags", F.lit("")))) for a, _, t in ACTIONS])
     more = F.concat(F.lit("+"), (F.col("count") - 4).cast("string"), F.lit(" more"))
@@ -336,7 +332,7 @@ def completed_vs_skipped(planned: DataFrame, existing: DataFrame, final_root: st
     where = F.coalesce(F.when(F.length("output_dir") > 0, F.col("output_dir")), named)
     rows = planned.withColumn("output_dir", where)
     marks = existing.select("output_dir").distinct().withColumn("_there", F.lit(True))
-    rows = attach(rows, marks, ["output_dir"], salted=False)
+    rows = attach(rows, marks, ["output_dir"], isolate=False)
     reason = F.when(F.col("output_dir").isNull(), "missing output_dir").when(F.col("_there").isNull(), "output directory not found")
     return rows.withColumns({"reason": reason, "status": F.when(reason.isNull(), "completed").otherwise("skipped")}).drop("_there")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.order_stats import group_stats
 from ..functions.scalars import all_finite, distance, max_ignoring_nan
-from ..functions.scaling import attach, durable
+from ..functions.scaling import attach, durable, rows_fit
 from .encodings import decode, has_scales
 from .splats import CENTER, XYZ, medians
 
@@ -233,9 +233,12 @@ def dilate(voxels: DataFrame, rounds: int = 1, keys=("scene_id",)) -> DataFrame:
             .select(*keys, *[(F.col(v) + F.col(f"o.d{v}")).alias(v) for v in IJK]).distinct())
 
 
-def keep_points_in_voxels(voxeled: DataFrame, kept: DataFrame, keys=("scene_id",)) -> DataFrame:
-    """Points whose voxel is kept.  A dilated set is far larger than its estimate, so its rows are counted."""
-    return attach(voxeled, kept.select(*keys, *IJK), [*keys, *IJK], "left_semi", grown=True, salted=False)
+def keep_points_in_voxels(voxeled: DataFrame, kept: DataFrame, keys=("scene_id",), rows: int | None = None) -> DataFrame:
+    """Points whose voxel is kept.  A dilated set is far larger than its estimate, so its rows are counted, unless the caller did (`rows`)."""
+    kept = kept.select(*keys, *IJK)
+    if rows is None:
+        return attach(voxeled, kept, [*keys, *IJK], "left_semi", grown=True, isolate=False)
+    return voxeled.join(F.broadcast(kept) if rows_fit(kept, rows) else kept.hint("merge"), [*keys, *IJK], "left_semi")
 
 
 # ---- cleanup ---------------------------------------------------------------
@@ -347,7 +350,7 @@ def cluster_clean(splats: DataFrame, params: CleanParams = CleanParams(), keys=(
     # growing can only ever catch occupied voxels, so meet it with those before touching points
     kept_voxels = dilate(core, p.dilate, keys).join(labelled.select(*keys, *IJK, "n"), [*keys, *IJK])
     kept_voxels = durable(kept_voxels)
-    kept = keep_points_in_voxels(voxeled, kept_voxels, keys)
+    kept = keep_points_in_voxels(voxeled, kept_voxels, keys, rows=kept_voxels.count())  # a count of a written table reads no column
 
     total = splats.groupBy(*keys).agg(F.count("*").alias("input_count"))
     by_scene = labelled.groupBy(*keys).agg(F.sum("n").alias("base_count"), F.countDistinct(*ROOT).alias("component_count"))

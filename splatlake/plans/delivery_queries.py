@@ -53,12 +53,6 @@ def deliveries(spark, d):
         (k % 3 == 1).alias("diagnostics_present"), F.when(k % 5 != 0, k % 2 == 1).alias("diagnostics_ok"))
 
 
-@query("list_files", oracle("SELECT delivery, count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes, min(name) FILTER (WHERE name LIKE '%.sog') AS first_sog FROM lst GROUP BY delivery", LISTING))
-def _(spark, d):
-    return listing(spark, d).groupBy("delivery").agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"),
-                                                     F.min(F.when(F.col("name").endswith(".sog"), F.col("name"))).alias("first_sog"))
-
-
 @query("validate_delivery", oracle("SELECT delivery, sog, ply, problems, len(problems) = 0 AS ok FROM prb", LISTING, DELIV, VALID))
 def _(spark, d):
     return D.validate_delivery(deliveries(spark, d), listing(spark, d))
@@ -119,21 +113,6 @@ def _(spark, d):
     return scored(spark, d).select("delivery", "problems", "ok", "sog_mb", "ply_mb", "score")
 
 
-@query("read_scene_list", oracle("""SELECT user_id AS scene_id, event_id, coalesce(CAST(json_extract_string(props, '$.mobile_sog_mb') AS DOUBLE), 12) AS mobile_sog_mb,
-    coalesce(CAST(json_extract_string(props, '$.k') AS INT), 85) AS min_score FROM events"""))
-def _(spark, d):
-    rows = X.table(spark, d, "events").select(F.col("user_id").alias("scene_id"), "event_id", F.from_json("props", "k INT, mobile_sog_mb DOUBLE").alias("g"))
-    return rows.select("scene_id", "event_id", F.coalesce("g.mobile_sog_mb", F.lit(D.MOBILE_MB)).alias("mobile_sog_mb"), F.coalesce("g.k", F.lit(D.MIN_SCORE)).alias("min_score"))
-
-
-@query("read_reports", oracle("SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INT) END AS k FROM events"))
-def _(spark, d):
-    """Broken report text (every fifth row loses its last brace) reads as an empty report."""
-    text = F.when(F.col("event_id") % 5 == 0, F.expr("rtrim('}', props)")).otherwise(F.col("props"))
-    rows = X.table(spark, d, "events").select("event_id", F.from_json(text, "k INT, bad STRING", {"columnNameOfCorruptRecord": "bad"}).alias("r"))
-    return rows.select("event_id", F.when(F.col("r.bad").isNull(), F.col("r.k")).alias("k"))
-
-
 @query("benchmark_gates", oracle("""SELECT o_custkey AS config, bool_and(ok AND score >= 85) AS ok, count(*) AS scene_count, count_if(score >= 85) AS meeting
     FROM sco JOIN orders ON o_orderkey = delivery GROUP BY o_custkey""", SCORE))
 def _(spark, d):

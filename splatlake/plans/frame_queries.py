@@ -22,8 +22,7 @@ DIFF = "list_sum(list_transform(list_zip({a}, {b}), lambda q: abs(q[1] - q[2])))
 
 @query("frame_dims", oracle("SELECT scene_id, arg_min(width, raw_index) AS width, arg_min(height, raw_index) AS height, count(*) AS frames FROM frames8 GROUP BY scene_id", views="frames8"))
 def _(spark, d):
-    rows = X.frames8(spark, d).groupBy("scene_id").agg(F.min_by(F.struct("width", "height"), "raw_index").alias("s"), F.count("*").alias("frames"))
-    return rows.select("scene_id", "s.width", "s.height", "frames")
+    return G.frame_dims(X.frames8(spark, d))
 
 
 @query("unreadable_count", oracle("SELECT user_id AS scene_id, count(*) AS listed, count_if(event_id % 13 = 0) AS unreadable FROM events GROUP BY user_id"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import struct
 import zlib
 
+import numpy as np
 import pandas as pd
 from pyarrow import fs
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.order_stats import ranked
 from ..functions.scalars import r6
 from ..functions.scaling import shared_path
-from ..operators import encodings as E
+from ..operators import encodings as E, frames as G
 from ..operators.sfm import PARAM_COUNTS
 from ..sources import colmap, images, records as R, reports
 from . import fixtures as X
@@ -152,11 +153,50 @@ def _(spark, d):
     return back.select("scene_id", "point_id", r6("x").alias("x"), "red", r6("error").alias("error"), F.size("track").alias("track"), spots.alias("spots"))
 
 
-@query("read_frames", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, raw_index, width, height, 1 AS channels, array_to_string(list_transform(pixels, lambda v: printf('%02x', v)), '') AS pixels FROM frames8", views="frames8"))
+def text_files(rows, path: str, *keys: str) -> None:
+    """One text file per key, written by Spark: column `value` is its text, the keys name its folder."""
+    rows.repartition(*keys).write.partitionBy(*keys).text(path)
+
+
+@query("read_reports", oracle("""SELECT user_id AS run_id, CASE WHEN user_id % 5 <> 0 THEN count(*) END AS loss_count, CASE WHEN user_id % 5 <> 0 THEN max(value) END AS best_psnr
+    FROM events GROUP BY user_id"""))
 def _(spark, d):
-    """Every frame becomes a gray picture file, written by Spark tasks and decoded again."""
+    """A report file per user; every fifth is cut before its last brace and reads as an empty report."""
     path = shared_path(spark)
+    rows = X.table(spark, d, "events").groupBy(F.col("user_id").alias("run")).agg(F.count("*").alias("loss_count"), F.max("value").alias("best_psnr"))
+    text = F.to_json(F.struct("best_psnr", "loss_count"), {"pretty": "true"})
+    cut = F.when(F.col("run") % 5 == 0, F.expr("substr(v, 1, length(v) - 1)")).otherwise(F.col("v"))
+    text_files(rows.withColumn("v", text).select("run", cut.alias("value")), path, "run")
+    back = reports.read_reports(spark, path, "*.txt", "best_psnr double, loss_count bigint")
+    return back.select(F.regexp_replace("run_id", "^run=", "").cast("bigint").alias("run_id"), "loss_count", "best_psnr")
+
+
+@query("list_files", oracle("""SELECT CAST(l_suppkey % 40 AS VARCHAR) AS delivery, 'flag=' || l_returnflag AS folder, 1 AS files, sum(length(l_linestatus) + 1)::BIGINT AS bytes
+    FROM lineitem GROUP BY l_suppkey % 40, l_returnflag"""))
+def _(spark, d):
+    """Line items as one text file per supplier group and return flag, a line each."""
+    path = shared_path(spark)
+    rows = X.table(spark, d, "lineitem").select((F.col("l_suppkey") % 40).alias("supplier"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("value"))
+    text_files(rows, path, "supplier", "flag")
+    files = reports.list_files(spark, path).filter(F.col("path").endswith(".txt"))
+    return files.groupBy(F.regexp_replace("delivery", "^supplier=", "").alias("delivery"), F.substring_index("path", "/", 1).alias("folder")).agg(F.count("*").cast("int").alias("files"), F.sum("bytes").alias("bytes"))
+
 
+@query("read_scene_list", oracle("""SELECT coalesce(CASE WHEN event_id % 3 <> 0 THEN 'event ' || event_id END, 'e' || event_id) AS name, 'out/u' || user_id || '/e' || event_id || '/' AS output,
+    CASE WHEN event_id % 2 = 0 THEN event_type ELSE '' END AS notes, CASE WHEN user_id % 4 = 0 THEN 12 ELSE user_id / 2.0e0 END AS mobile_sog_mb, CASE WHEN user_id % 4 = 0 OR user_id % 7 = 0 THEN 120000 ELSE user_id END AS min_points,
+    CASE WHEN user_id % 4 = 0 THEN 85 ELSE user_id % 100 END AS min_score FROM events"""))
+def _(spark, d):
+    """A benchmark list per user; names, notes and gates are missing here and there."""
+    path, k, u = shared_path(spark), F.col("event_id"), F.col("user_id")
+    scene = F.struct(F.when(k % 3 != 0, F.concat(F.lit("event "), k)).alias("name"), F.concat(F.lit("out/u"), u, F.lit("/e"), k, F.lit("/")).alias("output"), F.when(k % 2 == 0, F.col("event_type")).alias("notes"))
+    lists = X.table(spark, d, "events").groupBy("user_id").agg(F.collect_list(scene).alias("scenes"))
+    gates = F.when(u % 4 != 0, F.struct((u / 2.0).alias("mobile_sog_mb"), F.when(u % 7 != 0, u).alias("min_points"), (u % 100).alias("min_score")))
+    text_files(lists.select("user_id", F.to_json(F.struct("scenes", gates.alias("gates")), {"pretty": "true"}).alias("value")), path, "user_id")
+    return reports.read_scene_list(spark, path).select("name", "output", "notes", "mobile_sog_mb", "min_points", "min_score")
+
+
+def picture_files(rows, path: str) -> None:
+    """Frames (scene_id, raw_index, width, height, channels, pixels as blue-green-red levels) as picture files, written by Spark tasks."""
     def block(tag: bytes, data: bytes) -> bytes:
         return struct.pack(">I", len(data)) + tag + data + struct.pack(">I", zlib.crc32(tag + data))
 
@@ -164,11 +204,47 @@ def _(spark, d):
         system, inner = fs.FileSystem.from_uri(path)
         for pdf in batches:
             for r in pdf.itertuples():
-                lines = b"".join(b"\0" + bytes(r.pixels[y * r.width:(y + 1) * r.width].tolist()) for y in range(r.height))
+                image = np.asarray(r.pixels, np.uint8).reshape(r.height, r.width, r.channels)[..., ::-1]
+                lines = b"".join(b"\0" + line.tobytes() for line in image)
                 system.create_dir(f"{inner}/{r.scene_id}/images", recursive=True)
                 with system.open_output_stream(f"{inner}/{r.scene_id}/images/{r.raw_index:09d}.png") as out:
-                    out.write(b"\x89PNG\r\n\x1a\n" + block(b"IHDR", struct.pack(">IIBBBBB", r.width, r.height, 8, 0, 0, 0, 0)) + block(b"IDAT", zlib.compress(lines)) + block(b"IEND", b""))
+                    out.write(b"\x89PNG\r\n\x1a\n" + block(b"IHDR", struct.pack(">IIBBBBB", r.width, r.height, 8, 0 if r.channels == 1 else 2, 0, 0, 0)) + block(b"IDAT", zlib.compress(lines)) + block(b"IEND", b""))
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    X.frames8(spark, d).mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    rows.select("scene_id", "raw_index", "width", "height", "channels", "pixels").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+
+
+def mixed_frames(spark, d):
+    """Even frames gray, odd ones in colour."""
+    levels = F.flatten(F.transform("pixels", lambda v: F.array(255 - v, F.floor(v / 2).cast("int"), v)))
+    rows, odd = X.frames8(spark, d), F.col("raw_index") % 2 == 1
+    return rows.withColumns({"channels": F.when(odd, 3).otherwise(1), "pixels": F.when(odd, levels).otherwise(F.col("pixels"))})
+
+
+MIXED = """mix AS (SELECT scene_id, raw_index, width, height, CASE WHEN raw_index % 2 = 1 THEN 3 ELSE 1 END AS channels,
+  array_to_string(list_transform(pixels, lambda v: CASE WHEN raw_index % 2 = 1 THEN printf('%02x%02x%02x', 255 - v, v // 2, v) ELSE printf('%02x', v) END), '') AS pixels, count(*) OVER (PARTITION BY scene_id) AS n FROM frames8)"""
+
+
+@query("read_frames", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, raw_index, width, height, channels, pixels FROM mix", MIXED, views="frames8"))
+def _(spark, d):
+    """Every frame becomes a picture file, gray or in colour, and is decoded again."""
+    path = shared_path(spark)
+    picture_files(mixed_frames(spark, d), path)
     return images.read_frames(spark, path).select("scene_id", "raw_index", "width", "height", "channels", F.lower(F.hex("pixels")).alias("pixels"))
+
+
+@query("read_frames_sampled", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, raw_index, n AS frame_count, channels, pixels FROM mix WHERE raw_index % CAST(greatest(1, ceil(n / 7.0e0)) AS BIGINT) = 0", MIXED, views="frames8"))
+def _(spark, d):
+    """At most seven frames of a scene, picked before any picture is opened."""
+    path = shared_path(spark)
+    picture_files(mixed_frames(spark, d), path)
+    return images.read_frames(spark, path, max_frames=7).select("scene_id", "raw_index", "frame_count", "channels", F.lower(F.hex("pixels")).alias("pixels"))
+
+
+@query("assess_folder", oracle("""SELECT CAST(scene_id AS VARCHAR) AS scene_id, max(n) AS frame_count, count(*) AS sampled_count, 8 AS width, 8 AS height, 0 AS mask_count
+    FROM mix WHERE raw_index % CAST(greatest(1, ceil(n / 9.0e0)) AS BIGINT) = 0 GROUP BY scene_id""", MIXED, views="frames8"))
+def _(spark, d):
+    """The input report straight from folders of picture files; what it measures is compared in `assess_scene`."""
+    path = shared_path(spark)
+    picture_files(mixed_frames(spark, d), path)
+    return G.assess_folder(spark, path, max_frames=9).select("scene_id", "frame_count", "sampled_count", "width", "height", F.col("mask_count").cast("int").alias("mask_count"))

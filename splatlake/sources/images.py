@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.order_stats import ranked
+from ..functions.scaling import attach, durable
 
 # File name endings of the two image sets.
 IMAGE_SUFFIXES = ("png", "jpg", "jpeg")
 WIDE_SUFFIXES = IMAGE_SUFFIXES + ("bmp", "tif", "tiff")
+FILES_AT_ONCE = 50_000  # frames picked and numbered by one branch of a decoding plan
 
 
 def suffix_is(path: str, suffixes) -> Column:
@@ -18,21 +21,24 @@ def suffix_is(path: str, suffixes) -> Column:
 
 
 def list_images(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES) -> DataFrame:
-    """Path, name and size of the image files below a folder; file contents are not read."""
+    """Path (also as an escaped `uri`), name and size of the image files below a folder; file contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
-    return (files.select("path", "length", "modificationTime").filter(suffix_is("path", suffixes))
+    return (files.select("path", F.col("_metadata.file_path").alias("uri"), "length", "modificationTime").filter(suffix_is("path", suffixes))
             .withColumn("name", F.regexp_extract("path", r"([^/]+)$", 1)))
 
 
-def read_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child: str = "images") -> DataFrame:
-    """Decoded frames: scene_id (folder below root), raw_index (by name), width, height, channels, pixels (blue-green-red bytes).
+def _plain(c: Column) -> Column:
+    return F.regexp_replace(c, "^file:/+", "file:/")
+
+
+def list_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child: str = "images") -> DataFrame:
+    """Image files as numbered frames: scene_id (folder below root), raw_index (by name), name, origin, uri, bytes; no file is opened.
 
     A folder that has a `child` folder with images is a scene made of those; its other folders
     (masks, for one) are none. Files are numbered before they are opened, so an unreadable one leaves a gap.
     """
-    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
     below = r"^.*?\Q" + re.sub("^file:/+", "/", root).rstrip("/") + r"\E/?"
-    listed = list_images(spark, root, suffixes).select(plain(F.col("path")).alias("origin"), "name")
+    listed = list_images(spark, root, suffixes).select(_plain(F.col("path")).alias("origin"), "uri", "name", F.col("length").alias("bytes"))
     listed = listed.withColumn("_folder", F.regexp_replace(F.regexp_extract("origin", "^(.*)/[^/]+$", 1), below, ""))
     listed = listed.withColumn("_child", F.regexp_extract("_folder", "([^/]*)$", 1) == child)
     listed = listed.withColumn("_above", F.regexp_replace("_folder", "/?[^/]*$", ""))
@@ -40,12 +46,52 @@ def read_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child:
     other = listed.filter("NOT _child")
     other = other.join(scenes, other["_above"] == scenes["_scene"], "left_anti").join(scenes, F.col("_folder") == scenes["_scene"], "left_anti").withColumn("scene_id", F.col("_folder"))
     kept = listed.filter("_child").withColumn("scene_id", F.col("_above")).unionByName(other)
-    own = F.regexp_extract(plain(F.lit(root)), "([^/]+)/*$", 1)
-    kept = kept.select(F.when(F.col("scene_id") == "", own).otherwise(F.col("scene_id")).alias("scene_id"), "name", "origin")
-    numbered = ranked(kept, ["scene_id"], ["name", "origin"]).withColumn("raw_index", (F.col("ordinal") - 1).cast("int")).drop("ordinal")
-    image = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root).select("image.*")
-    decoded = image.select(plain(F.col("origin")).alias("origin"), "width", "height", F.col("nChannels").alias("channels"), F.col("data").alias("pixels"))
-    return numbered.join(decoded, "origin").select("scene_id", "name", "origin", "width", "height", "channels", "pixels", "raw_index")
+    own = F.regexp_extract(_plain(F.lit(root)), "([^/]+)/*$", 1)
+    kept = kept.select(F.when(F.col("scene_id") == "", own).otherwise(F.col("scene_id")).alias("scene_id"), "name", "origin", "uri", "bytes")
+    return ranked(kept, ["scene_id"], ["name", "origin"]).withColumn("raw_index", (F.col("ordinal") - 1).cast("int")).drop("ordinal")
+
+
+def decode_frames(frames: DataFrame, root: str, at_once: int = FILES_AT_ONCE) -> DataFrame:
+    """Put width, height, channels and pixels (blue-green-red bytes) in place of the `uri` of listed frames; no other file below `root` is opened.
+
+    Files are picked by their path before the scan, `at_once` in one branch of the plan, and the numbers come to the pixels by a broadcast of
+    those few rows; so pixels are never shuffled, whatever the number of frames. Frames that cannot be decoded are left out.
+    The paths pass through the driver, which lists every file of an image folder anyway.
+    """
+    spark = frames.sparkSession
+    image = spark.read.format("image").option("dropInvalid", True).option("recursiveFileLookup", True).load(root)
+    decoded = image.select(F.col("_metadata.file_path").alias("uri"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("pixels"))
+    columns = [c for c in frames.columns if c not in ("uri", "raw_index")] + ["width", "height", "channels", "pixels"] + ["raw_index"] * ("raw_index" in frames.columns)
+    known = durable(frames.orderBy("uri"))
+    branches, batch = [], []
+
+    def branch(rows):
+        few = spark.createDataFrame(rows, known.schema)
+        return decoded.filter(F.col("uri").isin([r["uri"] for r in rows])).join(F.broadcast(few), "uri").select(*columns)
+
+    for row in known.toLocalIterator():
+        batch.append(row)
+        if len(batch) == at_once:
+            branches.append(branch(batch))
+            batch = []
+    if batch or not branches:
+        branches.append(branch(batch))
+    return reduce(DataFrame.unionByName, branches)
+
+
+def read_frames(spark: SparkSession, root: str, suffixes=IMAGE_SUFFIXES, child: str = "images", max_frames: int | None = None) -> DataFrame:
+    """Decoded frames: scene_id, name, origin, width, height, channels, pixels, raw_index, as `list_frames` numbers them.
+
+    With `max_frames` only every ceil(n / max_frames)-th file of a scene is opened, and `frame_count` tells how many there are.
+    """
+    from ..operators.frames import frame_stride_sample
+
+    listed = list_frames(spark, root, suffixes, child).drop("bytes")
+    if max_frames is not None:
+        listed = durable(listed)
+        counts = listed.groupBy("scene_id").agg(F.count("*").alias("frame_count"))
+        listed = attach(frame_stride_sample(listed, max_frames), counts, ["scene_id"])
+    return decode_frames(listed, root)
 
 
 def unreadable_count(listed: DataFrame, decoded: DataFrame, keys=("scene_id",), path: str = "path") -> DataFrame:

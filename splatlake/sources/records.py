@@ -1,10 +1,13 @@
 """Fixed-width splat files (`.ply`, `.splat`) as Spark data sources.
 
 Record files split like text files: a task takes a byte range, reads the short
-header itself, and turns the records that start inside its range into Arrow batches.
-The driver lists files and looks at one header, for the schema.
+header itself, and turns the records that start inside its range into Arrow batches, of the columns asked for only.
+`read_ply` surveys the headers in a job; the driver lists files and sees the distinct layouts.
 
-    spark.dataSource.register(PlySource); spark.read.format("ply").load(folder)
+    read_ply(spark, folder, columns=["x", "y", "z"]); ply_counts(spark, folder)
+
+Option `scenes` (a JSON list of scene ids) leaves the files of other scenes unopened.  It is an option because a filter pushed into a
+Python source stays with the frame in Spark 4.1, so that a later query on it would lose rows.
 
 Both formats add `scene_id` (file stem, or the folder of a written scene), `part`
 (file name; parts of a scene follow each other in name order) and `ordinal`
@@ -18,9 +21,11 @@ import posixpath
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -28,6 +33,9 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 SPLIT_BYTES = 64 << 20
 BATCH_ROWS = 65536
+PART_BYTES = 64 << 20  # records that a writing task holds
+RENAMES_AT_ONCE = 64
+HEADERS_PER_TASK = 64
 
 # Property types of the vertex element, with their little-endian layout.
 PLY_TYPES = {"char": "i1", "uchar": "u1", "short": "<i2", "ushort": "<u2", "int": "<i4", "uint": "<u4", "float": "<f4", "double": "<f8"}
@@ -48,14 +56,14 @@ class HeaderError(ValueError):
 
 
 def parse_header(stream, name: str) -> tuple[np.dtype, int, int]:
-    """Record layout, record count and header length of an open PLY file."""
-    fields, count, inside, used, pending = [], None, False, 0, b""
+    """Record layout, record count and start of the first record of an open PLY file."""
+    elements, pending, used = [], b"", 0  # [name, count, fields or None where a list makes the width vary]
     while True:
         end = pending.find(b"\n")
         if end < 0:
             block = stream.read(4096)
             if not block:
-                raise HeaderError(f"{name} ended before end_header")
+                raise HeaderError(f"{name}: no end_header before the end of the file")
             pending += block
             continue
         words, pending = pending[:end].decode("ascii", "replace").split(), pending[end + 1:]
@@ -67,15 +75,21 @@ def parse_header(stream, name: str) -> tuple[np.dtype, int, int]:
         if words[0] == "format" and words[1:2] != ["binary_little_endian"]:
             raise HeaderError(f"{name}: only binary little-endian files can be read, not {' '.join(words[1:])}")
         if words[0] == "element" and len(words) >= 3:
-            inside = words[1] == "vertex"
-            count = int(words[2]) if inside else count
-        elif words[0] == "property" and inside:
-            if len(words) != 3 or words[1] not in PLY_TYPES:
-                raise HeaderError(f"Unsupported PLY property line: {' '.join(words)}")
-            fields.append((words[2], PLY_TYPES[words[1]]))
-    if count is None:
-        raise HeaderError(f"{name} has no vertex element")
-    return np.dtype(fields), count, used
+            elements.append([words[1], int(words[2]), []])
+        elif words[0] == "property" and elements:
+            if len(words) == 3 and words[1] in PLY_TYPES and elements[-1][2] is not None:
+                elements[-1][2].append((words[2], PLY_TYPES[words[1]]))
+            elif elements[-1][0] == "vertex":
+                raise HeaderError(f"{name}: a vertex cannot have the property {' '.join(words[1:])}")
+            else:
+                elements[-1][2] = None
+    for element, count, fields in elements:
+        if element == "vertex":
+            return np.dtype(fields), count, used
+        if fields is None and count:
+            raise HeaderError(f"{name}: lists of element {element} stand before the vertices")
+        used += count * np.dtype(fields or []).itemsize  # other elements of fixed width are stepped over
+    raise HeaderError(f"{name}: no element vertex")
 
 
 def _files(path: str, ending: str) -> tuple[fs.FileSystem, list[fs.FileInfo]]:
@@ -106,12 +120,13 @@ class ByteRange(InputPartition):
 
 
 class _RecordReader(DataSourceReader):
-    def __init__(self, root: str, schema: T.StructType, kind: str, split: int, cut: bool = False):
-        self.root, self.schema, self.kind, self.split, self.cut = root, schema, kind, split, cut
+    def __init__(self, root: str, schema: T.StructType, kind: str, split: int, cut: bool = False, scenes: set | None = None):
+        self.root, self.schema, self.kind, self.split, self.cut, self.scenes = root, schema, kind, split, cut, scenes
 
     def partitions(self):
         _, files = _files(self.root, f".{self.kind}")
-        return [ByteRange(f.path, at, min(at + self.split, f.size)) for f in files for at in range(0, max(1, f.size), self.split)]
+        return [ByteRange(f.path, at, min(at + self.split, f.size)) for f in files if self.scenes is None or _scene_of(f.path) in self.scenes
+                for at in range(0, max(1, f.size), self.split)]
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         system, _ = fs.FileSystem.from_uri(self.root) if "://" in self.root or self.root.startswith("file:") else (fs.LocalFileSystem(), "")
@@ -159,21 +174,22 @@ class PartFiles(WriterCommitMessage):
 
 
 class _RecordWriter(DataSourceArrowWriter):
-    """Every task writes one part file per scene it holds; names follow the partition order.
+    """Every task writes part files of the scenes it holds; names follow the partition order, and the order within it.
 
-    Parts are written under an attempt's own hidden name and renamed on commit, so a
+    At most PART_BYTES of records wait in a task: beyond that the scene with most of them becomes a part, so memory does not grow with the
+    partition. Parts are written under an attempt's own hidden name and renamed on commit, many at a time, so a
     retried or speculative task leaves nothing behind that a reader would pick up.
     """
 
-    def __init__(self, root: str, schema: T.StructType, kind: str, overwrite: bool):
-        self.root, self.kind, self.job = root, kind, uuid.uuid4().hex[:12]
+    def __init__(self, root: str, schema: T.StructType, kind: str, part_bytes: int = PART_BYTES):
+        self.root, self.kind, self.job, self.part_bytes = root, kind, uuid.uuid4().hex[:12], part_bytes
         self.columns = [f for f in schema.fields if f.name not in ("scene_id", "part", "ordinal")]
         self.has_scene = "scene_id" in schema.names
         if kind == "ply":
             self.lines, layout = [], []
             for f in self.columns:
                 if f.dataType not in _WRITE:
-                    raise ValueError(f"Cannot write unsupported dtype {f.dataType.simpleString()} for {f.name}")
+                    raise ValueError(f"column {f.name}: PLY has no type for {f.dataType.simpleString()}")
                 self.lines.append(f"property {_WRITE[f.dataType]} {f.name}")
                 layout.append((f.name, PLY_TYPES[_WRITE[f.dataType]]))
             self.layout = layout
@@ -191,21 +207,18 @@ class _RecordWriter(DataSourceArrowWriter):
         context = TaskContext.get()
         system, root = self._system()
         layout = np.dtype(self.layout)
-        parts: dict[str, list[bytes]] = {}
-        for batch in iterator:
-            table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
-            scenes = np.array(table["scene_id"].cast(pa.string()).to_pylist(), dtype=object) if self.has_scene else np.array([""] * batch.num_rows, dtype=object)
-            records = np.empty(batch.num_rows, dtype=layout)
-            for n, code in self.layout:
-                records[n] = table[n].to_numpy(zero_copy_only=False)
-            for scene in dict.fromkeys(scenes):
-                parts.setdefault(scene, []).append(records[scenes == scene].tobytes())
-        written = []
-        for scene, blocks in parts.items():
+        waiting: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
+        numbers: dict[str, int] = {}
+        written, held = [], 0
+
+        def flush(scene: str) -> int:
+            blocks, size = waiting.pop(scene), sizes.pop(scene)
             folder = posixpath.join(root, f"scene_id={scene}") if self.has_scene else root
             system.create_dir(folder, recursive=True)
-            count = sum(map(len, blocks)) // layout.itemsize
-            final = posixpath.join(folder, f"part-{context.partitionId():05d}.{self.kind}")
+            count, number = size // layout.itemsize, numbers.get(scene, 0)
+            numbers[scene] = number + 1
+            final = posixpath.join(folder, f"part-{context.partitionId():05d}" + (f"_{number:06d}" if number else "") + f".{self.kind}")
             temp = posixpath.join(folder, f"_{self.job}-{context.partitionId()}-{context.attemptNumber()}-{uuid.uuid4().hex[:6]}")
             with system.open_output_stream(temp) as out:
                 if self.kind == "ply":
@@ -213,14 +226,31 @@ class _RecordWriter(DataSourceArrowWriter):
                 for block in blocks:
                     out.write(block)
             written.append((temp, final, scene, count))
+            return size
+
+        for batch in iterator:
+            table = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
+            scenes = np.array(table["scene_id"].cast(pa.string()).to_pylist(), dtype=object) if self.has_scene else np.array([""] * batch.num_rows, dtype=object)
+            records = np.empty(batch.num_rows, dtype=layout)
+            for n, code in self.layout:
+                records[n] = table[n].to_numpy(zero_copy_only=False)
+            for scene in dict.fromkeys(scenes):
+                block = records[scenes == scene].tobytes()
+                waiting.setdefault(scene, []).append(block)
+                sizes[scene] = sizes.get(scene, 0) + len(block)
+                held += len(block)
+            while held > self.part_bytes:
+                held -= flush(max(sizes, key=sizes.get))
+        for scene in list(waiting):
+            flush(scene)
         return PartFiles(written)
 
     def commit(self, messages) -> None:
         system, root = self._system()
         system.create_dir(root, recursive=True)
         parts = [p for m in messages if m is not None for p in m.files]
-        for temp, final, _, _ in parts:
-            system.move(temp, final)
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            list(pool.map(lambda p: system.move(p[0], p[1]), parts))
         listing = [{"path": final, "scene_id": scene, "count": count} for _, final, scene, count in parts]
         with system.open_output_stream(posixpath.join(root, "_parts.json")) as out:
             out.write(json.dumps(listing).encode("utf-8"))
@@ -247,10 +277,11 @@ class _RecordSource(DataSource):
         return self.options["path"]
 
     def reader(self, schema: T.StructType):
-        return _RecordReader(self._root(), schema, self.kind, int(self.options.get("splitBytes", SPLIT_BYTES)), self.options.get("truncated", "false").lower() == "true")
+        return _RecordReader(self._root(), schema, self.kind, int(self.options.get("splitBytes", SPLIT_BYTES)), self.options.get("truncated", "false").lower() == "true",
+                             set(json.loads(self.options["scenes"])) if self.options.get("scenes") else None)
 
     def writer(self, schema: T.StructType, overwrite: bool):
-        return _RecordWriter(self._root(), schema, self.kind, overwrite)
+        return _RecordWriter(self._root(), schema, self.kind, int(self.options.get("partBytes", PART_BYTES)))
 
 
 class PlySource(_RecordSource):
@@ -264,14 +295,23 @@ class PlySource(_RecordSource):
         system, files = _files(self._root(), ".ply")
         if not files:
             raise FileNotFoundError(f"no .ply file below {self._root()}")
-        fields: dict[str, np.dtype] = {}
-        for file in files:  # headers only
+
+        def header(file) -> np.dtype:
             with system.open_input_file(file.path) as stream:
-                layout = parse_header(stream, file.path)[0]
-            for name in layout.names:
-                wide = np.promote_types(fields.get(name, layout[name]), layout[name])
-                fields[name] = wide if wide.str[1:] in _SPARK else np.dtype("<f8")
-        return np.dtype(list(fields.items()))
+                return parse_header(stream, file.path)[0]
+
+        with ThreadPoolExecutor(RENAMES_AT_ONCE) as pool:
+            return common_layout(pool.map(header, files))
+
+
+def common_layout(layouts) -> np.dtype:
+    """All fields of the given layouts in order of appearance, each as wide as any file has it."""
+    fields: dict[str, np.dtype] = {}
+    for layout in layouts:
+        for name in layout.names:
+            wide = np.promote_types(fields.get(name, layout[name]), layout[name])
+            fields[name] = wide if wide.str[1:] in _SPARK else np.dtype("<f8")
+    return np.dtype(list(fields.items()))
 
 
 class SplatSource(_RecordSource):
@@ -290,9 +330,47 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(source)
 
 
-def read_ply(spark: SparkSession, path: str) -> DataFrame:
+def ply_headers(spark: SparkSession, path: str) -> DataFrame:
+    """(origin, scene_id, part, vertices, fields) of every PLY file, from the headers alone, read by tasks."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.[pP][lL][yY]").load(path).select("path")
+
+    def read(batches):
+        for pdf in batches:
+            rows = []
+            for origin in pdf["path"]:
+                system, inner = fs.FileSystem.from_uri(origin)
+                with system.open_input_file(inner) as stream:
+                    layout, count, _ = parse_header(stream, inner)
+                rows.append((origin, _scene_of(inner), posixpath.basename(inner), count, " ".join(f"{n}:{layout[n].str}" for n in layout.names)))
+            yield pd.DataFrame(rows, columns=["origin", "scene_id", "part", "vertices", "fields"])
+
+    # a header each is little work, so the scan's own tasks are shared out by the number of files
+    return files.repartition(max(1, min(files.count() // HEADERS_PER_TASK + 1, 10_000))).mapInPandas(read, "origin string, scene_id string, part string, vertices long, fields string")
+
+
+def ply_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Vertices of each scene as its files' headers name them; no record is read."""
+    return ply_headers(spark, path).groupBy("scene_id").agg(F.sum("vertices").alias("point_count"), F.count("*").alias("parts"))
+
+
+def read_ply(spark: SparkSession, path: str, columns=None, scenes=None) -> DataFrame:
+    """PLY files as rows; with `columns` only these file columns, next to scene_id, part and ordinal, are built, with `scenes` only these scenes' files opened.
+
+    Files may differ in their columns: a column is as wide as any file has it and null where a file lacks it.
+    """
     register(spark)
-    return spark.read.format("ply").load(path)
+    layouts = ply_headers(spark, path).groupBy("fields").agg(F.min("origin").alias("origin")).orderBy("origin").collect()  # distinct layouts only
+    if not layouts:
+        raise FileNotFoundError(f"no .ply file below {path}")
+    layout = common_layout(np.dtype([tuple(f.rsplit(":", 1)) for f in r["fields"].split(" ")]) for r in layouts)
+    names = layout.names if columns is None else list(columns)
+    missing = [c for c in names if c not in layout.names]
+    if missing:
+        raise ValueError(f"no file below {path} has {missing}")
+    schema = T.StructType([T.StructField("scene_id", T.StringType()), T.StructField("part", T.StringType()), T.StructField("ordinal", T.LongType()),
+                           *[T.StructField(n, _SPARK[layout[n].str[1:]]) for n in names]])
+    reader = spark.read.format("ply").schema(schema)
+    return (reader if scenes is None else reader.option("scenes", json.dumps(list(scenes)))).load(path)
 
 
 def read_splat(spark: SparkSession, path: str) -> DataFrame:

@@ -77,3 +77,65 @@ def test_spread_median_of_any_doubles(spark, spread, values):
     df = spark.createDataFrame(pd.DataFrame({"k": 0, "v": values}))
     got = lower_median(df, ["k"], "v").first()["value"]
     assert got == sorted(values)[(len(values) + 1) // 2 - 1]
+
+
+def test_percentiles_build_no_lists(spark):
+    _, df = skewed(spark)
+    out = group_stats(df, ["k"], {"q": ("v", 0.5), "top": (F.col("v") * 2, 0.9)}, [F.count("*").alias("n")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "ObjectHashAggregate" not in plan
+    assert "collect_list" not in kth_smallest(df, ["k"], "v", 0.5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_percentiles_of_many_groups_odd_keys_and_empty_ones(spark):
+    rows = [(None if k == 3 else f"k{k}", k % 4 if k % 5 else None, float(v) if v % 7 else None) for k in range(300) for v in range(k % 9)] + [("none", 1, None), ("none", 1, float("nan"))]
+    df = spark.createDataFrame(rows, "a string, b int, v double").repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {(r.a, r.b): (r.lo, r.mid) for r in group_stats(df, ["a", "b"], {"mid": ("v", 0.5), "lo": ("v", 0.0)}).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    groups = {}
+    for a, b, v in rows:
+        groups.setdefault((a, b), []).extend([v] if v is not None and v == v else [])
+    assert got == {k: (min(v), float(np.percentile(v, 50))) if v else (None, None) for k, v in groups.items()}
+
+
+def test_extreme_values_keep_their_size(spark, spread):
+    top = 1.7976931348623157e308
+    values = [top] * 40 + [-top] * 40 + [0.0, np.inf, -np.inf, 5e-324]
+    df = spark.createDataFrame(pd.DataFrame({"k": 0, "v": values}))
+    row = group_stats(df, ["k"], {"a": ("v", 10 / 83), "b": ("v", 70 / 83), "c": ("v", 1.0), "d": ("v", 0.0), "e": ("v", 41 / 83)}).first()
+    assert (row.a, row.b, row.c, row.d) == (-top, top, np.inf, -np.inf) and row.e == sorted(values)[41]
+
+
+def test_heavy_tails_take_as_many_rounds_as_any(spark, spread, monkeypatch):
+    from splatlake.functions import order_stats
+
+    written = []
+    monkeypatch.setattr(order_stats, "durable", lambda df, real=order_stats.durable: written.append(1) or real(df))
+    rounds = []
+    for values in (np.arange(4000.0), np.exp(np.arange(4000) / 6.0) - 1, np.r_[np.zeros(3990), 1e300, -1e300, np.arange(8.0)]):
+        written.clear()
+        assert lower_median(spark.createDataFrame(pd.DataFrame({"k": 0, "v": values})), ["k"], "v").first()["value"] == sorted(values)[1999]
+        rounds.append(len(written))
+    assert max(rounds) <= rounds[0] + 3  # one round more at most
+
+
+def test_approximate_percentiles_are_near(spark):
+    df = spark.range(200_000).select((F.col("id") % 3).alias("k"), F.sqrt("id").alias("v"))
+    exact = {r.k: r for r in group_stats(df, ["k"], {"a": ("v", 0.1), "b": ("v", 0.9)}, [F.count("*").alias("n")]).collect()}
+    for r in group_stats(df, ["k"], {"a": ("v", 0.1), "b": ("v", 0.9)}, [F.count("*").alias("n")], approx=True).collect():
+        assert r.n == exact[r.k].n and abs(r.a ** 2 - exact[r.k].a ** 2) < 1000 and abs(r.b ** 2 - exact[r.k].b ** 2) < 1000
+
+
+def test_attach_sets_hot_keys_apart(spark, spread):
+    from splatlake.functions.scaling import attach
+
+    rows = spark.createDataFrame([(0 if i % 3 else i, i) for i in range(600)] + [(None, 1)], "k int, i int")
+    table = spark.createDataFrame([(k, f"t{k}") for k in range(0, 600, 2)] + [(0, "again")], "k int, t string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        for isolate in (True, False):
+            got = attach(rows, table, ["k"], how, isolate=isolate)
+            assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(table, ["k"], how).collect())), how
+    assert "explode" not in attach(rows.filter("i % 3 = 0"), table, ["k"])._jdf.queryExecution().optimizedPlan().toString()
