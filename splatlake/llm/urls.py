@@ -1,22 +1,22 @@
 """URL filters: a path-template tree per host, with labelled purity deciding what rules do not.
 
-Level by level, a path segment stays literal where enough URLs below the same node
-share it; all others become a wildcard.  Sibling branches whose shares of blocked labels do not
-differ significantly are merged.  A branch is rejected by its purity, smoothed towards the same template over
-all hosts, which is itself smoothed towards a prior.
+The tree is built over the distinct paths of a host.  Level by level, a segment stays literal where at least SUPPORT distinct
+paths go on below it, whatever the size of its host; all others become a wildcard, down to the last segment that any path shares.
+Sibling branches whose shares of blocked labels do not differ significantly are merged.  A branch is rejected by its purity, smoothed
+towards the same template over all hosts, this towards all that stands below its parent over all hosts, and that towards a prior.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from ..functions.scaling import attach
 from .common import durable
 from .licenses import LOWER, UPPER
 
 # Verdict, host, path.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-SHARE, SUPPORT = 0.02, 3  # of a node's URLs that a literal segment needs, at least so many
-DEPTH = 6  # levels told apart; what lies deeper is one wildcard
+SUPPORT = 4  # distinct paths below a literal segment
 STRENGTH = 20.0  # labelled URLs that the smoothing counts as
 ALIKE = 1.96  # z value up to which two branches are alike
 PRIOR = 0.2  # share of blocked labels taken for granted where there are none
@@ -38,29 +38,33 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return text, verdict
 
 
-def templates(urls: DataFrame, depth: int = DEPTH, share: float = SHARE, support: int = SUPPORT) -> DataFrame:
-    """urls(host, path, ...) with parent and template: the path with its variable segments as `*`."""
-    segments = F.split(F.regexp_replace("path", "^/", ""), "/", depth + 1)
-    rows = urls.withColumn("_segments", segments).withColumn("template", F.lit("")).withColumn("parent", F.lit(""))
-    deepest = rows.agg(F.max(F.size("_segments"))).first()[0] or 0
-    for level in range(min(deepest, depth + 1)):
-        segment = F.get("_segments", F.lit(level))
-        rows = durable(rows.withColumn("_segment", segment))
+def templates(paths: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """Distinct paths(host, path, ...) with parent and template: the path with its variable segments as `*`.
+
+    One round a level, until no segment is shared by enough paths: from there on all segments are wildcards.
+    """
+    rows = paths.withColumns({"_segments": F.split(F.regexp_replace("path", "^/", ""), "/"), "template": F.lit(""), "parent": F.lit("")})
+    level = 0
+    while True:
+        rows = durable(rows.withColumn("_segment", F.get("_segments", F.lit(level))))
         counts = rows.filter("_segment IS NOT NULL").groupBy("host", "template", "_segment").agg(F.count("*").alias("_n"))
-        node = counts.groupBy("host", "template").agg(F.sum("_n").alias("_all"))
-        enough = F.col("_n") >= F.greatest(F.lit(support), share * F.col("_all"))
-        literal = counts.filter(F.col("_n") >= support).join(node, ["host", "template"]).filter(enough & F.lit(level < depth)).select("host", "template", "_segment", F.lit(True).alias("_literal"))
-        rows = rows.join(literal, ["host", "template", "_segment"], "left")
+        literal = durable(counts.filter(F.col("_n") >= support).drop("_n").withColumn("_literal", F.lit(True)))
+        if literal.isEmpty():
+            break
+        rows = attach(rows, literal, ["host", "template", "_segment"], grown=True)
         name = F.when(F.col("_literal"), F.col("_segment")).otherwise("*")
-        rows = (rows.withColumn("parent", F.when(F.col("_segment").isNull(), F.col("parent")).otherwise(F.col("template")))
-                .withColumn("template", F.when(F.col("_segment").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), name))).drop("_segment", "_literal"))
-    return rows.drop("_segments")
+        ended = F.col("_segment").isNull()
+        rows = rows.withColumns({"parent": F.when(ended, F.col("parent")).otherwise(F.col("template")), "template": F.when(ended, F.col("template")).otherwise(F.concat("template", F.lit("/"), name))}).drop("_segment", "_literal")
+        level += 1
+    left = F.greatest(F.lit(0), F.size("_segments") - level)
+    rest = lambda n: F.concat("template", F.repeat(F.lit("/*"), n))
+    return rows.withColumns({"parent": F.when(left > 0, rest(left - 1)).otherwise(F.col("parent")), "template": rest(left)}).drop("_segments", "_segment")
 
 
 def merge_alike(stats: DataFrame, alike: float = ALIKE) -> DataFrame:
     """stats(host, parent, template, blocked, labelled) with `branch`: siblings in order of purity, cut where neighbours differ significantly.
 
-    A node has at most 1 / share literal children and a wildcard, so the window is short.
+    A node's children are literal segments with paths of their own and a wildcard, so the window runs over templates, not URLs.
     """
     order = W.partitionBy("host", "parent").orderBy(F.col("blocked") / F.greatest("labelled", F.lit(1)), "template")
     b, n = F.lag("blocked").over(order), F.lag("labelled").over(order)
@@ -74,20 +78,24 @@ def merge_alike(stats: DataFrame, alike: float = ALIKE) -> DataFrame:
 def judge(pages: DataFrame, rules=RULES, reject: float = REJECT, strength: float = STRENGTH, prior: float = PRIOR) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) per row of pages(page_id, url).
 
-    Labels are the rules' own verdicts.  Where no rule fits, a URL is blocked when its branch's smoothed
-    share of blocked labels is above `reject`; without any label that share is `prior`.  Rows repeat as they are given.
+    Labels are the rules' own verdicts, one for each distinct path.  Where no rule fits, a URL is blocked when its branch's smoothed
+    share of blocked labels is above `reject`; without any label that share is `prior`.  Rows repeat as they are given; null URLs and
+    those without `://` share the empty host and path; very long URLs are split whole.  Other columns are left behind, an empty table gives an empty one.
     """
     host, path = split_url(F.col("url"))
     rows = pages.select("page_id", host.alias("host"), path.alias("path"))
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = durable(templates(rows.withColumn("rule", text).withColumn("verdict", verdict)))
-    stats = rows.groupBy("host", "parent", "template").agg(F.count_if(F.col("verdict") == "block").alias("blocked"), F.count("verdict").alias("labelled"))
+    paths = durable(templates(rows.select("host", "path").distinct().withColumn("rule", text).withColumn("ruled", verdict)))
+    stats = paths.groupBy("host", "parent", "template").agg(F.count_if(F.col("ruled") == "block").alias("blocked"), F.count("ruled").alias("labelled"))
     stats = durable(merge_alike(stats))
     smooth = lambda b, n, towards: (b + strength * towards) / (n + strength)
-    pooled = stats.groupBy("template").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(prior)).alias("_pooled"))
-    branch = stats.groupBy("host", "parent", "branch").agg(
-        F.sum("blocked").alias("_b"), F.sum("labelled").alias("_n"))
-    purity = stats.join(pooled, "template").join(branch, ["host", "parent", "branch"]).select("host", "template", smooth(F.col("_b"), F.col("_n"), F.col("_pooled")).alias("purity"))
-    out = rows.join(purity.dropDuplicates(["host", "template"]), ["host", "template"], "left")
+    below = stats.groupBy("parent").agg(smooth(F.sum("blocked"), F.sum("labelled"), F.lit(prior)).alias("_below"))
+    pooled = stats.groupBy("parent", "template").agg(F.sum("blocked").alias("_pb"), F.sum("labelled").alias("_pn")).join(below, "parent")
+    pooled = pooled.select("parent", "template", smooth(F.col("_pb"), F.col("_pn"), F.col("_below")).alias("_pooled"))
+    branch = stats.groupBy("host", "parent", "branch").agg(F.sum("blocked").alias("_b"), F.sum("labelled").alias("_n"))
+    purity = attach(stats, pooled, ["parent", "template"], "inner").join(branch, ["host", "parent", "branch"])
+    purity = purity.select("host", "template", smooth(F.col("_b"), F.col("_n"), F.col("_pooled")).alias("purity"))
     own = F.when(F.col("purity") > reject, "block").otherwise("allow")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", own).alias("verdict"), "template", "purity")
+    judged = attach(paths, purity.dropDuplicates(["host", "template"]), ["host", "template"])
+    judged = judged.select("host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "template", "purity")
+    return attach(rows, judged, ["host", "path"]).select("page_id", "host", "path", "rule", "verdict", "template", "purity")

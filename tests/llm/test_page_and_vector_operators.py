@@ -1,7 +1,10 @@
 """Archives, URL filters and vector searches against plain Python."""
 
 import hashlib
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -50,12 +53,62 @@ def test_rules_and_hosts(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
-def test_templates_and_purity(spark):
-    """A branch takes its labels' verdict; variable segments become wildcards; what no label tells of follows other hosts."""
-    rows = [(i, f"http://h.com/de/{i}") for i in range(300)] + [(300 + i, f"http://h.com/en/{i}/p") for i in range(300)] + [(600 + i, f"http://h.net/de/{i}") for i in range(300)]
-    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), strength=5.0).toPandas().set_index("page_id")
-    assert got.template.groupby(got.index // 300).unique().map(list).tolist() == [["/de/*"], ["/en/*/p"], ["/de/*"]]
-    assert got.verdict.groupby(got.index // 300).unique().map(list).tolist() == [["block"], ["allow"], ["block"]] or got.verdict[650] == "block"
+def brute_judge(rows, support=urls.SUPPORT, strength=urls.STRENGTH, prior=urls.PRIOR, alike=urls.ALIKE):
+    """(template, verdict) by (host, path), from the rules and the tree, in plain Python."""
+    ruled = {}
+    for _, url in rows:
+        m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+        host, path = (m[1].lower(), m[2]) if m else ("", "")
+        fits = [(len(h + p), v) for v, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        ruled[host, path] = max(fits)[1] if fits else None
+    names = {k: ("", "") for k in ruled}
+    for level in range(max((k[1].removeprefix("/").count("/") + 1 for k in ruled), default=0)):
+        here = {k: k[1].removeprefix("/").split("/")[level] for k in ruled if k[1].removeprefix("/").count("/") >= level}
+        below = Counter((k[0], names[k][1], seg) for k, seg in here.items())
+        names |= {k: (names[k][1], names[k][1] + "/" + (seg if below[k[0], names[k][1], seg] >= support else "*")) for k, seg in here.items()}
+    stats = {}
+    for k, (parent, template) in names.items():
+        cell = stats.setdefault((k[0], parent, template), [0, 0])
+        cell[0] += ruled[k] == "block"
+        cell[1] += ruled[k] is not None
+    smooth = lambda cells, towards: (sum(c[0] for c in cells) + strength * towards) / (sum(c[1] for c in cells) + strength)
+    purity = {}
+    for host, parent in {k[:2] for k in stats}:
+        own = sorted((k for k in stats if k[:2] == (host, parent)), key=lambda k: (stats[k][0] / max(1, stats[k][1]), k[2]))
+        branches = [[own[0]]]
+        for before, k in zip(own, own[1:]):
+            (b0, n0), (b1, n1) = stats[before], stats[k]
+            cut = (n1 > 0) != (n0 > 0)
+            if n0 and n1:
+                pool = (b0 + b1) / (n0 + n1)
+                cut = abs(b1 / n1 - b0 / n0) / max(math.sqrt(pool * (1 - pool) * (1 / n1 + 1 / n0)), 1e-9) > alike
+            branches.append([k]) if cut else branches[-1].append(k)
+        for branch in branches:
+            for k in branch:
+                below = smooth([c for j, c in stats.items() if j[1] == parent], prior)
+                purity[k] = smooth([stats[j] for j in branch], smooth([c for j, c in stats.items() if j[1:] == k[1:]], below))
+    return {k: (t, ruled[k] or ("block" if purity[k[0], parent, t] > urls.REJECT else "allow")) for k, (parent, t) in names.items()}
+
+
+def test_tree_and_verdicts_against_brute_force(spark):
+    rng = random.Random(8)
+    hosts = ["a.com", "b.com", "m.a.com", "c.net", "d.net", "e.org", "example.org"]
+    rows = [(i, f"http://{rng.choice(hosts)}/{rng.choice(['de', 'fr', 'en', 'es', str(i)])}" + "".join(f"/{rng.choice(['a', 'b', str(rng.randint(0, 60))])}" for _ in range(rng.randint(0, 3))) + rng.choice(["", "/", "?q"])) for i in range(900)]
+    rows += [(2000 + i, "http://deep.net/" + "x/" * 12 + str(i)) for i in range(6)] + [(3000, None), (3001, ""), (3002, rows[0][1]), (3000, None)]
+    frame = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, template string")
+    got = urls.judge(frame).collect()
+    want = brute_judge(rows)
+    assert len(got) == len(rows) and all((r.template, r.verdict) == want[r.host, r.path] for r in got)
+    assert want["deep.net", "/" + "x/" * 12 + "3"][0] == "/x" * 12 + "/*"
+
+
+@pytest.mark.parametrize("share", [100, 300])
+def test_a_verdict_does_not_depend_on_the_size_of_its_host(spark, share):
+    """/de/ is blocked on many hosts by rule, so it is blocked where no rule fits, be it 1 % or 3 % of the host."""
+    rows = [(i * 100 + j, f"http://h{i}.com/de/{j}") for i in range(20) for j in range(20)] + [(5000 + j, f"http://h.net/de/{j}") for j in range(share)]
+    rows += [(10_000 + j, f"http://h.net/{j % 97}/{j}") for j in range(10_000 - share)]
+    got = {r.template: r.verdict for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string")).filter("host = 'h.net'").collect()}
+    assert got["/de/*"] == "block" and got["/5/*"] == "allow"
 
 
 def vectors(n, dim, seed):
