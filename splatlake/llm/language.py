@@ -1,105 +1,101 @@
 """Language identification by string kernels.
 
-A text's kernel features are which character n-grams it holds (presence, n = 1 to 3,
-over the letters of the landmarks' alphabet).  The blended-spectrum kernel of two texts is
-the mean over n of the cosines of their presence vectors.  Landmark texts give
+A text's kernel features are which character n-grams it holds (presence, n = 1 to 3, over letters of any script; a run of
+other characters is one boundary).  The blended-spectrum kernel of two texts is
+the mean over n of the cosines of their presence vectors.  Landmark texts, dealt over all languages, give
 Nystrom coordinates; one-versus-rest ridge regression on these gives one score per language.  Both are
-fitted on a bounded sample of labelled texts; prediction reads every text whole.
+fitted on a bounded sample of labelled texts of any length, whose n-grams tasks find in whole texts; prediction reads every text whole.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window as W
 from pyspark.sql.types import DoubleType, StringType, StructType
 
-LANDMARKS = 96  # texts that span the Nystrom coordinates
-SAMPLE = 1600  # labelled texts for the regression, landmarks included
-SAMPLE_CHARS = 8000  # longer texts are fitted on only where a language has too few others
-LETTERS = 47  # most frequent letters of the landmarks; all others count as one more
+LANDMARKS = 96  # texts that span the Nystrom coordinates; two of each language, where these are more
+SAMPLE = 1600  # labelled texts for the regression, landmarks included; one of each language, where these are more
 RIDGE = 1e-3
 UNKNOWN = "und"
+ORDERS = 3
+_POINT_BITS = 21  # a code point; three of them fit a long
+_CELLS = 1 << 22  # numbers of one batch's presence matrix
 
 
 @dataclass
 class Model:
-    alphabet: np.ndarray  # code point -> letter number, 0 for what is no letter
-    rows: np.ndarray  # n-gram code -> row of weights, -1 where no landmark holds it
-    order: np.ndarray  # n of each row
+    grams: list[np.ndarray]  # for each n the codes of the n-grams that landmarks hold, sorted; their rows follow each other
     landmarks: np.ndarray  # rows x landmarks: presence / norm, per n
     solve: np.ndarray  # landmarks x languages
     bias: np.ndarray
     languages: list[str]
 
 
-def _base() -> int:
-    return LETTERS + 2
-
-
-def _codes(text: str, alphabet: np.ndarray) -> list[np.ndarray]:
-    """n-gram codes for n = 1, 2, 3; runs of other characters are one boundary, letter 0."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letters = alphabet[np.minimum(points, len(alphabet) - 1)]
-    letters = letters[(letters > 0) | (np.concatenate([[1], letters[:-1]]) > 0)]
-    letters = np.concatenate([[0], letters, [0]]) if len(letters) else letters
-    base, out = _base(), []
-    code = np.zeros(len(letters), np.int64)
-    for n in range(3):
-        if len(letters) <= n:
-            out.append(np.zeros(0, np.int64))
-            continue
-        code = code[: len(letters) - n] * base + letters[n:] if n else letters.astype(np.int64)
-        out.append(code + sum(base ** i for i in range(1, n + 1)))
+@cache
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(p).isalpha() for p in range(0x110000)), bool, 0x110000)
+
+
+def presence(text: str | None) -> list[np.ndarray]:
+    """Codes of the n-grams that a text holds, for n = 1, 2, 3, each sorted; a text without a letter holds none."""
+    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    points = np.where(_letters()[points], points, 0)
+    if not points.any():
+        return [np.zeros(0, np.int64)] * ORDERS
+    points = points[(points > 0) | (np.concatenate([[1], points[:-1]]) > 0)]
+    points = np.pad(points, (int(points[0] > 0), int(points[-1] > 0)))  # a boundary at both ends
+    codes, found = points, []
+    for n in range(1, ORDERS + 1):
+        found.append(np.unique(codes))
+        if n < ORDERS:
+            codes = (codes[:-1] << _POINT_BITS) + points[n:]
+    return found
+
+
+def _vectors(held: list[list[np.ndarray]], grams: list[np.ndarray]) -> np.ndarray:
+    """Presence over norm of each text in the rows of the dictionary, a third for each n; the norm counts all n-grams of the text."""
+    out = np.zeros((len(held), sum(map(len, grams))), np.float32)
+    for i, codes in enumerate(held):
+        start = 0
+        for own, known in zip(codes, grams):
+            at = np.searchsorted(known, own)
+            at[at == len(known)] = 0
+            at = at[known[at] == own] if len(known) else at[:0]
+            out[i, start + at] = 1 / np.sqrt(max(1, len(own)))
+            start += len(known)
     return out
 
 
-def _presence(text: str, alphabet: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """Codes present, and how many of each n; held is a scratch of zeros."""
-    found, sizes = [], []
-    for code in _codes(text, alphabet):
-        held[code] = True
-        lo, hi = (int(code.min()), int(code.max()) + 1) if len(code) else (0, 0)
-        own = np.flatnonzero(held[lo:hi]) + lo
-        held[own] = False
-        found.append(own)
-        sizes.append(len(own))
-    return np.concatenate(found), sizes
+def kernel(model: Model, held: list[list[np.ndarray]]) -> np.ndarray:
+    """Blended-spectrum kernel of texts, given as their n-grams, with the landmarks; one matrix product a batch."""
+    out, width = np.zeros((len(held), model.landmarks.shape[1])), max(1, model.landmarks.shape[0])
+    step = max(1, min(64, _CELLS // width))
+    for lo in range(0, len(held), step):
+        out[lo : lo + step] = _vectors(held[lo : lo + step], model.grams) @ model.landmarks
+    return out
 
 
-def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on labelled texts; landmarks are spread over the languages."""
+def fit(held: list, langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Fit on labelled texts, or on their n-grams as `sample` finds them; landmarks are dealt over the languages."""
+    held = [presence(x) if isinstance(x, str) else x for x in held]
     languages = sorted(set(langs))
     if not languages:
-        return Model(np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0), [])
+        return Model([np.zeros(0, np.int64)] * ORDERS, np.zeros((0, 0), np.float32), np.zeros((0, 0)), np.zeros(0), [])
     by = {g: [i for i, x in enumerate(langs) if x == g] for g in languages}
-    chosen = [i for k in range(max(map(len, by.values()))) for g in languages for i in by[g][k : k + 1]][:landmarks]
-    points, counts = np.unique(np.frombuffer("".join(texts[i] for i in chosen).lower().encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
-    letters = sorted(((-n, p) for p, n in zip(points.tolist(), counts.tolist()) if chr(p).isalpha()))[:LETTERS]
-    alphabet = np.array([LETTERS + 1 if chr(p).isalpha() else 0 for p in range(0xD800)] + [0], np.int64)
-    for i, (_, p) in enumerate(letters):
-        if p < 0xD800:
-            alphabet[p] = i + 1
-    base = _base()
-    total = base + base**2 + base**3
-    held = np.zeros(total, bool)
-    own = [_presence(texts[i], alphabet, held) for i in chosen]
-    used = np.unique(np.concatenate([c for c, _ in own]))
-    rows = np.full(total, -1, np.int64)
-    rows[used] = np.arange(len(used))
-    order = np.digitize(used, [base, base + base**2])
-    grid = np.zeros((len(used), len(chosen)), np.float32)
-    for j, (codes, sizes) in enumerate(own):
-        at = rows[codes]
-        grid[at, j] = (1 / np.sqrt(np.maximum(sizes, 1)))[order[at]] / 3
-    model = Model(alphabet, rows, order, grid, np.zeros(0), np.zeros(0), languages)
-    k = kernel(model, [texts[i] for i in chosen])
+    dealt = [i for k in range(max(map(len, by.values()))) for g in languages for i in by[g][k : k + 1]]
+    chosen = dealt[: max(landmarks, 2 * len(languages))]
+    grams = [np.unique(np.concatenate([held[i][n] for i in chosen])) for n in range(ORDERS)]
+    model = Model(grams, _vectors([held[i] for i in chosen], grams).T / ORDERS, np.zeros(0), np.zeros(0), languages)
+    k = kernel(model, [held[i] for i in chosen])
     values, vectors = np.linalg.eigh((k + k.T) / 2)
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
-    z = kernel(model, texts) @ half
+    z = kernel(model, held) @ half
     y = np.array([[1.0 if x == g else -1.0 for g in languages] for x in langs])
     weight = np.array([1.0 / len(by[x]) for x in langs])[:, None]  # rare languages count as much
     weight *= len(langs) / weight.sum()
@@ -110,54 +106,46 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: f
     return model
 
 
-def kernel(model: Model, texts: list[str]) -> np.ndarray:
-    """Blended-spectrum kernel of texts with the landmarks, one matrix product per batch."""
-    out, held = np.zeros((len(texts), model.landmarks.shape[1])), np.zeros(len(model.rows), bool)
-    for lo in range(0, len(texts), 64):
-        part = texts[lo : lo + 64]
-        x = np.zeros((len(part), len(model.order)), np.float32)
-        for i, text in enumerate(part):
-            codes, sizes = _presence(text, model.alphabet, held)
-            at = model.rows[codes]
-            at = at[at >= 0]
-            x[i, at] = (1 / np.sqrt(np.maximum(sizes, 1)))[model.order[at]].astype(np.float32)
-        out[lo : lo + 64] = x @ model.landmarks
-    return out
-
-
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and score in 0 to 1 (margin of the best score, squashed); `und`, 0 for null and letterless texts."""
-    known = [i for i, t in enumerate(texts) if t and model.languages and any(map(str.isalpha, t))]
+    held = [presence(t) for t in texts] if model.languages else []
+    known = [i for i, codes in enumerate(held) if len(codes[0])]
     names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
     if known:
-        y = kernel(model, [texts[i] for i in known]) @ model.solve + model.bias
+        y = kernel(model, [held[i] for i in known]) @ model.solve + model.bias
         best = y.argmax(1)
         for i, b, s in zip(known, best, 1 / (1 + np.exp(-3 * y[np.arange(len(best)), best]))):
             names[i], scores[i] = model.languages[b], float(s)
     return names, scores
 
 
-def sample(labelled: DataFrame, size: int = SAMPLE, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
-    """At most `size` rows of labelled(doc_id, text, lang), the same share of each language, by hash of the id.
+def sample(labelled: DataFrame, size: int = SAMPLE) -> tuple[list, list[str]]:
+    """N-grams and languages of at most `size` rows of labelled(doc_id, text, lang), the same share of each language (one row at least), by hash of the id.
 
-    Whole texts of at most `chars` characters come first; only a language with too few of
-    them is filled up with longer ones, of which the model is fitted on the first `chars`.  At most
-    256 languages, the most frequent, are learned.  Languages are counted in one pass over
-    all rows; a second one picks, so the passes do not grow with the number of languages.
+    Rows are picked whatever the length of their texts, and tasks find the n-grams of the whole texts; only these come back.
+    Languages are counted in one pass over all rows; a second one picks, so the passes do not grow with the number of languages.
     """
-    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    rows = rows.select("lang", (F.length("text") > chars).alias("long"), F.xxhash64("doc_id").alias("h"), F.substring("text", 1, chars).alias("text"))
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(~F.col("long")).alias("short")).orderBy(F.desc("n"), "lang").limit(256).collect()
-    each = max(1, size // max(1, len(counts)))
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", F.xxhash64("doc_id").alias("h"), "text")
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).collect()  # one row a language
     if not counts:
         return [], []
-    # Of a frequent kind only rows of small hashes are ranked, eight times as many as wanted.
-    kinds = [(c["lang"], kind, min(1.0, 8 * each / max(1, n))) for c in counts for kind, n in ((False, c["short"]), (True, c["n"] - c["short"] if c["short"] < each else 0)) if n]
-    odds = labelled.sparkSession.createDataFrame(kinds, "lang string, long boolean, odds double")
-    few = rows.join(F.broadcast(odds), ["lang", "long"]).filter(F.col("h") / 2.0**64 + 0.5 <= F.col("odds"))  # 512 rows at most
-    first = W.partitionBy("lang").orderBy("long", "h", "text")
-    picked = few.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= each).orderBy("lang", "at").collect()
-    return [r["text"] for r in picked], [r["lang"] for r in picked]
+    each = max(1, size // len(counts))
+    # Of a frequent language only rows of small hashes are ranked, eight times as many as wanted.
+    odds = labelled.sparkSession.createDataFrame([(c["lang"], min(1.0, 8 * each / c["n"])) for c in counts], "lang string, odds double")
+    few = rows.join(F.broadcast(odds), "lang").filter(F.col("h") / 2.0**64 + 0.5 <= F.col("odds"))
+    first = W.partitionBy("lang").orderBy("h", "text")
+    picked = few.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= each).select("lang", "at", "text")
+
+    def run(batches):
+        for b in batches:
+            for lang, at, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                codes = [pa.array([c], pa.list_(pa.int64())) for c in presence(text.as_py())]
+                yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([at], pa.int32()), *codes], ["lang", "at", *columns])
+
+    columns = [f"g{n}" for n in range(1, ORDERS + 1)]
+    found = picked.mapInArrow(run, "lang string, at int, " + ", ".join(f"{c} array<long>" for c in columns)).toArrow()
+    found = found.sort_by([("lang", "ascending"), ("at", "ascending")]).combine_chunks()
+    return [[found[c][i].values.to_numpy() for c in columns] for i in range(len(found))], found["lang"].to_pylist()
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

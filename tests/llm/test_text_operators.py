@@ -314,12 +314,48 @@ def test_language_edges(spark, documents):
 
 
 def test_language_sample(spark):
-    rows = [(i, "short words " + str(i), "en") for i in range(300)] + [(1000 + i, "lange Worte " * 50, "de") for i in range(20)] + [(2000, None, "en"), (2001, "12 34", "en"), (2002, "sans langue", None), (2003, "bon", "fr")]
+    rows = [(i, "short words " + str(i), "en") for i in range(300)] + [(1000 + i, "lange Worte " * 5000 + "Ende", "de") for i in range(20)] + [(2000, None, "en"), (2001, "12 34", "en"), (2002, "sans langue", None), (2003, "bon", "fr")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    texts, langs = language.sample(docs, size=30, chars=100)
-    assert {g: langs.count(g) for g in set(langs)} == {"en": 10, "de": 10, "fr": 1} and max(map(len, texts)) == 100
-    assert all(t in {r[1] for r in rows} for t, g in zip(texts, langs) if g == "en")
-    assert language.sample(docs.filter("lang IS NULL")) == ([], [])
+    held, langs = language.sample(docs, size=30)
+    assert {g: langs.count(g) for g in set(langs)} == {"en": 10, "de": 10, "fr": 1}
+    whole = [x.tolist() for x in language.presence(rows[300][1])]
+    assert all([x.tolist() for x in h] == whole for h, g in zip(held, langs) if g == "de")  # to the last word
+    assert language.sample(docs.filter("lang IS NULL")) == ([], []) and sorted(set(language.sample(docs, size=1)[1])) == ["de", "en", "fr"]
+
+
+def loop_grams(text, n):
+    """The set of n-grams, by hand."""
+    text = "\0" + re.sub(r"\0+", "\0", "".join(c if c.isalpha() else "\0" for c in text.lower())).strip("\0") + "\0"
+    return {text[i:i + n] for i in range(len(text) - n + 1)} if text.strip("\0") else set()
+
+
+def test_kernel_against_sets_of_ngrams():
+    texts = ["Der Hund, die Katze!", "the cat", "Ελληνικά γράμματα", "𐐔𐐯 words", "日本語 テキスト", "a", "x1y2"]
+    model = language.fit(texts, [str(i) for i in range(len(texts))], landmarks=len(texts))
+    got = language.kernel(model, [language.presence(t) for t in [*texts, "...", "the Hund"]])
+    order = [texts.index(t) for t in sorted(texts, key=lambda t: str(texts.index(t)))]
+    for i, t in enumerate([*texts, "...", "the Hund"]):
+        for j, landmark in enumerate(texts[k] for k in order):
+            want = sum(len(loop_grams(t, n) & loop_grams(landmark, n)) / math.sqrt(max(1, len(loop_grams(t, n))) * len(loop_grams(landmark, n))) for n in (1, 2, 3)) / 3
+            assert math.isclose(got[i, j], want, rel_tol=1e-5, abs_tol=1e-6)
+
+
+def test_languages_of_many_scripts(spark):
+    """Fourteen made-up languages in seven scripts, one beyond the basic plane: each is told from the others of its script."""
+    starts = {"latin": 0x61, "greek": 0x3b1, "cyrillic": 0x430, "hebrew": 0x5d0, "armenian": 0x561, "devanagari": 0x915, "deseret": 0x10428}
+    rng = random.Random(6)
+    rows = []
+    for script, start in starts.items():
+        for half in (0, 1):
+            words = ["".join(chr(start + rng.randrange(22)) for _ in range(rng.randint(2, 6))) for _ in range(60)]
+            rows += [(len(rows) + i, " ".join(rng.choice(words) for _ in range(40)), f"{script}{half}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = bucket(F.col("doc_id"), 4) == 2
+    got = language.identify(docs.filter(held), language.fit(*language.sample(docs.filter(~held)))).toPandas()
+    right = (got.lang == got.lang_pred).groupby(got.lang).mean()
+    assert len(right) == 14 and right.min() > 0.95
+    many = spark.createDataFrame([(i, chr(0x4e00 + i) * 3, f"l{i}") for i in range(300)], "doc_id long, text string, lang string")
+    assert (lambda p: (p.lang == p.lang_pred).mean())(language.identify(many, language.fit(*language.sample(many))).toPandas()) > 0.95  # no limit to languages
 
 
 # --- mixing ----------------------------------------------------------------------------------------
