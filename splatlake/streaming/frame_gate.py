@@ -15,17 +15,17 @@ from ..operators.pixels import _array, channels_of, frame_distance
 class _LastKept(StatefulProcessor):
     """State per scene: the last kept frame and the highest index seen; earlier indexes are dropped as late."""
 
-    def __init__(self, min_diff: float, scene_type: str):
-        self.min_diff, self.scene_type = min_diff, scene_type
+    def __init__(self, min_diff: float, idle_ms: int | None):
+        self.min_diff, self.idle_ms = min_diff, idle_ms
 
     def init(self, handle) -> None:
-        self.kept = handle.getValueState("kept", "pixels binary, width int, height int, channels int")
-        self.seen = handle.getValueState("seen", "raw_index bigint")
+        self.kept = handle.getValueState("kept", "pixels binary, width int, height int, channels int", self.idle_ms)
+        self.seen = handle.getValueState("seen", "raw_index bigint", self.idle_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = _array(*self.kept.get()) if self.kept.exists() else None
         high = self.seen.get()[0] if self.seen.exists() else -1
-        out, changed = [], False
+        out = []
         arrived = pd.concat(list(rows)).sort_values("raw_index")
         for index, *shot in zip(arrived["raw_index"], arrived["pixels"], arrived["width"], arrived["height"], arrived["channels"]):
             if index <= high:
@@ -36,8 +36,8 @@ class _LastKept(StatefulProcessor):
             keep = diff is None or diff >= self.min_diff
             out.append((key[0], high, keep, diff))
             if keep:
-                last, changed = image, True
-        if changed:
+                last = image
+        if last is not None:  # written again although unchanged, which starts its time anew
             self.kept.update((last.astype("uint8").tobytes(), last.shape[1], last.shape[0], last.shape[2] if last.ndim > 2 else 1))
         self.seen.update((high,))
         yield pd.DataFrame(out, columns=["scene_id", "raw_index", "kept", "frame_diff"])
@@ -46,12 +46,16 @@ class _LastKept(StatefulProcessor):
         pass
 
 
-def stream_frame_gate(frames: DataFrame, min_sharpness: float, min_frame_diff: float, band: dict | None = None) -> DataFrame:
+def stream_frame_gate(frames: DataFrame, min_sharpness: float, min_frame_diff: float, band: dict | None = None, idle_seconds: float | None = None) -> DataFrame:
     """Fate of every frame that passes the exposure and blur gates; frames carry the health metrics, `pixels`, width, height and, for colour, channels.
 
-    On input that arrives in order the kept set is that of the batch gate. Needs the RocksDB state store.
+    On input that arrives in order the kept set is that of the batch gate. With `idle_seconds` the state of a scene that sends no
+    frame for so long is dropped, and a later frame of it begins a new sequence; without, it stays. With it Spark goes on with
+    empty batches, so an availableNow trigger does not end: run it continuously, or one batch at a time. Needs the RocksDB state store.
+    The frames that one scene sends within one trigger are put in order in memory, so bound the trigger (`maxFilesPerTrigger`).
     """
     good = frames.filter(exposure_ok(**(band or EXPOSURE))).filter(F.col("sharpness") >= min_sharpness).select("scene_id", "raw_index", "pixels", "width", "height", channels_of(frames).alias("channels"))
     scene_type = dict(frames.dtypes)["scene_id"]
     return good.groupBy("scene_id").transformWithStateInPandas(
-        _LastKept(min_frame_diff, scene_type), f"scene_id {scene_type}, raw_index bigint, kept boolean, frame_diff double", "Append", "None")
+        _LastKept(min_frame_diff, None if idle_seconds is None else int(1000 * idle_seconds)), f"scene_id {scene_type}, raw_index bigint, kept boolean, frame_diff double", "Append",
+        "None" if idle_seconds is None else "ProcessingTime")

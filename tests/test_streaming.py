@@ -1,5 +1,7 @@
 """Streaming operators against their batch forms."""
 
+import time
+
 import numpy as np
 import pandas as pd
 
@@ -24,6 +26,28 @@ def test_late_frames_are_dropped_and_order_gives_the_batch_result(spark, folder)
     assert len(rows) == n and {r["raw_index"]: r["kept"] for r in rows} == batch
 
 
+def test_state_of_an_idle_scene_is_dropped(spark, folder):
+    """A second run of the same stream, after the delay, takes a low index again; with a long delay it is late."""
+    from splatlake.streaming.run import use_rocksdb
+
+    use_rocksdb(spark)
+    shot = lambda i: pd.DataFrame({"scene_id": 1, "raw_index": [i], "width": 2, "height": 1, "pixels": [[i, 255 - i]], "brightness": 120.0, "contrast": 30.0, "clipped_ratio": 0.0, "sharpness": 50.0})
+    for name, idle, pause, want in (("short", 1.0, 2.5, [3, 9]), ("long", 600.0, 0.0, [9])):
+        frames = spark.createDataFrame(shot(9)).coalesce(1)
+        frames.write.mode("append").parquet(f"{folder}/{name}")
+        stream = spark.readStream.schema(frames.schema).parquet(f"{folder}/{name}")
+
+        def run():
+            (stream_frame_gate(stream, 10.0, 0.0, idle_seconds=idle).writeStream.format("parquet").outputMode("append").trigger(once=True)
+             .option("checkpointLocation", f"{folder}/{name}-progress").start(f"{folder}/{name}-out").awaitTermination())
+
+        run()
+        time.sleep(pause)
+        spark.createDataFrame(shot(3)).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        run()
+        assert sorted(r.raw_index for r in spark.read.parquet(f"{folder}/{name}-out").collect()) == want
+
+
 def test_stall_detect_open_end_and_disabled(spark):
     ts = pd.to_datetime(["2024-01-01 00:00:10", "2024-01-01 00:00:20", "2024-01-01 00:05:00"])
     events = spark.createDataFrame(pd.DataFrame({"job_id": [1, 1, 1], "event_id": [1, 2, 3], "ts": ts}))
