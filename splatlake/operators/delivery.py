@@ -1,4 +1,4 @@
-"""Delivery checks: listing validation, asset resolution, scoring, page assets, project scope."""
+"""Delivery checks: listing validation, asset resolution, scoring, page assets, projection of captures."""
 
 from __future__ import annotations
 
@@ -37,6 +37,7 @@ def validate_delivery(deliveries: DataFrame, listing: DataFrame, key: str = "del
     has_preview, has_start = F.col("_f1").isNotNull(), F.col("_f0").isNotNull()
     absent = lambda text, needle: ~F.coalesce(F.col(text), F.lit("")).contains(needle)
     name_sog = F.length("sog") > 0
+    # Problem texts, in report order.
     problems = problem_list(
         F.when(F.col("manifest_present") & F.col("manifest_ok").isNull(), "manifest unreadable"),
         F.when(F.col("manifest_present") & ~F.col("manifest_ok"), "manifest ok is not true"),
@@ -207,10 +208,11 @@ def classify_projection(videos: DataFrame, requested: str = "auto") -> DataFrame
     """Perspective or 360 degree video by aspect ratio, unless the user says which."""
     requested = requested.lower()
     if requested not in ("auto", "perspective", "equirectangular"):
-        raise ValueError("projection must be auto, perspective, or equirectangular")
+        raise ValueError(f"unknown projection {requested!r}")
     aspect = F.col("width") / F.greatest("height", F.lit(1))
     shown = fixed_text(aspect, 2)
     wide = aspect.between(1.85, 2.15)
+    # Names and reasons.
     if requested == "auto":
         projection = F.when(wide, "equirectangular").otherwise("perspective")
         reason = F.concat(F.when(wide, "auto-detected 2:1-ish aspect ratio (").otherwise("auto-detected non-2:1 aspect ratio ("), shown, F.lit(")"))

@@ -16,6 +16,7 @@ EXPOSURE = dict(min_brightness=8.0, max_brightness=247.0, min_contrast=4.0, max_
 RELAX = ((1.0, 1.0), (0.65, 0.75), (0.40, 0.50), (0.20, 0.25))
 DEFAULT_TARGET = 48
 DEFAULT_SPAN = 0.80
+GUESSES = 3  # rounds of the near-duplicate gate before chains are walked to their end
 GROUP_BYTES = 128 << 20  # pixels that one chunk of the near-duplicate gate holds at most
 
 
@@ -73,8 +74,9 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
     at once.  Each chunk starts from a guess of the frame kept before it; chunks whose
     guess proves wrong run again, until every start is right, so that the result is that of
     one walk over the whole sequence.  A chunk that keeps nothing is taken to keep nothing
-    from the right start either, so still stretches settle together, whatever their length;
-    only chains that never meet cost a round per chunk.
+    from the right start either, so still stretches settle together, whatever their length.
+    Chains that have not met their right start after GUESSES rounds are walked to their end from the first
+    wrong chunk on: one sorted pass per scene and pass, which carries one frame, so the number of jobs does not grow with the sequence.
 
     `frames` needs the sharpness metric; rows below a pass's threshold are no part of
     its chain.  Frames with `channels` are compared over all of them; frame_distance says how
@@ -128,8 +130,11 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
     spots = parts.withColumn("pass_no", F.explode(passes)).join(tails, [*keys, "_chunk", "pass_no"], "left")
     starts = durable(spots.withColumn("_need", F.last("_last", True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
                      .select(*keys, "_chunk", "pass_no", F.coalesce("_need", F.lit(-1)).cast("bigint").alias("_need")))
-    done, todo = None, starts
+    done, todo, rounds = None, starts, 0
     while True:
+        if rounds == GUESSES:
+            return _walk_on(slim, done, todo, ladder, keys, order)
+        rounds += 1
         runs = todo.select(*keys, "_chunk").distinct()
         body = slim.join(runs, [*keys, "_chunk"], "left_semi").withColumn("_for", F.lit(-1))
         givens = starts.join(runs, [*keys, "_chunk"], "left_semi").filter("_need >= 0").withColumnRenamed("_chunk", "_to")
@@ -150,6 +155,39 @@ def near_dup_gate(frames: DataFrame, ladder, keys=("scene_id",), order: str = "r
         starts = wanted.drop("_start")
 
 
+def _walk_on(slim: DataFrame, done: DataFrame, todo: DataFrame, ladder, keys, order: str) -> DataFrame:
+    """Results of settled chunks, and of the rest by a walk over frames in order that holds one frame."""
+    first = durable(todo.groupBy(*keys, "pass_no").agg(F.min_by(F.struct("_chunk", "_need"), "_chunk").alias("f")).select(*keys, "pass_no", F.col("f._chunk").alias("_from"), F.col("f._need").alias("_lead")))
+    limits = {n: (float(s), float(d)) for n, _, s, d in ladder}
+    sharp = F.coalesce(*[F.when(F.col("pass_no") == n, F.lit(s)) for n, (s, _) in limits.items()])
+    lead = F.col(order) == F.col("_lead")
+    rows = attach(slim, first, keys, "inner").filter(((F.col("_chunk") >= F.col("_from")) & (F.col("sharpness") >= sharp)) | lead)
+    rows = rows.select(*keys, "pass_no", F.col(order).cast("long").alias(order), lead.alias("_is_lead"), "pixels", "width", "height", "channels")
+    out = T.StructType([*[f for f in rows.schema.fields if f.name in (*keys, "pass_no", order)], T.StructField("kept", T.BooleanType()), T.StructField("frame_diff", T.DoubleType())])
+
+    def carry(batches):
+        group, last = None, None
+        for pdf in batches:
+            found = []
+            for row in zip(*[pdf[c] for c in (*keys, "pass_no", order, "_is_lead", "pixels", "width", "height", "channels")]):
+                *own, at, leads, data, width, height, channels = row
+                if own != group:
+                    group, last = own, None
+                image = _array(data, width, height, channels)
+                diff = None if last is None else frame_distance(last, image)
+                keep = leads or diff is None or diff >= limits[own[-1]][1]
+                if not leads:
+                    found.append((*own, at, keep, diff))
+                if keep:
+                    last = image
+            yield pd.DataFrame(found, columns=[*keys, "pass_no", order, "kept", "frame_diff"])
+
+    walked = rows.repartition(*keys, "pass_no").sortWithinPartitions(*keys, "pass_no", order).mapInPandas(carry, out)
+    settled = done.filter(F.col(order) >= 0).join(first, [*keys, "pass_no"], "left").filter("_from IS NULL OR _chunk < _from")
+    shown = [*keys, F.col(order).cast("int").alias(order), "pass_no", "kept", "frame_diff"]
+    return settled.select(*shown).unionByName(walked.select(*shown))
+
+
 # ---- passes ----------------------------------------------------------------
 
 def filter_frames(frames: DataFrame, ladder, max_frames: int, band: dict | None = None, keys=("scene_id",), order: str = "raw_index",

@@ -198,6 +198,7 @@ def blank_image_check(frames: DataFrame, data: str = "pixels") -> DataFrame:
     from ..functions.scalars import problem_list
     channels = F.col("channels") if "channels" in frames.columns else F.lit(1)
     rows = frames.withColumn("_b", _blank(F.col(data), F.col("width"), F.col("height"), channels)).select("*", "_b.*").drop("_b")
+    # Problem texts, in report order.
     problems = problem_list(F.when(~F.col("varied"), "screenshot has too little pixel variation"),
                             F.when(F.col("non_white_ratio") < 0.05, "screenshot appears mostly white/blank"),
                             F.when(F.col("non_black_ratio") < 0.05, "screenshot appears mostly black/blank"))

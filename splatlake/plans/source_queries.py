@@ -52,6 +52,22 @@ def _(spark, d):
     return back.select("scene_id", *[(F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in ("x", "opacity", "scale_2", "nx")])
 
 
+@query("ply_counts", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, count(*) AS point_count FROM splats_emb GROUP BY scene_id", views="splats_emb"))
+def _(spark, d):
+    """Vertices per scene from the headers of its part files alone."""
+    path = shared_path(spark)
+    R.write_ply(X.splats_emb(spark, d).select("scene_id", *[F.col(c).cast("float").alias(c) for c in "xyz"]), path)
+    return R.ply_counts(spark, path).select("scene_id", "point_count")
+
+
+@query("read_ply_columns", oracle(f"SELECT CAST(scene_id AS VARCHAR) AS scene_id, {F32('y')} AS y FROM splats_emb WHERE scene_id IN (1, 4)", views="splats_emb"))
+def _(spark, d):
+    """One column of two scenes."""
+    path = shared_path(spark)
+    R.write_ply(X.splats_emb(spark, d).select("scene_id", *[F.col(c).cast("float").alias(c) for c in "xyz"]), path)
+    return R.read_ply(spark, path, columns=["y"], scenes=["1", "4"]).select("scene_id", r6(F.col("y").cast("double")).alias("y"))
+
+
 SPLAT = """nrm AS (SELECT dec.*, sqrt(rot_0*rot_0+rot_1*rot_1+rot_2*rot_2+rot_3*rot_3) AS n FROM dec),
 mea AS (SELECT scene_id, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM dec GROUP BY scene_id)"""
 

@@ -170,3 +170,21 @@ def test_running_psnr_across_chunks(spark):
         if i:
             mean, best = 0.9 * mean + 0.1 * values[i], max(best, values[i])
         assert r["running_psnr"] == pytest.approx(mean, rel=1e-12) and r["best_psnr"] == best
+
+
+def test_chains_that_never_meet_take_as_many_jobs_as_any(spark, monkeypatch):
+    """Steady drift: every third (or seventh) frame is kept, so a chain from a wrong start stays wrong through all 64 chunks."""
+    written, walked = [], []
+    monkeypatch.setattr(G, "durable", lambda df, real=G.durable: written.append(1) or real(df))
+    monkeypatch.setattr(G, "_walk_on", lambda *args, real=G._walk_on: walked.append(1) or real(*args))
+    jobs = []
+    for n in (24, 128):
+        pdf = pd.DataFrame({"scene_id": 1, "raw_index": range(n), "width": 200, "height": 1, "pixels": [[255] * i + [0] * (200 - i) for i in range(n)], "sharpness": 50.0})
+        ladder = [(0, "strict", 10.0, 6.5 / 200), (1, "loose", 10.0, 2.5 / 200)]
+        written.clear()
+        got = {(r.pass_no, r.raw_index): (r.kept, r.frame_diff) for r in G.near_dup_gate(spark.createDataFrame(pdf), ladder, chunk=2).collect()}
+        jobs.append(len(written))
+        for pass_no, step in ((0, 7), (1, 3)):
+            assert [i for i in range(n) if got[pass_no, i][0]] == list(range(0, n, step))
+            assert all(abs(got[pass_no, i][1] - ((i - 1) % step + 1) / 200) < 1e-12 for i in range(1, n)) and got[pass_no, 0][1] is None
+    assert jobs[0] == jobs[1] and len(walked) == 2
