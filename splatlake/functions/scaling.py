@@ -8,6 +8,7 @@ job runs; for others the groups are counted, and only the hot ones go the long w
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 ONE_TASK_BYTES = 64 << 20  # whole input below this: no group can be large
 BROADCAST_BYTES = 16 << 20
+PACKED = 16  # the estimate counts files as they are stored, which may be so many times smaller than their rows
 ONE_TASK_ROWS = 2_000_000  # rows of one group above this: the group is spread out
 SALTS = 32
 _UNKNOWN = 1 << 60
@@ -33,6 +35,15 @@ def plan_bytes(df: DataFrame) -> int | None:
     return None if size >= _UNKNOWN else size
 
 
+def makes_rows(df: DataFrame) -> bool:
+    """Whether a step of the plan can make more rows than it reads, which the optimizer's estimate does not count."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:  # remote session: no plan handle
+        return True
+    return re.search(r"^[\s:|+-]*(Generate|Expand|MapIn\w+|FlatMap\w+|MapPartitions\w*) ", plan, re.M) is not None
+
+
 def hot_groups(df: DataFrame, keys) -> DataFrame | None:
     """Keys of the groups too large for one task, None when every group fits.
 
@@ -75,12 +86,12 @@ def durable(df: DataFrame) -> DataFrame:
 def small_side(table: DataFrame, grown: bool = False) -> tuple[DataFrame, bool]:
     """The table and whether it may be broadcast; a doubtful one is written out, its rows counted.
 
-    `grown` says that the optimizer's estimate is not to be trusted, as after an explode, which
-    it takes to add no rows.  Files are compressed, so what is written counts as rows times row width.
+    The optimizer's estimate is trusted where it lies far below the limit and no step of the plan makes rows, as an explode,
+    which it takes to add none.  `grown` says that it is not to be trusted at all.  Files are compressed, so what is written counts as rows times row width.
     """
     limit = _setting(table, "broadcastBytes", BROADCAST_BYTES)
-    size = None if grown else plan_bytes(table)
-    if size is not None and size <= limit:
+    size = None if grown or makes_rows(table) else plan_bytes(table)
+    if size is not None and size * PACKED <= limit:
         return table, True
     table = durable(table)
     return table, rows_fit(table, table.count())

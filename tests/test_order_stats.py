@@ -139,3 +139,19 @@ def test_attach_sets_hot_keys_apart(spark, spread):
             got = attach(rows, table, ["k"], how, isolate=isolate)
             assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(table, ["k"], how).collect())), how
     assert "explode" not in attach(rows.filter("i % 3 = 0"), table, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_made_rows_are_counted_before_a_broadcast(spark):
+    from splatlake.functions.scaling import small_side
+    from splatlake.operators.runs import completed_vs_skipped
+
+    spark.conf.set("spark.splatlake.broadcastBytes", "100000")
+    try:
+        made = spark.range(500).select(F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i"), F.concat(F.lit("out/"), "id", F.lit("_"), "i").alias("output_dir"))
+        assert not small_side(made)[1] and small_side(made.filter("i = 0"))[1]
+        runs = made.select(F.col("output_dir"), F.lit("").alias("output_name"))
+        got = completed_vs_skipped(runs, made.filter("i < 50"))
+        assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {(r.status, r["count"]) for r in got.groupBy("status").count().collect()} == {("completed", 25000), ("skipped", 25000)}
+    finally:
+        spark.conf.unset("spark.splatlake.broadcastBytes")
