@@ -44,7 +44,7 @@ def _(spark, d):
     return back.select("scene_id", F.lit(len(back.columns) - 3).alias("columns"), *[r6(F.col(c).cast("double")).alias(c) for c in ("x", "opacity", "scale_2", "rot_3", "f_dc_1", "nx", "f_rest_44")])
 
 
-@query("write_ply_web", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, round(x, 4) + 0.0 AS x, round(opacity, 4) AS opacity, round(sz, 4) AS scale_2, 1e0 AS nx FROM dec", *steps("splats_emb", "enc", "dec"), views="splats_emb"))
+@query("write_ply_web", oracle("SELECT CAST(scene_id AS VARCHAR) AS scene_id, " + ", ".join(f"round(CAST(CAST({c} AS FLOAT) AS DOUBLE), 4) + 0.0 AS {n}" for n, c in (("x", "x"), ("opacity", "opacity"), ("scale_2", "sz"))) + ", 1e0 AS nx FROM dec", *steps("splats_emb", "enc", "dec"), views="splats_emb"))
 def _(spark, d):
     path = shared_path(spark)
     R.write_ply(R.web_columns(E.decode(X.splats_emb(spark, d))), path)

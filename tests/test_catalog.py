@@ -33,3 +33,16 @@ def test_query_equals_twin(spark, db, name):
     result = db.execute(entry.oracle_sql()[name])
     columns = [c[0] for c in result.description]
     assert rows_of(df.columns, df.collect()) == rows_of(columns, result.fetchall())
+
+
+def same_as_twin(spark, name, folder, table):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')")
+    df, result = entry.queries()[name](spark, str(folder)), con.execute(entry.oracle_sql()[name])
+    assert rows_of(df.columns, df.collect()) == rows_of([c[0] for c in result.description], result.fetchall())
+
+
+def test_web_columns_are_single_precision(spark, tmp_path):
+    duckdb.sql(f"""COPY (SELECT i AS vec_id, CAST(i % 8 AS INT) AS label, list_transform(range(16), lambda j: CAST((hash(i * 16 + j) % 1000003) / 1000003e0 - 0.5e0 AS FLOAT)) AS embedding
+        FROM range(30000) t(i)) TO '{tmp_path}/embeddings.parquet'""")
+    same_as_twin(spark, "write_ply_web", tmp_path, "embeddings")
