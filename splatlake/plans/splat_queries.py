@@ -329,7 +329,7 @@ def _(spark, d):
 
 @query("stride_sample", oracle("""SELECT scene_id, point_id FROM (SELECT scene_id, point_id, row_number() OVER (PARTITION BY scene_id ORDER BY point_id) - 1 AS p,
       count(*) OVER (PARTITION BY scene_id) AS n FROM splats_li) t
-    WHERE n <= 300 OR list_contains(list_transform(range(300), lambda i: CAST(floor(i*((n-1)/299e0)) AS BIGINT)), p)""", views="splats_li"))
+    WHERE n <= 300 OR list_contains(list_transform(range(300), lambda i: CASE WHEN i = 299 THEN n-1 ELSE CAST(floor(i*((n-1)/299e0)) AS BIGINT) END), p)""", views="splats_li"))
 def _(spark, d):
     return S.stride_sample(li(spark, d), 300, ["point_id"]).select(*KEY)
 

@@ -42,6 +42,13 @@ def same_as_twin(spark, name, folder, table):
     assert rows_of(df.columns, df.collect()) == rows_of([c[0] for c in result.description], result.fetchall())
 
 
+def test_stride_sample_ends_with_the_last_row(spark, tmp_path):
+    """299 * (342 / 299) is a little less than 342 in doubles."""
+    duckdb.sql(f"""COPY (SELECT i AS l_orderkey, 1 AS l_partkey, 8 AS l_suppkey, 1 AS l_linenumber, 1e0 AS l_quantity, 1e3 AS l_extendedprice, 0e0 AS l_discount, 0e0 AS l_tax
+        FROM range(343) t(i)) TO '{tmp_path}/lineitem.parquet'""")
+    same_as_twin(spark, "stride_sample", tmp_path, "lineitem")
+
+
 def test_web_columns_are_single_precision(spark, tmp_path):
     duckdb.sql(f"""COPY (SELECT i AS vec_id, CAST(i % 8 AS INT) AS label, list_transform(range(16), lambda j: CAST((hash(i * 16 + j) % 1000003) / 1000003e0 - 0.5e0 AS FLOAT)) AS embedding
         FROM range(30000) t(i)) TO '{tmp_path}/embeddings.parquet'""")
