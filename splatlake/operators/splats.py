@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.order_stats import evenly_spaced, group_stats, kth_rank, lower_median, lower_median_rank, rank_stats, ranked
 from ..functions.scalars import (SH_C0, all_finite, clip, col, distance, finite, max_ignoring_nan, norm, to_byte)
@@ -259,9 +259,15 @@ def geometry_prune(splats: DataFrame, max_scale_relative: float = 0.15, keys=("s
 # ---- order and sampling ----------------------------------------------------
 
 def top_opacity(splats: DataFrame, n: int, keys=("scene_id",), tie: str = "point_id") -> DataFrame:
-    """The n most opaque splats of each scene, ties by id."""
-    rows = ranked(splats, keys, [F.col("opacity").desc(), F.col(tie).asc()], "opacity_rank")
-    return rows.filter(F.col("opacity_rank") <= n)
+    """The n most opaque splats of each scene, ties by id.
+
+    For an n up to Spark's window group limit every task keeps its own n best of a scene and only those are moved.
+    """
+    order = [F.col("opacity").desc(), F.col(tie).asc()]
+    if n <= int(splats.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        rows = splats.withColumn("opacity_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return rows.filter(F.col("opacity_rank") <= n).withColumn("opacity_rank", F.col("opacity_rank").cast("bigint"))
+    return ranked(splats, keys, order, "opacity_rank").filter(F.col("opacity_rank") <= n)
 
 
 def depth_keys(splats: DataFrame, keys=("scene_id",)) -> DataFrame:

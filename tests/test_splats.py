@@ -98,3 +98,22 @@ def test_spread_forms_agree_with_plain_ones(spark, spread):
         for x, y in zip(a, b):
             for u, v in zip(x, y):
                 assert u == (pytest.approx(v, rel=1e-9) if isinstance(v, float) else v)
+
+
+def test_top_opacity_moves_only_the_best_of_every_task(spark, spread, tmp_path, monkeypatch):
+    from splatlake.functions import scaling
+
+    def never(spark):
+        raise AssertionError("rows are written out")
+
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"scene_id": rng.integers(0, 2, 4000), "point_id": [f"p{i}" for i in range(4000)], "opacity": rng.integers(0, 9, 4000) / 8})
+    spark.createDataFrame(pdf).repartition(4).write.parquet(f"{tmp_path}/rows")
+    monkeypatch.setattr(scaling, "shared_path", never)
+    top = S.top_opacity(spark.read.parquet(f"{tmp_path}/rows"), 25)
+    plan = top._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan
+    best = pdf.sort_values(["opacity", "point_id"], ascending=[False, True]).groupby("scene_id").head(25)
+    best = best.assign(opacity_rank=best.groupby("scene_id").cumcount() + 1)
+    assert {(r.scene_id, r.point_id, r.opacity_rank) for r in top.collect()} == set(best[["scene_id", "point_id", "opacity_rank"]].itertuples(index=False, name=None))
+    assert dict(top.dtypes)["opacity_rank"] == "bigint"
