@@ -47,7 +47,8 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
     """Value at 0-based rank `r` of column `v` for every (keys, r) row of `targets`.
 
     Two passes narrow a span to about one hundredth of its values: one sketches it, one counts around each rank's bracket.
-    A rank that a bracket missed, which a sketch allows, goes on with what lies beside it.
+    A rank that a bracket missed, which a sketch allows, goes on with what lies beside it.  Ranks with one bracket (those next to
+    each other) are counted together, the first and last rank of a span need none, and a span known to be short is sorted at once.
     """
     keys = list(keys)
     limit = _setting(values, "oneTaskRows", ONE_TASK_ROWS)
@@ -55,37 +56,41 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
     values = values.filter(F.col("v").isNotNull())
     number = lambda x: F.lit(float(x))
     state = durable(targets.select(*keys, "r").distinct().withColumns({"has_lo": F.lit(False), "lo": number(0), "has_hi": F.lit(False), "hi": number(0),
-                                                                      "below": F.lit(0).cast("bigint")}))
+                                                                      "below": F.lit(0).cast("bigint"), "n": F.lit(-1).cast("bigint")}))
+    short = f"n BETWEEN 0 AND {limit}"
     found = []
     while not state.isEmpty():
-        spans = durable(_inside(values, state.select(*span).distinct(), keys).groupBy(*span)
-                        .agg(F.count("*").alias("n"), F.kll_sketch_agg_double("v", F.lit(SKETCH)).alias("sketch")))
-        known = state.join(spans, span)
-        few = known.filter(F.col("n") <= limit).select(*span, "r", "below")
+        unknown = state.filter(f"NOT {short}").drop("n")
+        spans = durable(_inside(values, unknown.select(*span).distinct(), keys).groupBy(*span)
+                        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.kll_sketch_agg_double("v", F.lit(SKETCH)).alias("sketch")))
+        known = unknown.join(spans, span).withColumn("end", F.when(F.expr("r = below"), F.col("least")).when(F.expr("r = below + n - 1"), F.col("most")))
+        found.append(known.filter("end IS NOT NULL").select(*keys, "r", F.col("end").alias("value")))
+        known = known.filter("end IS NULL")
+        few = durable(known.filter(short).select(*span, "r", "below").unionByName(state.filter(short).select(*span, "r", "below")))
         at = F.row_number().over(Window.partitionBy(*span).orderBy("v")) - 1
-        sorted_spans = spans.filter(F.col("n") <= limit).select(*span)
-        placed = _inside(values, sorted_spans, keys).withColumn("at", at)
+        placed = _inside(values, few.select(*span).distinct(), keys).withColumn("at", at)
         found.append(durable(placed.join(few.withColumn("at", F.col("r") - F.col("below")).drop("below"), [*span, "at"]).select(*keys, "r", F.col("v").alias("value"))))
         share = (F.col("r") - F.col("below")) / F.greatest(F.lit(1), F.col("n") - 1) * GRID
         cuts = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
         cut = lambda at: F.get(cuts, F.greatest(F.lit(0), F.least(F.lit(GRID), at)).cast("int"))
-        ends = [F.floor(share - MARGIN * GRID), F.ceil(share + MARGIN * GRID)]
+        ends = [F.round(share) + d * (MARGIN * GRID + 1) for d in (-1, 1)]  # the ranks beside a percentile round alike
         brackets = durable(known.filter(F.col("n") > limit).select(*span, "r", "below", cut(ends[0]).alias("first"), cut(ends[1]).alias("last")))
         if brackets.isEmpty():
             break
-        beside = _inside(values, brackets, keys)
-        counts = beside.groupBy(*span, "r", "below", "first", "last").agg(
+        beside = _inside(values, brackets.select(*span, "first", "last").distinct(), keys)
+        counts = beside.groupBy(*span, "first", "last").agg(
             F.count_if(F.expr("v < first")).alias("c0"), F.count_if(F.expr("v = first")).alias("c1"),
-            F.count_if(F.expr("v > first AND v < last")).alias("c2"), F.count_if(F.expr("v = last AND last > first")).alias("c3"))
-        counts = durable(counts.withColumn("seek", F.col("r") - F.col("below")))
+            F.count_if(F.expr("v > first AND v < last")).alias("c2"), F.count_if(F.expr("v = last AND last > first")).alias("c3"),
+            F.count_if(F.expr("v > last")).alias("rest"))
+        counts = durable(brackets.join(counts, [*span, "first", "last"]).withColumn("seek", F.col("r") - F.col("below")))
         hit = F.when(F.expr("seek >= c0 AND seek < c0 + c1"), F.col("first")).when(F.expr("seek >= c0 + c1 + c2 AND seek < c0 + c1 + c2 + c3"), F.col("last"))
         found.append(counts.withColumn("value", hit).filter("value IS NOT NULL").select(*keys, "r", "value"))
-        left = lambda where, lo, hi, add: counts.filter(where).select(*keys, "r", *lo, *hi, (F.col("below") + F.expr(add)).alias("below"))
+        left = lambda where, lo, hi, add, n: counts.filter(where).select(*keys, "r", *lo, *hi, (F.col("below") + F.expr(add)).alias("below"), F.col(n).alias("n"))
         same_lo, same_hi = [F.col("has_lo"), F.col("lo")], [F.col("has_hi"), F.col("hi")]
         from_ = lambda c: [F.lit(True).alias("has_lo"), F.col(c).alias("lo")]
         upto = lambda c: [F.lit(True).alias("has_hi"), F.col(c).alias("hi")]
-        state = durable(left("seek < c0", same_lo, upto("first"), "0").unionByName(left("seek >= c0 + c1 AND seek < c0 + c1 + c2", from_("first"), upto("last"), "c0 + c1"))
-                        .unionByName(left("seek >= c0 + c1 + c2 + c3", from_("last"), same_hi, "c0 + c1 + c2 + c3")))
+        state = durable(left("seek < c0", same_lo, upto("first"), "0", "c0").unionByName(left("seek >= c0 + c1 AND seek < c0 + c1 + c2", from_("first"), upto("last"), "c0 + c1", "c2"))
+                        .unionByName(left("seek >= c0 + c1 + c2 + c3", from_("last"), same_hi, "c0 + c1 + c2 + c3", "rest")))
     out = found[0] if found else targets.select(*keys, "r", F.lit(None).cast("double").alias("value")).limit(0)
     for more in found[1:]:
         out = out.unionByName(more)
@@ -217,7 +222,8 @@ def _sketched_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
 
 def _spread_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
     values = _stacked(df, keys, pools)
-    sizes = durable(values.groupBy(*keys, "m").agg(F.count("*").alias("n")))
+    counts = [F.struct(F.lit(i).alias("m"), reduce(lambda a, b: a + b, [F.count(c) for c in columns]).alias("n")) for i, (columns, _) in enumerate(pools)]
+    sizes = durable(df.groupBy(*keys).agg(F.array(*counts).alias("e")).select(*keys, F.inline("e")).filter("n > 0"))
     wanted = [F.struct(F.lit(i).alias("m"), F.lit(name).alias("name"), F.lit(p).alias("p")) for i, (_, names) in enumerate(pools) for name, p in names]
     goals = (sizes.withColumn("w", F.explode(F.filter(F.array(*wanted), lambda w: w["m"] == F.col("m"))))
              .select(*keys, "m", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("h"))

@@ -155,3 +155,20 @@ def test_made_rows_are_counted_before_a_broadcast(spark):
         assert {(r.status, r["count"]) for r in got.groupBy("status").count().collect()} == {("completed", 25000), ("skipped", 25000)}
     finally:
         spark.conf.unset("spark.splatlake.broadcastBytes")
+
+
+def test_neighbouring_ranks_share_a_bracket(spark, spread, monkeypatch):
+    """Values meet one bracket for a percentile, and none for the smallest and the largest one."""
+    from splatlake.functions import order_stats
+
+    met = []
+
+    def inside(values, spans, keys, real=order_stats._inside):
+        met.append(spans.count() if "first" in spans.columns else 0)
+        return real(values, spans, keys)
+
+    monkeypatch.setattr(order_stats, "_inside", inside)
+    df = spark.createDataFrame(pd.DataFrame({"k": 0, "v": np.arange(4000.0) ** 2}))
+    row = group_stats(df, ["k"], {"mid": ("v", 0.5), "low": ("v", 0.0), "top": ("v", 1.0)}).first()
+    assert (row.mid, row.low, row.top) == ((1999.0 ** 2 + 2000.0 ** 2) / 2, 0.0, 3999.0 ** 2)
+    assert max(met) == 1
