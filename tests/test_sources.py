@@ -290,3 +290,14 @@ def test_assessing_a_folder(spark, tmp_path):
     assert {c: got[c] for c in want.__fields__} == {c: want[c] for c in want.__fields__}
     dims = frames.frame_dims(images.read_frames(spark, str(tmp_path), max_frames=4)).first()
     assert (dims.width, dims.height, dims.frames) == (16, 16, 12)
+
+
+def test_text_per_row_needs_no_move_by_the_driver(spark, folder):
+    from splatlake.plans import source_queries
+
+    rows = spark.range(20).select(F.col("id").alias("run"), F.concat(F.lit('{"best_psnr": '), "id", F.lit("}")).alias("value"))
+    source_queries.text_per_row(rows, f"{folder}/lists", "run")
+    files = sorted(f"{os.path.basename(d)}/{n}" for d, _, names in os.walk(f"{folder}/lists") for n in names)
+    assert files == sorted(f"run={i}/part.txt" for i in range(20))
+    back = reports.read_reports(spark, f"{folder}/lists", "*.txt", "best_psnr double")
+    assert {(r.run_id, r.best_psnr) for r in back.collect()} == {(f"run={i}", float(i)) for i in range(20)}
