@@ -241,7 +241,9 @@ def picture_files(rows, path: str) -> None:
                     out.write(b"\x89PNG\r\n\x1a\n" + block(b"IHDR", struct.pack(">IIBBBBB", r.width, r.height, 8, 0 if r.channels == 1 else 2, 0, 0, 0)) + block(b"IDAT", zlib.compress(lines)) + block(b"IEND", b""))
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    rows.select("scene_id", "raw_index", "width", "height", "channels", "pixels").mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    rows = rows.select("scene_id", "raw_index", "width", "height", "channels", "pixels")
+    spread = rows.repartition(2 * rows.sparkSession.sparkContext.defaultParallelism, "scene_id", "raw_index")  # few bytes, but a file each: not few tasks
+    spread.mapInPandas(write, "n long").agg(F.sum("n")).collect()
 
 
 def mixed_frames(spark, d):

@@ -257,6 +257,30 @@ def test_sampled_frames_are_the_only_ones_opened(spark, tmp_path):
     assert sorted((r.raw_index, r.frame_count) for r in sample.filter("scene_id = 'a b'").collect()) == [(n, 100) for n in (0, 34, 68)]
 
 
+def test_files_next_to_each_other_are_picked_by_two_paths(spark, tmp_path):
+    """The plan, which every task carries, names no file inside a run; other files between the runs stay closed."""
+    for kind in ("images", "masks"):
+        for scene in ("a", "it's"):
+            (tmp_path / scene / kind).mkdir(parents=True)
+            for n in range(60):
+                png(tmp_path / scene / kind / f"f {n:03d}.png", np.full((2, 3, 3), n, np.uint8))
+    (tmp_path / "a" / "images" / "f 030.txt").write_text("no picture")
+    listed = images.list_frames(spark, str(tmp_path)).drop("bytes")
+    want = [(s, n) for s in ("a", "it's") for n in range(60)]
+    for at_once, branches in ((50_000, 1), (25, 5)):
+        frames = images.decode_frames(listed, str(tmp_path), at_once)
+        plan = frames._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("f%20") < 60 and "f%20010.png" not in plan
+        assert plan.count("Join Inner") == branches
+        assert sorted((r.scene_id, r.raw_index) for r in frames.collect()) == want
+        assert all(bytes(r.pixels) == bytes([r.raw_index]) * 18 for r in frames.collect())
+        frames = images.decode_frames(listed, str(tmp_path), at_once)
+        frames.collect()
+        assert opened_files(frames) == 120
+    odd = images.decode_frames(listed.filter("raw_index % 2 = 1 OR raw_index > 40"), str(tmp_path))
+    assert odd.count() == 2 * (20 + 19) and images.decode_frames(listed.filter("false"), str(tmp_path)).count() == 0
+
+
 def opened_files(frame) -> int:
     """Files that the image scan of a frame, collected once, selected."""
     found, todo = 0, [frame._jdf.queryExecution().executedPlan()]
