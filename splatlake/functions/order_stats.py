@@ -4,8 +4,8 @@ Groups of ordinary size come together by the shuffle's own spillable sort; a tas
 group's plain arrays at a time, and no list of boxed values is ever built.  Groups that the size check finds too large for one task (only those) get the same
 numbers from jobs whose per-task state is bounded whatever the group size:
 
-* values at given ranks: a mergeable quantile sketch brackets every rank, the values below and at the bracket are counted,
-  and what lies strictly inside (a fixed small share, however the values are spread) is sketched again or, once few, sorted;
+* values at given ranks: a mergeable quantile sketch brackets every rank; one more pass counts the values below, at and above the bracket
+  and each value strictly inside (a fixed small share, however the values are spread), which are then sorted or, where still many, sketched again;
 * ranks of all rows: range-partition by (group, order), number the rows inside each
   partition, and add the sizes of the partitions before it.
 """
@@ -43,12 +43,31 @@ def _inside(values: DataFrame, spans: DataFrame, keys) -> DataFrame:
     return attach(values.select(*keys, "v"), spans, keys, "inner").filter(held)
 
 
-def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
+def _summaries(df: DataFrame, keys, pools, aggs=()) -> DataFrame:
+    """One row per group: for every pool of columns `_s<i>` with n, least, most and a sketch of its values, and the aggregates.
+
+    The columns are computed once a row, before the several aggregates that use them.
+    """
+    named = [[f"_v{i}_{j}" for j in range(len(columns))] for i, columns in enumerate(pools)]
+    rows = df.withColumns({n: c for names, columns in zip(named, pools) for n, c in zip(names, columns)})
+
+    def over(columns):
+        merged = reduce(F.kll_sketch_merge_double, [F.kll_sketch_agg_double(c, F.lit(SKETCH)) for c in columns])
+        least, most = [F.min(c) for c in columns], [F.max(c) for c in columns]
+        ends = [F.least(*least), F.greatest(*most)] if len(columns) > 1 else [least[0], most[0]]
+        return F.struct(reduce(lambda a, b: a + b, [F.count(c) for c in columns]).alias("n"), ends[0].alias("least"), ends[1].alias("most"), merged.alias("sketch"))
+
+    return durable(rows.groupBy(*keys).agg(*[over(names).alias(f"_s{i}") for i, names in enumerate(named)], *aggs))
+
+
+def values_at_ranks(values: DataFrame, keys, targets: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """Value at 0-based rank `r` of column `v` for every (keys, r) row of `targets`.
 
-    Two passes narrow a span to about one hundredth of its values: one sketches it, one counts around each rank's bracket.
+    Two passes find a rank: one sketches its span, one counts around each rank's bracket and keeps the about one hundredth of the values inside
+    (each once, with its count), of which at most oneTaskRows are sorted; more are a span of their own.
     A rank that a bracket missed, which a sketch allows, goes on with what lies beside it.  Ranks with one bracket (those next to
     each other) are counted together, the first and last rank of a span need none, and a span known to be short is sorted at once.
+    `first` (keys, n, least, most, sketch) saves the first pass where the caller has summed up the groups.
     """
     keys = list(keys)
     limit = _setting(values, "oneTaskRows", ONE_TASK_ROWS)
@@ -61,8 +80,11 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
     found = []
     while not state.isEmpty():
         unknown = state.filter(f"NOT {short}").drop("n")
-        spans = durable(_inside(values, unknown.select(*span).distinct(), keys).groupBy(*span)
-                        .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.kll_sketch_agg_double("v", F.lit(SKETCH)).alias("sketch")))
+        if first is not None:
+            spans, first = first.withColumns({"has_lo": F.lit(False), "lo": number(0), "has_hi": F.lit(False), "hi": number(0)}), None
+        else:
+            spans = durable(_inside(values, unknown.select(*span).distinct(), keys).groupBy(*span)
+                            .agg(F.count("*").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), F.kll_sketch_agg_double("v", F.lit(SKETCH)).alias("sketch")))
         known = unknown.join(spans, span).withColumn("end", F.when(F.expr("r = below"), F.col("least")).when(F.expr("r = below + n - 1"), F.col("most")))
         found.append(known.filter("end IS NOT NULL").select(*keys, "r", F.col("end").alias("value")))
         known = known.filter("end IS NULL")
@@ -78,18 +100,23 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame) -> DataFrame:
         if brackets.isEmpty():
             break
         beside = _inside(values, brackets.select(*span, "first", "last").distinct(), keys)
-        counts = beside.groupBy(*span, "first", "last").agg(
-            F.count_if(F.expr("v < first")).alias("c0"), F.count_if(F.expr("v = first")).alias("c1"),
-            F.count_if(F.expr("v > first AND v < last")).alias("c2"), F.count_if(F.expr("v = last AND last > first")).alias("c3"),
-            F.count_if(F.expr("v > last")).alias("rest"))
-        counts = durable(brackets.join(counts, [*span, "first", "last"]).withColumn("seek", F.col("r") - F.col("below")))
+        bracket = [*span, "first", "last"]
+        zone = F.expr("CASE WHEN v < first THEN 0 WHEN v = first THEN 1 WHEN v < last THEN 2 WHEN v = last THEN 3 ELSE 4 END")
+        zones = durable(beside.groupBy(*bracket, zone.alias("_zone"), F.when(zone == 2, F.col("v")).alias("_v")).agg(F.count("*").alias("_n")))
+        sizes = zones.groupBy(*bracket).agg(*[F.coalesce(F.sum(F.when(F.col("_zone") == i, F.col("_n"))), F.lit(0)).alias(c) for i, c in enumerate(("c0", "c1", "c2", "c3", "rest"))])
+        counts = durable(brackets.join(sizes, bracket).withColumn("seek", F.col("r") - F.col("below")))
         hit = F.when(F.expr("seek >= c0 AND seek < c0 + c1"), F.col("first")).when(F.expr("seek >= c0 + c1 + c2 AND seek < c0 + c1 + c2 + c3"), F.col("last"))
         found.append(counts.withColumn("value", hit).filter("value IS NOT NULL").select(*keys, "r", "value"))
+        middle = F.expr("seek >= c0 + c1 AND seek < c0 + c1 + c2")
+        near = counts.filter(middle & (F.col("c2") <= limit)).select(*bracket, "r", (F.col("seek") - F.col("c0") - F.col("c1")).alias("_at"))
+        held = attach(zones.filter("_zone = 2").select(*bracket, "_v", "_n"), near.select(*bracket).distinct(), bracket, "left_semi")
+        held = held.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*bracket).orderBy("_v")))
+        found.append(durable(attach(held, near, bracket, "inner").filter("_at >= _upto - _n AND _at < _upto").select(*keys, "r", F.col("_v").alias("value"))))
         left = lambda where, lo, hi, add, n: counts.filter(where).select(*keys, "r", *lo, *hi, (F.col("below") + F.expr(add)).alias("below"), F.col(n).alias("n"))
         same_lo, same_hi = [F.col("has_lo"), F.col("lo")], [F.col("has_hi"), F.col("hi")]
         from_ = lambda c: [F.lit(True).alias("has_lo"), F.col(c).alias("lo")]
         upto = lambda c: [F.lit(True).alias("has_hi"), F.col(c).alias("hi")]
-        state = durable(left("seek < c0", same_lo, upto("first"), "0", "c0").unionByName(left("seek >= c0 + c1 AND seek < c0 + c1 + c2", from_("first"), upto("last"), "c0 + c1", "c2"))
+        state = durable(left("seek < c0", same_lo, upto("first"), "0", "c0").unionByName(left(middle & (F.col("c2") > limit), from_("first"), upto("last"), "c0 + c1", "c2"))
                         .unionByName(left("seek >= c0 + c1 + c2 + c3", from_("last"), same_hi, "c0 + c1 + c2 + c3", "rest")))
     out = found[0] if found else targets.select(*keys, "r", F.lit(None).cast("double").alias("value")).limit(0)
     for more in found[1:]:
@@ -222,21 +249,24 @@ def _sketched_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
 
 def _spread_stats(df: DataFrame, keys, pools, percentiles, aggs) -> DataFrame:
     values = _stacked(df, keys, pools)
-    counts = [F.struct(F.lit(i).alias("m"), reduce(lambda a, b: a + b, [F.count(c) for c in columns]).alias("n")) for i, (columns, _) in enumerate(pools)]
-    sizes = durable(df.groupBy(*keys).agg(F.array(*counts).alias("e")).select(*keys, F.inline("e")).filter("n > 0"))
+    groups = _summaries(df, keys, [columns for columns, _ in pools], aggs)
+    summed = [F.struct(F.lit(i).alias("m"), *[F.col(f"_s{i}.{c}").alias(c) for c in ("n", "least", "most", "sketch")]) for i in range(len(pools))]
+    first = groups.select(*keys, F.inline(F.array(*summed))).filter("n > 0")
+    sizes = first.select(*keys, "m", "n")
     wanted = [F.struct(F.lit(i).alias("m"), F.lit(name).alias("name"), F.lit(p).alias("p")) for i, (_, names) in enumerate(pools) for name, p in names]
     goals = (sizes.withColumn("w", F.explode(F.filter(F.array(*wanted), lambda w: w["m"] == F.col("m"))))
              .select(*keys, "m", "w.name", (F.col("w.p") * (F.col("n") - 1)).alias("h"))
              .withColumn("r_lo", F.floor("h")).withColumn("r_hi", F.ceil("h")))
     targets = goals.select(*keys, "m", F.explode(F.array("r_lo", "r_hi")).alias("r"))
-    found = values_at_ranks(values, [*keys, "m"], targets)
+    found = values_at_ranks(values, [*keys, "m"], targets, first)
     low = found.select(*keys, "m", F.col("r").alias("r_lo"), F.col("value").alias("v_lo"))
     high = found.select(*keys, "m", F.col("r").alias("r_hi"), F.col("value").alias("v_hi"))
     both = goals.join(low, [*keys, "m", "r_lo"]).join(high, [*keys, "m", "r_hi"])
     value = _between(F.col("v_lo"), F.col("v_hi"), F.col("h"), F.col("r_lo"))
     wide = (both.withColumn("value", value).groupBy(*keys)
             .agg(*[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in percentiles]))
-    return _beside(df, keys, wide, list(percentiles), aggs)
+    rest = groups.drop(*[f"_s{i}" for i in range(len(pools))])
+    return rest.join(wide, keys, "left").select(*keys, *percentiles, *[c for c in rest.columns if c not in keys])
 
 
 def ranked(df: DataFrame, keys, order, name: str = "ordinal", size_of: DataFrame | None = None) -> DataFrame:
@@ -287,8 +317,9 @@ def rank_stats(df: DataFrame, keys, value, ranks: dict, size_of: DataFrame | Non
         return whole(values)
     large = attach(values, hot, keys, "left_semi")
     wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), (r - 1).alias("r")) for name, r in ranks.items()]))
-    goals = durable(large.groupBy(*keys).agg(F.count("*").alias("n")).select(*keys, wanted.alias("w")).select(*keys, "w.name", "w.r"))
-    found = goals.join(values_at_ranks(large, keys, goals.select(*keys, "r")), [*keys, "r"])
+    first = _summaries(large, keys, [[F.col("v")]]).select(*keys, "_s0.*")
+    goals = first.select(*keys, wanted.alias("w")).select(*keys, "w.name", "w.r")
+    found = goals.join(values_at_ranks(large, keys, goals.select(*keys, "r"), first), [*keys, "r"])
     far = found.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in ranks])
     return whole(attach(values, hot, keys, "left_anti")).unionByName(far)
 

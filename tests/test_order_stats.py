@@ -172,3 +172,27 @@ def test_neighbouring_ranks_share_a_bracket(spark, spread, monkeypatch):
     row = group_stats(df, ["k"], {"mid": ("v", 0.5), "low": ("v", 0.0), "top": ("v", 1.0)}).first()
     assert (row.mid, row.low, row.top) == ((1999.0 ** 2 + 2000.0 ** 2) / 2, 0.0, 3999.0 ** 2)
     assert max(met) == 1
+
+
+def test_two_passes_find_the_percentiles_of_hot_groups(spark):
+    """One pass sums the groups up, with the plain aggregates; one counts around the brackets and keeps what lies inside."""
+    from splatlake.functions import order_stats
+
+    def counted(rows):
+        return rows.mapInArrow(lambda batches: (seen.add(1) or b for b in batches), rows.schema)
+
+    seen = spark.sparkContext.accumulator(0)
+    df = counted(spark.createDataFrame(pd.DataFrame({"k": [0] * 3000 + [1] * 3000, "v": np.arange(6000.0) ** 2})).coalesce(1))
+    spark.conf.set("spark.splatlake.oneTaskRows", "200")
+    try:
+        out = order_stats.durable(order_stats._spread_stats(df, ["k"], [([F.col("v")], [("q", 0.37), ("p", 0.9)])], ["q", "p"], [F.max("v").alias("top")]))
+    finally:
+        spark.conf.unset("spark.splatlake.oneTaskRows")
+    read = seen.value
+    df.count()
+    once = seen.value - read
+    v = np.arange(6000.0) ** 2
+    for row in out.collect():
+        own = v[:3000] if row.k == 0 else v[3000:]
+        assert (row.q, row.p, row.top) == (pytest.approx(np.percentile(own, 37)), pytest.approx(np.percentile(own, 90)), own[-1])
+    assert read <= 2 * once
