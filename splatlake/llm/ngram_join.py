@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from .common import WordHashes, components, durable, mix64, small_batches, words_of
+from .common import WordHashes, components, dropped_shuffles, durable, mix64, small_batches, words_of
 
 WORDS, PERCENT = 5, 80
 BITS = 1024  # of a parity bitmap
@@ -208,20 +208,26 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Rows of equal texts are linked, also rows of equal doc_id; each row gets its own
     result row.  A null doc_id counts as larger than all others.  Other columns are ignored.
     """
-    with small_batches(docs.sparkSession):  # every step with Python in it is written out below
-        return _components(docs.select("doc_id", "text"), words, percent)
+    with small_batches(docs.sparkSession), dropped_shuffles(docs.sparkSession):  # every step below with Python or a shuffle in it is written out
+        sig, least = _components(docs.select("doc_id", "text"), words, percent)
+    out = sig.select("doc_id", "n", "key").join(least, ["key", "n"], "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
+def _components(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and (key, n, component_id) of every distinct set."""
     sig = durable(signatures(docs, words, percent))
+    index = _index(sig, percent)
     bits = durable(_parities(sig))
-    index = _index(sig, percent).join(bits, ["key", "n"])
 
-    # Each bucket against its most central member.
-    hub = index.groupBy("token").agg(F.max_by(F.struct("key", "n", "bits"), F.struct("weight", "key", "n")).alias("hub"))
+    # Each bucket against its most central member.  Bitmaps are wide and go with pairs, not with buckets.
+    hub = index.groupBy("token").agg(F.max(F.struct("weight", "key", "n")).alias("hub"))
     star = (index.join(hub, "token").filter("NOT (key = hub.key AND n = hub.n)")
-            .select(F.col("hub.key").alias("a"), F.col("hub.n").alias("na"), F.col("hub.bits").alias("pa"), F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb")))
-    star = durable(star.filter(_fits("na", "nb", percent)).filter(_close(percent)).select("a", "na", "b", "nb").distinct())
+            .select(F.col("hub.key").alias("a"), F.col("hub.n").alias("na"), F.col("key").alias("b"), F.col("n").alias("nb")))
+    star = star.filter(_fits("na", "nb", percent)).distinct()
+    for side in ("b", "a"):
+        star = star.join(bits.select(F.col("key").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"p{side}")), [side, f"n{side}"])
+    star = durable(star.filter(_close(percent)).select("a", "na", "b", "nb"))
     wanted = star.select(F.col("a").alias("key"), F.col("na").alias("n")).union(star.select("b", "nb")).distinct()
     links = _verify(star, _sets(docs, wanted, sig, words), percent)
     found = components(_edges(links))
@@ -230,7 +236,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     node = F.struct("key", "n")
     rows = index.withColumn("node", node).join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = rows.join(rows.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("token"), "token", "left_semi")
-    rows = durable(rows.select("token", "key", "n", "bits", "component"))
+    rows = durable(rows.select("token", "key", "n", "component")).join(bits, ["key", "n"])
     a = rows.select("token", F.col("key").alias("a"), F.col("n").alias("na"), F.col("bits").alias("pa"), F.col("component").alias("ca"))
     b = rows.select("token", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("pb"), F.col("component").alias("cb"))
     apart = (F.col("ca") != F.col("cb")) & ((F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))))
@@ -243,9 +249,7 @@ def _components(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     low = (sig.filter("key IS NOT NULL").groupBy(node.alias("node")).agg(F.min("doc_id").alias("least"))
            .join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    least = durable(low.groupBy("component").agg(F.min("least").alias("component_id")).join(low.select("component", "node"), "component").select("node.key", "node.n", "component_id"))
-    out = sig.select("doc_id", "n", "key").join(least, ["key", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return sig, durable(low.groupBy("component").agg(F.min("least").alias("component_id")).join(low.select("component", "node"), "component").select("node.key", "node.n", "component_id"))
 
 
 def _edges(links: DataFrame) -> DataFrame:

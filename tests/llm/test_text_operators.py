@@ -4,8 +4,10 @@ import math
 import random
 import re
 import textwrap
+import time
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -152,6 +154,25 @@ def test_table_of_one_short_document(spark, documents):
     assert [(r.doc_id, r.n_shingles, r.component_id) for r in got] == [(7, 1, 7)]
 
 
+def test_shingle_join_drops_its_shuffles(spark, documents, monkeypatch):
+    """Disk holds one step's shuffles at a time, whenever the driver collects its garbage; bitmaps are written once, and not per bucket."""
+    name, tables = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(ngram_join, "durable", lambda df, real=ngram_join.durable: tables.append(df.columns) or real(df))
+    top = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    held = lambda: {f.name for d in top for f in Path(str(d)).rglob("shuffle_*.data")}
+    already = held()
+    rows = [(i, f"{prose(i // 3, 80)} {prose('shared', 12)}" + " more" * (i % 3)) for i in range(60)]
+    out = ngram_join.jaccard_components(documents(rows))
+    until = time.time() + 20
+    while held() - already and time.time() < until:
+        time.sleep(0.2)
+    assert not held() - already
+    assert spark.conf.get(name) == before
+    assert [c for c in tables if "bits" in c] == [["key", "n", "bits"]]
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in out.collect()), key=str) == brute(rows)
+
+
 def test_no_documents(spark, documents):
     assert ngram_join.jaccard_components(documents([])).count() == 0
 
