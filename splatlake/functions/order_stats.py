@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .scalars import col
-from .scaling import ONE_TASK_ROWS, attach, durable, hot_groups, _setting
+from .scaling import ONE_TASK_ROWS, Groups, attach, durable, groups_of, hot_groups, _setting
 
 SKETCH = 4096  # size of a quantile sketch; its rank error is about 0.13 % of the rows
 MARGIN = 0.004  # a bracket reaches this share of the rows to both sides of a rank,
@@ -124,12 +124,12 @@ def values_at_ranks(values: DataFrame, keys, targets: DataFrame, first: DataFram
     return out
 
 
-def group_stats(df: DataFrame, keys, percentiles: dict, aggs=(), size_of: DataFrame | None = None, approx: bool = False) -> DataFrame:
+def group_stats(df: DataFrame, keys, percentiles: dict, aggs=(), size_of: DataFrame | Groups | None = None, approx: bool = False) -> DataFrame:
     """One row per group with exact interpolated percentiles and ordinary aggregates.
 
     `percentiles` maps an output name to (column, fraction); a tuple of columns is pooled.
     NULL and NaN are left out.  `size_of` is the frame that bounds this one row by row
-    and is cheaper to count.  With `approx` percentiles come from quantile sketches: one pass, no shuffle
+    and is cheaper to count, or that frame's groups by the same keys.  With `approx` percentiles come from quantile sketches: one pass, no shuffle
     of rows, a value whose rank is off by about 0.13 % of the group's rows (with 99 % confidence), not interpolated.
     """
     keys, aggs = list(keys), list(aggs)
@@ -142,9 +142,14 @@ def group_stats(df: DataFrame, keys, percentiles: dict, aggs=(), size_of: DataFr
     pools = list(pools.values())
     if approx:
         return _sketched_stats(df, keys, pools, percentiles, aggs)
-    hot = hot_groups(_bound(size_of, df, keys), keys)
+    groups = size_of if isinstance(size_of, Groups) and size_of.keys == tuple(keys) else None
+    if groups is None:
+        groups = groups_of(df if isinstance(size_of, Groups) else _bound(size_of, df, keys), keys)
+    hot = groups.hot
     if hot is None:
         return _sorted_stats(df, keys, pools, percentiles, aggs)
+    if not groups.rest:  # no pass over all rows to find none
+        return _spread_stats(df, keys, pools, percentiles, aggs)
     cold = _sorted_stats(attach(df, hot, keys, "left_anti"), keys, pools, percentiles, aggs)
     return cold.unionByName(_spread_stats(attach(df, hot, keys, "left_semi"), keys, pools, percentiles, aggs))
 

@@ -11,6 +11,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -58,6 +61,29 @@ def hot_groups(df: DataFrame, keys) -> DataFrame | None:
     return None if hot.isEmpty() else hot
 
 
+@dataclass(frozen=True)
+class Groups:
+    """Keys of the groups too large for one task (None when every group fits) and whether there are others."""
+
+    keys: tuple
+    hot: DataFrame | None
+    rest: bool
+
+
+def groups_of(df: DataFrame, keys) -> Groups:
+    """Like hot_groups, and tells from the same pass whether any group is not hot; rows that lack a key count as such."""
+    keys = tuple(keys)
+    size = plan_bytes(df)
+    if size is not None and size <= _setting(df, "oneTaskBytes", ONE_TASK_BYTES):
+        return Groups(keys, None, True)
+    large = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys], F.col("count") > _setting(df, "oneTaskRows", ONE_TASK_ROWS))
+    marks = durable(df.groupBy(*keys).count().select(F.when(large, F.struct(*keys)).alias("_hot")).distinct())  # all other groups are one row
+    hot = marks.filter("_hot IS NOT NULL").select("_hot.*")
+    if hot.isEmpty():
+        return Groups(keys, None, True)
+    return Groups(keys, hot, not marks.filter("_hot IS NULL").isEmpty())
+
+
 def shared_path(spark) -> str:
     """A fresh path below the folder that the cluster names for checkpoints; executors must reach it.
 

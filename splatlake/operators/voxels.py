@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.order_stats import group_stats
 from ..functions.scalars import all_finite, distance, max_ignoring_nan
-from ..functions.scaling import attach, durable, rows_fit
+from ..functions.scaling import attach, durable, groups_of, rows_fit
 from .encodings import decode, has_scales
 from .splats import CENTER, XYZ, medians
 
@@ -283,7 +283,7 @@ def auto_cleanup_params(decoded: DataFrame, opacity_min: float, seed=(0.0, 0.0,
     percentile; with too few of those, above `opacity_min`; else every finite point.
     """
     keys = list(keys)
-    size_of = size_of if size_of is not None else decoded
+    size_of = groups_of(size_of if size_of is not None and set(keys) <= set(size_of.columns) else decoded, keys)  # counted once for all steps
     ok = all_finite(*XYZ, "opacity")
     rows = decoded.withColumn("_ok", ok)
     p35 = durable(group_stats(rows, keys, {"p35": (F.when(F.col("_ok"), F.col("opacity")), 0.35)}, [F.count_if("_ok").alias("finite_count")], size_of=size_of)

@@ -196,3 +196,19 @@ def test_two_passes_find_the_percentiles_of_hot_groups(spark):
         own = v[:3000] if row.k == 0 else v[3000:]
         assert (row.q, row.p, row.top) == (pytest.approx(np.percentile(own, 37)), pytest.approx(np.percentile(own, 90)), own[-1])
     assert read <= 2 * once
+
+
+@pytest.mark.parametrize("small", [0, 20])
+def test_no_pass_for_groups_that_are_not_there(spark, spread, monkeypatch, small):
+    """Where every group is hot, no pass looks for others; a row without a key is no hot group's."""
+    from splatlake.functions import order_stats
+
+    sorted_too = []
+    monkeypatch.setattr(order_stats, "_sorted_stats", lambda *a, real=order_stats._sorted_stats: sorted_too.append(1) or real(*a))
+    pdf = pd.DataFrame({"k": [0] * 300 + [1] * 300 + [2] * small, "v": np.arange(600.0 + small) ** 2})
+    got = {r.k: r.q for r in group_stats(spark.createDataFrame(pdf), ["k"], {"q": ("v", 0.37)}, [F.count("*").alias("n")]).collect()}
+    assert got == {k: pytest.approx(np.percentile(g["v"], 37)) for k, g in pdf.groupby("k")}
+    assert len(sorted_too) == (1 if small else 0)
+    keyless = spark.createDataFrame(pdf).withColumn("k", F.when(F.col("v") > 0, F.col("k")))
+    groups = order_stats.groups_of(keyless, ["k"])
+    assert sorted(r.k for r in groups.hot.collect()) == [0, 1] and groups.rest

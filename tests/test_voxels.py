@@ -76,6 +76,21 @@ def body_floaters_haze():
                          **{f"scale_raw_{i}": scale[:, i] for i in range(3)}})
 
 
+def test_auto_parameters_count_groups_once(spark, spread, monkeypatch):
+    from splatlake.functions import order_stats, scaling
+    from splatlake.operators.encodings import decode
+
+    counted = []
+    for module in (order_stats, V):
+        if hasattr(module, "groups_of"):
+            monkeypatch.setattr(module, "groups_of", lambda *a, real=scaling.groups_of: counted.append(1) or real(*a))
+    monkeypatch.setattr(order_stats, "hot_groups", lambda *a, real=scaling.hot_groups: counted.append(1) or real(*a))
+    decoded = decode(spark.createDataFrame(body_floaters_haze()))
+    counted.clear()
+    V.auto_cleanup_params(decoded, 0.1).collect()
+    assert len(counted) == 1
+
+
 def test_cleanup_keeps_the_body(spark):
     df = spark.createDataFrame(body_floaters_haze())
     plain = V.cluster_clean(df, V.CleanParams(auto=True))
