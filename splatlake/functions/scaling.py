@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -98,14 +99,33 @@ def shared_path(spark) -> str:
     return f"{folder.rstrip('/')}/splatlake/{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
+@contextmanager
+def setting(spark, name: str, value):
+    """Set a configuration while eager steps run; the session's own comes back."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def dropped_shuffles(spark):
+    """Eager steps drop their shuffle files when they end, not when the driver happens to collect its garbage; the session's own setting comes back.
+
+    Only for frames that run once: one that runs again would make its shuffles anew.
+    """
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def durable(df: DataFrame, **options) -> DataFrame:
     """Cut the lineage: write the rows to the shared folder and read them back.
 
     Unlike an RDD checkpoint this computes the rows once, keeps them columnar and
-    gives the reader exact file sizes.
+    gives the reader exact file sizes.  `options` are the writer's.
     """
     path = shared_path(df.sparkSession)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.scaling import durable, shared_path
+from ..functions.scaling import dropped_shuffles, durable, setting, shared_path
 
 __all__ = ["components", "durable", "dropped_shuffles", "shared_path", "small_batches", "table", "words_of", "WordHashes", "mix64"]
 
 
-@contextmanager
-def _set(spark: SparkSession, name: str, value):
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000):
     """Fewer rows per Arrow batch while eager steps with wide rows run; the session's own setting comes back."""
-    return _set(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
-
-
-def dropped_shuffles(spark: SparkSession):
-    """Eager steps drop their shuffle files when they end, not when the driver happens to collect its garbage; the session's own setting comes back.
-
-    Only for frames that run once: one that runs again would make its shuffles anew.
-    """
-    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from splatlake.functions import scaling
-from splatlake.operators import voxels as V
+from splatlake.operators import neighbors, voxels as V
 from splatlake.operators.neighbors import knn_distances
 
 
@@ -169,3 +169,37 @@ def test_neighbors_write_every_point_once(spark, tmp_path, monkeypatch, scenes):
             assert got[name] == pytest.approx(want)
     held = [t for t in (spark.read.parquet(str(f)) for f in tmp_path.iterdir()) if "point_id" in t.columns]
     assert sum(t.count() for t in held) == 3000
+
+
+def test_neighbors_ask_beyond_their_block_only_near_its_edge(spark, tmp_path, monkeypatch):
+    """Points inside a block are done with it; what is asked of other blocks stays far below one row a point, and shuffles go with their step."""
+    monkeypatch.setattr(scaling, "shared_path", lambda spark: f"{tmp_path}/{uuid.uuid4().hex}")
+    monkeypatch.setattr(neighbors, "BLOCK", 128, raising=False)
+    name, kept = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    monkeypatch.setattr(neighbors, "durable", lambda df, **options: kept.append(spark.conf.get(name)) or scaling.durable(df, **options))
+    before = spark.conf.get(name)
+    points = np.random.default_rng(5).random((6000, 3))
+    pdf = pd.DataFrame(points, columns=list("xyz")).assign(point_id=range(6000), scene_id=0)
+    got = {r.point_id: r.distances for r in knn_distances(spark.createDataFrame(pdf), 3, leaf=16, fanout=4).collect()}
+    assert [got[i] for i in range(6000)] == brute(points, 3)
+    assert set(kept) == {"true"} and spark.conf.get(name) == before
+    asked = [t for t in (spark.read.parquet(str(f)) for f in tmp_path.iterdir()) if {"_row", "_other", "x"} <= set(t.columns)]
+    assert len(asked) == 1 and 0 < asked[0].count() < 6000
+
+
+@pytest.mark.parametrize("block", [1, 4, 1024])
+def test_neighbors_across_blocks_with_odd_points(spark, monkeypatch, block):
+    """Copies, lattices, flat scenes, outliers on both sides, coordinates that are no numbers, tiny scenes."""
+    monkeypatch.setattr(neighbors, "BLOCK", block, raising=False)
+    rng = np.random.default_rng(6)
+    lattice = np.stack(np.meshgrid(*[np.arange(7.0)] * 3), -1).reshape(-1, 3)
+    odd = np.array([[np.nan, 0, 0], [0, np.inf, 0], [-1e12, 0, 0], [1e12, 3, 0], [-1e-12, 1e9, -1e9]])
+    scenes = [np.concatenate([lattice, lattice[:100], np.zeros((90, 3))]), np.concatenate([rng.normal(0, 0.01, (400, 3)), rng.normal(5, 3, (60, 3)), odd]),
+              np.concatenate([rng.random((300, 2)), np.ones((300, 1))], axis=1), np.full((50, 3), 2.0), np.zeros((2, 3)), np.ones((1, 3))]
+    pdf = pd.DataFrame([(s, i, *p) for s, pts in enumerate(scenes) for i, p in enumerate(pts)], columns=["scene_id", "point_id", "x", "y", "z"])
+    got = {(r.scene_id, r.point_id): r.distances for r in knn_distances(spark.createDataFrame(pdf).repartition(5), 3, leaf=8, fanout=4).collect()}
+    assert len(got) == len(pdf)
+    for s, pts in enumerate(scenes):
+        with np.errstate(all="ignore"):
+            for i, want in enumerate(brute(pts, 3)):
+                assert got[s, i] == pytest.approx(want, rel=1e-12), (s, i)
